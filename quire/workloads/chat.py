@@ -268,7 +268,7 @@ QUERIES = {
 
 def _ids(piece: str) -> str:
     """Byte ids of a text column ``piece`` whose hex is in column ``h`` (see _with_hex)."""
-    return f"list_transform(range(strlen({piece})), lambda i: CAST(('0x' || substr(h, 2 * i + 1, 2)) AS INTEGER) + 4)"
+    return f"list_transform(regexp_extract_all(hex(encode({piece})), '..'), lambda x: CAST(('0x' || x) AS INTEGER) + 4)"
 
 
 def sql_labels_ctes() -> str:
