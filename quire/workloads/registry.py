@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["mixture", "chat", "scoring", "runs"]
+_MODULES = ["mixture", "chat", "scoring", "runs", "windows"]
 
 
 def _load():
