@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,3 +60,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in Python workers wherever the driver was started
+    (UDFs defined in this package are pickled by reference). Spark distributes the
+    zip to executors itself; it is built once per session."""
+    import io
+    import zipfile
+
+    if getattr(ship_package, "_shipped", None) == id(spark):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _dirs, files in os.walk(os.path.join(root, "quire")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    try:
+        spark.sparkContext.addPyFile(path)
+    except Exception:  # Spark Connect sessions have no SparkContext
+        spark.addArtifacts(path, pyfile=True)
+    ship_package._shipped = id(spark)

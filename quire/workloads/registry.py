@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["mixture", "chat", "scoring", "runs", "windows"]
+_MODULES = ["mixture", "chat", "scoring", "runs", "windows", "vocab"]
 
 
 def _load():
@@ -19,8 +19,21 @@ def _load():
     return qs, sql
 
 
+def _shipped(fn):
+    def run(spark, sf_dir):
+        from quire.session import ensure_checkpoint_dir, ship_package
+
+        ship_package(spark)
+        ensure_checkpoint_dir(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries():
-    return _load()[0]
+    return {k: _shipped(v) for k, v in _load()[0].items()}
 
 
 def oracle_sql():
@@ -31,4 +44,4 @@ def oracle_sql():
 def flagship(spark, sf_dir):
     from quire.workloads.mixture import q_mix_report
 
-    return q_mix_report(spark, sf_dir)
+    return _shipped(q_mix_report)(spark, sf_dir)
