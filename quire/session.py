@@ -87,3 +87,16 @@ def ship_package(spark: SparkSession) -> None:
     except Exception:  # Spark Connect sessions have no SparkContext
         spark.addArtifacts(path, pyfile=True)
     ship_package._shipped = id(spark)
+
+
+def posix_scratch(spark: SparkSession, name: str) -> str:
+    """``scratch_path`` as a POSIX path for Python file I/O on executors (binary shard
+    writers); the checkpoint folder must then be a shared mount."""
+    path = scratch_path(spark, name)
+    if path.startswith("file://"):
+        path = path[len("file://"):]
+    elif path.startswith("file:"):
+        path = path[len("file:"):]
+    elif "://" in path:
+        raise ValueError(f"binary shards need a POSIX-mounted shared folder, got {path}")
+    return path
