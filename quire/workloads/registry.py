@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["mixture", "chat", "scoring", "runs", "windows", "vocab", "shards"]
+_MODULES = ["mixture", "chat", "scoring", "runs", "windows", "vocab", "shards", "streams"]
 
 
 def _load():
