@@ -264,3 +264,54 @@ def stream_position_check(plan: DataFrame, keys: Sequence[str] = ("split",)) ->
         F.sum("n_written").alias("tokens"),
         F.max(F.col("stream_offset") + F.col("n_written")).alias("stream_end"),
     )
+
+
+# ---------------------------------------------------------------- budget prefilter
+
+
+def budget_prefilter(light: DataFrame, targets: DataFrame, seed: int, est_col: str = "est", margin: float = 1.25,
+                     digits: int = 3) -> DataFrame:
+    """Keep, per source, the leading hash buckets (in seeded order) whose *estimated*
+    tokens reach ``margin x (val_target + train_target)``; later buckets cannot hold a
+    selected document unless the estimate was too low, which ``plan_with_prefilter``
+    checks. ``light`` is ``(source, doc_id, est)`` — cheap columns only."""
+    ordered = source_order(light, seed, digits)
+    per_bucket = ordered.groupBy("source", "sbucket").agg(F.sum(est_col).alias("__est"))
+    w = Window.partitionBy("source").orderBy("sbucket").rowsBetween(Window.unboundedPreceding, -1)
+    need = targets.select("source", ((F.col("val_target") + F.col("train_target")).cast("double") * F.lit(margin)).alias("__need"))
+    # per_bucket is bounded by sources x 16**digits rows.
+    kept_b = (
+        per_bucket.withColumn("__before", F.coalesce(F.sum("__est").over(w), F.lit(0)))
+        .join(F.broadcast(need), "source")
+        .where(F.col("__before") < F.col("__need"))
+        .select("source", "sbucket")
+    )
+    return ordered.join(kept_b, ["source", "sbucket"], "left_semi").drop("skey", "sbucket")
+
+
+def plan_with_prefilter(light: DataFrame, targets: DataFrame, tokenize, seed: int = 42, est_col: str = "est",
+                        margin: float = 1.25, max_tries: int = 8, digits: int = 3, buckets: int = 4096) -> DataFrame:
+    """``plan_mixture`` that tokenizes only a verified prefix of each source.
+
+    ``tokenize(kept_light) -> docs(source, doc_id, n_tokens, …)`` is the expensive step.
+    The plan over a per-source prefix equals the plan over everything when the prefix
+    is the whole source or its real tokens reach ``val_consumed + train_target``; this
+    is checked on a one-row-per-source table, and the margin doubles until it holds."""
+    n_all = light.groupBy("source").agg(F.count(F.lit(1)).alias("__n_all"))
+    for _ in range(max_tries):
+        kept = budget_prefilter(light, targets, seed, est_col, margin, digits)
+        docs = tokenize(kept).persist()
+        plan = plan_mixture(docs, targets, seed, digits, buckets)
+        have = docs.groupBy("source").agg(F.sum("n_tokens").alias("__have"), F.count(F.lit(1)).alias("__n_kept"))
+        val_used = plan.where(F.col("split") == "val").groupBy("source").agg(F.max(F.col("cum") + F.col("n_tokens")).alias("__vc"))
+        check = (
+            targets.select("source", "train_target", "val_target")
+            .join(n_all, "source", "left").join(have, "source", "left").join(val_used, "source", "left")
+            .fillna(0, ["__n_all", "__have", "__n_kept", "__vc"])
+            .where((F.col("__n_kept") < F.col("__n_all")) & (F.col("__have") < F.col("__vc") + F.col("train_target")))
+        )
+        if not check.limit(1).collect():  # one row per source at most
+            return plan
+        docs.unpersist()
+        margin *= 2.0
+    raise RuntimeError("budget_prefilter: estimates too low even after widening")

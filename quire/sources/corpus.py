@@ -38,6 +38,8 @@ def scan_source(spark: SparkSession, source: SourceConfig, id_field: str | None
     stable id from their content position-free hash (``xxhash64`` of the text)."""
     reader = spark.read.format(source.format)
     df = reader.load(_source_path(source))
+    for k, v in (source.row_filters or {}).items():
+        df = df.where(F.col(k) == F.lit(v))  # pushed to the scan
     field = source.text_field or "text"
     dtype = dict(df.dtypes).get(field)
     if dtype is None:

@@ -235,7 +235,28 @@ def q_flatten_content_parts(spark, sf):
     return t.select("conv_id", "turn", F.md5(flat).alias("flat_md5"), F.length(flat).cast("long").alias("flat_chars"))
 
 
+STOPS = ["\n", ", "]
+
+
+def q_prompt_strip(spark, sf):
+    from quire.functions.text import prompt_strip
+
+    t = read_table(spark, sf, "conversations").where(F.col("role") == "user")
+    p = prompt_strip("text")
+    return t.select("conv_id", "turn", F.md5(p).alias("prompt_md5"), F.length(p).cast("long").alias("prompt_chars"))
+
+
+def q_truncate_at_stops(spark, sf):
+    from quire.functions.text import truncate_at_stops
+
+    t = read_table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    cut = truncate_at_stops("text", STOPS)
+    return t.select("conv_id", "turn", F.md5(cut).alias("cut_md5"), F.length(cut).cast("long").alias("cut_chars"))
+
+
 QUERIES = {
+    "prompt_strip": q_prompt_strip,
+    "truncate_at_stops": q_truncate_at_stops,
     "scan_chat": q_scan_chat,
     "assemble_dialogs": q_assemble_dialogs,
     "normalize_messages": q_normalize_messages,
@@ -352,6 +373,11 @@ def _sql():
         f"CASE WHEN {s('prompt')} <> '' THEN '<|user|>' || chr(10) || {s('prompt')} || chr(10) ELSE '' END"
     )
     return {
+        "prompt_strip": f"""SELECT conv_id, turn, md5({s('text')}) AS prompt_md5, CAST(length({s('text')}) AS BIGINT) AS prompt_chars
+                            FROM conversations WHERE role = 'user'""",
+        "truncate_at_stops": """SELECT conv_id, turn, md5(c) AS cut_md5, CAST(length(c) AS BIGINT) AS cut_chars FROM (
+                            SELECT conv_id, turn, split_part(split_part(text, chr(10), 1), ', ', 1) AS c
+                            FROM conversations WHERE role = 'assistant')""",
         "scan_chat": """SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, arg_min(role, turn) AS opening_role
                         FROM conversations GROUP BY conv_id""",
         "assemble_dialogs": """SELECT conv_id, CAST(count(*) AS BIGINT) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,

@@ -137,6 +137,39 @@ def q_token_stats(spark, sf):
     return mx.token_stats(plan(spark, sf))
 
 
+def q_chain_sources(spark, sf):
+    """Config-driven scan: one reader per configured source (same file, a row filter
+    each), projected to its text field and chained."""
+    from quire.config import DataMixConfig, SourceConfig
+    from quire.sources.corpus import scan_corpus
+
+    cfg = DataMixConfig(sources=[
+        SourceConfig(name=s.name, path=f"{sf.rstrip('/')}/documents.parquet", text_field="text", row_filters={"source": s.name})
+        for s in driver_mixture().sources
+    ])
+    docs = scan_corpus(spark, cfg, id_field="doc_id")
+    return docs.select("source", "doc_id", F.md5("text").alias("text_md5"))
+
+
+def q_budget_prefilter(spark, sf):
+    """The interleaved plan, tokenizing only a verified seeded-order prefix of each
+    source (estimate: characters + 2, always at most the byte count)."""
+    from quire.functions.text import clean_text
+
+    tok = ByteTokenizer()
+    docs = corpus_from_table(read_table(spark, sf, "documents"), sources=[s.name for s in driver_mixture().sources])
+    light = docs.withColumn("text", clean_text("text")).where(F.col("text").isNotNull()).select(
+        "source", "doc_id", (F.length("text") + 2).cast("long").alias("est"))
+    t = targets(spark, sf)
+
+    def tokenize(kept):
+        return kept.join(docs, ["source", "doc_id"]).withColumn("text", clean_text("text")).select(
+            "source", "doc_id", tok.count("text").alias("n_tokens"))
+
+    p = mx.plan_with_prefilter(light, t, tokenize, seed=SEED, margin=1.05)
+    return p.select("split", "seq", "source", "doc_id", "cum", "n_written")
+
+
 QUERIES = {
     "scan_corpus": q_scan_corpus,
     "clean_text": q_clean_text,
@@ -154,6 +187,8 @@ QUERIES = {
     "shortage_check": q_shortage_check,
     "mix_drift": q_mix_drift,
     "token_stats": q_token_stats,
+    "chain_sources": q_chain_sources,
+    "budget_prefilter": q_budget_prefilter,
 }
 
 # ---------------------------------------------------------------- SQL side
@@ -255,6 +290,9 @@ SQL = {
             CAST(round(s.share * 1e6) AS BIGINT) AS weight_ppm
          FROM (SELECT split, source, CAST(sum(n_written) AS BIGINT) AS tokens FROM plan GROUP BY split, source) w
          LEFT JOIN src s USING (source)""",
+    "chain_sources": "SELECT source, doc_id, md5(text) AS text_md5 FROM documents WHERE source IN ("
+    + ", ".join(f"'{x.name}'" for x in driver_mixture().sources) + ")",
+    "budget_prefilter": sql_plan_ctes() + "SELECT split, seq, source, doc_id, cum, n_written FROM plan",
     "token_stats": sql_plan_ctes()
     + """SELECT split, source, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n_written) AS BIGINT) AS tokens,
             min(n_written) AS min_tokens, max(n_written) AS max_tokens FROM plan GROUP BY split, source""",

@@ -115,7 +115,20 @@ def q_read_metrics(spark, sf):
     )
 
 
+def q_write_metrics(spark, sf):
+    """Write the log as JSONL (one folder per run) and count the written lines."""
+    path = scratch_path(spark, "metrics-out")
+    write_metrics(log(spark, sf), path, mode="overwrite")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    run = F.regexp_extract(F.col("_metadata.file_path"), r"run_id=([^/]+)/", 1)
+    return lines.select(run.alias("run_id"), "value").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("value").contains('"event":"train"').cast("int")).cast("long").alias("train_lines"),
+    )
+
+
 QUERIES = {
+    "write_metrics": q_write_metrics,
     "select_events": q_select_events,
     "run_index": q_run_index,
     "runtime_summary": q_runtime_summary,
@@ -172,6 +185,8 @@ _COS = f"""CASE WHEN step - 1 < {WARMUP} THEN {MAX_LR!r} * (CAST(step - 1 AS DOU
              ELSE {MIN_LR!r} + 0.5 * (1.0 + cos(pi() * ((CAST(step - 1 AS DOUBLE) - {float(WARMUP)!r}) / {float(MAX_STEPS - WARMUP)!r}))) * {MAX_LR - MIN_LR!r} END"""
 
 SQL = {
+    "write_metrics": LOG + """SELECT run_id, CAST(count(*) AS BIGINT) AS lines,
+                              CAST(count(*) FILTER (WHERE event = 'train') AS BIGINT) AS train_lines FROM lg GROUP BY run_id""",
     "select_events": LOG + "SELECT event, CAST(count(*) AS BIGINT) AS rows FROM lg GROUP BY event",
     "run_index": LOG + """SELECT run_id, ts_us AS started_at_us, 'logs/' || run_id || '.log' AS log_path,
                               'logs/' || run_id || '.jsonl' AS metrics_path FROM lg WHERE event = 'run_started'""",

@@ -125,15 +125,35 @@ def q_comparison(spark, sf):
 
 
 def q_write_comparison(spark, sf):
-    t = sc.comparison_table(sc.comparison(spark, summaries(spark, sf)))
-    return t.select(
+    """Write the comparison as CSV + Markdown, read the CSV back."""
+    from quire.session import posix_scratch
+    from quire.sources.eval_results import write_comparison
+
+    out = posix_scratch(spark, "comparison")
+    table = sc.comparison_table(sc.comparison(spark, summaries(spark, sf)))
+    write_comparison(table, out, ["Model"] + [lab for _, lab in sc.METRIC_KEYS])
+    back = spark.read.option("header", "true").csv(f"{out}/comparison_table_csv")
+    return back.select(
         F.col("Model").alias("model"),
-        F.col("`TruthfulQA-MC`").alias("truthfulqa_mc"),
-        F.col("`MMLU (avg)`").alias("mmlu_avg"),
-        F.col("HellaSwag").alias("hellaswag"),
+        F.col("`TruthfulQA-MC`").cast("double").alias("truthfulqa_mc"),
+        F.col("`MMLU (avg)`").cast("double").alias("mmlu_avg"),
+        F.col("HellaSwag").cast("double").alias("hellaswag"),
     )
 
 
+def q_read_eval_results(spark, sf):
+    """Write the stand-in result files (one JSON per model and run) and read them back
+    recursively."""
+    from quire.session import posix_scratch
+    from quire.sources.eval_results import read_eval_results, write_eval_results
+
+    root = posix_scratch(spark, "eval-results")
+    write_eval_results(result_rows(spark, sf), root)
+    r = read_eval_results(spark, root)
+    return r.select("model", "file", "task", _r9(F.col("acc")).alias("acc"), _r9(F.col("acc_stderr")).alias("acc_stderr"),
+                    F.col("version").cast("long").alias("version"))
+
+
 def q_scoring_mode(spark, sf):
     r = result_rows(spark, sf).select("task").distinct()
     return r.select("task", sc.scoring_mode("task").alias("mode"))
@@ -184,6 +204,7 @@ QUERIES = {
     "group_accuracy": q_group_accuracy,
     "comparison": q_comparison,
     "write_comparison": q_write_comparison,
+    "read_eval_results": q_read_eval_results,
     "scoring_mode": q_scoring_mode,
     "select_tasks": q_select_tasks,
     "choice_loglik": q_choice_loglik,
@@ -307,6 +328,8 @@ def _sql():
               max(CASE WHEN metric = 'MMLU (avg)' THEN value END) AS mmlu_avg,
               max(CASE WHEN metric = 'HellaSwag' THEN value END) AS hellaswag
             FROM cmp GROUP BY label""",
+        "read_eval_results": R + """SELECT model, file, task, round(acc, 9) AS acc, round(acc_stderr, 9) AS acc_stderr,
+                                   CAST(version AS BIGINT) AS version FROM res""",
         "scoring_mode": R + f"""SELECT task, CASE WHEN starts_with(split_part(task, '|', 1), 'mmlu:')
               OR split_part(task, '|', 1) IN ({ll_tasks}) THEN 'loglikelihood' ELSE 'generative' END AS mode
             FROM (SELECT DISTINCT task FROM res)""",
