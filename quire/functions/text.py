@@ -22,6 +22,12 @@ PY_WHITESPACE = (
 )
 
 
+# The same set as a Java regex class: Unicode White_Space plus U+001C..U+001F
+# (checked equal to ``str.isspace`` over the whole BMP). Use under ``(?U)``.
+PY_WHITESPACE_CLASS = "(?U)[\\s\\x{1c}-\\x{1f}]"
+PY_NON_WHITESPACE_CLASS = "(?U)[^\\s\\x{1c}-\\x{1f}]"
+
+
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -35,6 +41,11 @@ def is_blank(c: str | Column) -> Column:
     return py_strip(c) == F.lit("")
 
 
+def has_content(c: str | Column) -> Column:
+    """True when the text has a non-whitespace character (stops at the first one)."""
+    return col_of(c).rlike(PY_NON_WHITESPACE_CLASS)
+
+
 def clean_text(c: str | Column) -> Column:
     """Stripped text, or null when the value is missing or blank.
 

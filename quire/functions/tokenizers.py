@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.config import BOS_ID, EOS_ID
-from quire.functions.text import PY_WHITESPACE, col_of
+from quire.functions.text import PY_WHITESPACE, PY_WHITESPACE_CLASS, col_of
 
 BYTE_OFFSET = 4  # ids 0..3 are the special tokens
 
@@ -110,11 +110,10 @@ class WhitespaceTokenizer:
     """Pieces are maximal runs of non-whitespace (Python's ``str.split()``)."""
 
     name = "whitespace"
-    _ws_class = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]+"
 
     def pieces(self, text: str | Column) -> Column:
-        t = F.btrim(col_of(text), F.lit(PY_WHITESPACE))
-        return F.when(t == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(t, self._ws_class))
+        parts = F.split(F.btrim(col_of(text), F.lit(PY_WHITESPACE)), PY_WHITESPACE_CLASS + "+")
+        return F.filter(parts, lambda p: p != F.lit(""))
 
     def count(self, text: str | Column, template: bool = True) -> Column:
         return F.size(self.pieces(text)).cast("long") + F.lit(2 if template else 0)

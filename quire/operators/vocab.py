@@ -91,7 +91,10 @@ def pretokenize(text: str | Column) -> Column:
 
 def word_counts(df: DataFrame, pieces: str | Column) -> DataFrame:
     """Corpus-wide piece frequencies: ``word, count`` (one shuffle, map-side combine)."""
-    return df.select(F.explode(col_of(pieces)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    # explode_outer + null filter: a plain explode makes Catalyst re-evaluate the piece
+    # expression in an inferred "non-empty" filter.
+    words = df.select(F.explode_outer(col_of(pieces)).alias("word")).where(F.col("word").isNotNull())
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 # ---------------------------------------------------------------- BPE training

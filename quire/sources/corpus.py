@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.config import DataMixConfig, SourceConfig
-from quire.functions.text import clean_text
+from quire.functions.text import clean_text, has_content, py_strip
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -76,8 +76,11 @@ def chain_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def clean_corpus(docs: DataFrame) -> DataFrame:
-    """Keep string texts, stripped, non-empty (``text`` replaced by the stripped text)."""
-    return docs.withColumn("text", clean_text("text")).where(F.col("text").isNotNull())
+    """Keep string texts, stripped, non-empty (``text`` replaced by the stripped text).
+
+    The blank test runs on the raw text (a regex find that stops at the first
+    non-whitespace character), so the strip itself is evaluated once per row."""
+    return docs.where(has_content("text")).withColumn("text", py_strip("text"))
 
 
 def tokenized_corpus(docs: DataFrame, tokenizer, template: bool = True, with_ids: bool = False) -> DataFrame:
