@@ -93,13 +93,14 @@ def validate_chat_rows(df: DataFrame, config: ChatConfig, policy: str = "fail")
     reason = validation_reason(df, config)
     tagged = df.withColumn("__reason", reason)
     bad = tagged.where(F.col("__reason").isNotNull()).withColumnRenamed("__reason", "reason")
-    good = tagged
     if policy == "fail":
-        good = good.withColumn("__chk", F.when(F.col("__reason").isNotNull(), F.raise_error(F.col("__reason"))))
-        good = good.drop("__chk")
-    elif policy != "quarantine":
+        # The error is part of the predicate, so Catalyst cannot prune it away.
+        keep = F.col("__reason").isNull() | F.raise_error(F.col("__reason")).isNull()
+    elif policy == "quarantine":
+        keep = F.col("__reason").isNull()
+    else:
         raise ValueError(f"unknown policy {policy!r}")
-    return good.where(F.col("__reason").isNull()).drop("__reason"), bad
+    return tagged.where(keep).drop("__reason"), bad
 
 
 FORMATS: dict[str, Callable[[ChatConfig], Column]] = {
