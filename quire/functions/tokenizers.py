@@ -31,14 +31,14 @@ def _as_plain_binary(texts: pa.Array) -> pa.Array:
     return arr
 
 
-def byte_encode_arrow(texts: pa.Array, template: bool) -> pa.Array:
-    """UTF-8 bytes + 4, optionally wrapped as ``[bos] ... [eos]``, as ``list<int32>``."""
+def byte_encode_arrow(texts: pa.Array, template: bool, offset: int = BYTE_OFFSET) -> pa.Array:
+    """UTF-8 bytes + ``offset``, optionally wrapped as ``[bos] ... [eos]``, as ``list<int32>``."""
     arr = _as_plain_binary(texts)
     n = len(arr)
     offsets = np.frombuffer(arr.buffers()[1], dtype=np.int64, count=n + 1)
     data = arr.buffers()[2]
     values = (np.frombuffer(data, dtype=np.uint8, count=int(offsets[-1])) if data is not None and offsets[-1] > 0
-              else np.zeros(0, dtype=np.uint8)).astype(np.int32) + BYTE_OFFSET
+              else np.zeros(0, dtype=np.uint8)).astype(np.int32) + offset
     valid = np.asarray(arr.is_valid())
     if template:
         extra = np.where(valid, 2, 0).astype(np.int64)
@@ -82,6 +82,32 @@ def byte_decode_list(ids: list[int] | None, skip_special: bool) -> str | None:
     return out.decode("utf-8", errors="replace")
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _utf8_bytes(texts: pa.Array) -> pa.Array:
+    return byte_encode_arrow(texts, False, 0)
+
+
+def byte_encode_many_arrow(lists: pa.Array) -> pa.Array:
+    """``list<string>`` → ``list<list<int32>>``: every string encoded (no template),
+    nesting kept; one pass over the flattened strings."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    lists = pa.concat_arrays([lists]) if lists.offset != 0 else lists
+    inner = byte_encode_arrow(lists.values, False)
+    outer_offsets = lists.offsets
+    return pa.ListArray.from_arrays(outer_offsets, inner, mask=pa.array(~np.asarray(lists.is_valid())))
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+def _byte_encode_many(lists: pa.Array) -> pa.Array:
+    return byte_encode_many_arrow(lists)
+
+
+def utf8_bytes(text: str | Column) -> Column:
+    """Raw UTF-8 byte values (0..255) as ``array<int>``."""
+    return _utf8_bytes(col_of(text))
+
+
 @F.pandas_udf(T.StringType())
 def _byte_decode_skip(ids):
     return ids.map(lambda v: byte_decode_list(None if v is None else v.tolist(), True))
@@ -102,6 +128,10 @@ class ByteTokenizer:
     def encode(self, text: str | Column, template: bool = True) -> Column:
         return (_byte_encode_template if template else _byte_encode_plain)(col_of(text))
 
+    def encode_many(self, texts: str | Column) -> Column:
+        """``array<string>`` → ``array<array<int>>`` (no template)."""
+        return _byte_encode_many(col_of(texts))
+
     def decode(self, ids: str | Column, skip_special: bool = True) -> Column:
         return (_byte_decode_skip if skip_special else _byte_decode_keep)(col_of(ids))
 

@@ -161,41 +161,54 @@ def byte_ids(text: Column) -> Column:
     return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int") + F.lit(4))
 
 
+def _byte_encode_many(texts: Column) -> Column:
+    from quire.functions.tokenizers import ByteTokenizer
+
+    return ByteTokenizer().encode_many(texts)
+
+
+def header_text(m: Column) -> Column:
+    return F.concat(F.lit("<|"), role_tag(m["role"]), F.lit("|>\n"))
+
+
 def mask_labels(
     messages: str | Column,
-    encode: Callable[[Column], Column] = byte_ids,
+    encode_many: Callable[[Column], Column] = _byte_encode_many,
     label_alignment: str = "next_token",
     supervise_header: bool = True,
 ) -> Column:
     """``struct<input_ids, labels>``: ``[bos] + pieces + [eos]``; assistant pieces keep
     their ids, everything else is -100; bos is -100, eos is always supervised.
 
+    Messages are rendered with Catalyst string functions and the dialog's whole piece
+    list is encoded by one vectorized call (``encode_many``: ``array<string>`` →
+    ``array<array<int>>``, the byte tokenizer by default); masking then works per
+    message (``zip_with``), never per token.
+
     ``label_alignment='same_position'`` keeps labels aligned with the inputs (what the
     original code wrote); ``'next_token'`` (default) moves them one to the left so
     position i is trained to predict token i+1, as documented.
     ``supervise_header=False`` masks the ``<|assistant|>\\n`` header too."""
     kept = F.filter(col_of(messages), lambda m: py_strip(m["content"]) != F.lit(""))
-    pieces = F.transform(
-        kept,
-        lambda m: F.struct(
-            (role_tag(m["role"]) == F.lit("assistant")).alias("sup"),
-            encode(render_message(m)).alias("ids"),
-            F.octet_length(F.concat(F.lit("<|"), role_tag(m["role"]), F.lit("|>\n"))).alias("hdr"),
-        ),
-    )
-    ids = F.concat(F.array(F.lit(BOS_ID)), F.flatten(F.transform(pieces, lambda p: p["ids"])), F.array(F.lit(EOS_ID)))
-
-    def piece_labels(p: Column) -> Column:
-        masked = F.array_repeat(F.lit(IGNORE_INDEX), F.size(p["ids"]))
-        if supervise_header:
-            sup = p["ids"]
-        else:
-            sup = F.transform(p["ids"], lambda x, i: F.when(i < p["hdr"], F.lit(IGNORE_INDEX)).otherwise(x))
-        return F.when(p["sup"], sup).otherwise(masked)
-
-    same = F.concat(
-        F.array(F.lit(IGNORE_INDEX)), F.flatten(F.transform(pieces, piece_labels)), F.array(F.lit(EOS_ID))
-    ).cast(IDS_TYPE)
+    pieces = encode_many(F.transform(kept, render_message))
+    sups = F.transform(kept, lambda m: role_tag(m["role"]) == F.lit("assistant"))
+    ids = F.concat(F.array(F.lit(BOS_ID)), F.flatten(pieces), F.array(F.lit(EOS_ID)))
+
+    def masked(p: Column) -> Column:
+        return F.array_repeat(F.lit(IGNORE_INDEX), F.size(p))
+
+    if supervise_header:
+        lab_pieces = F.zip_with(pieces, sups, lambda p, s: F.when(s, p).otherwise(masked(p)))
+    else:
+        hdr = F.transform(encode_many(F.transform(kept, header_text)), lambda h: F.size(h))
+        with_h = F.zip_with(pieces, hdr, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
+        lab_pieces = F.zip_with(
+            with_h, sups,
+            lambda x, s: F.when(
+                s, F.concat(F.array_repeat(F.lit(IGNORE_INDEX), x["h"]), F.slice(x["p"], x["h"] + 1, F.size(x["p"]) - x["h"]))
+            ).otherwise(masked(x["p"])),
+        )
+    same = F.concat(F.array(F.lit(IGNORE_INDEX)), F.flatten(lab_pieces), F.array(F.lit(EOS_ID))).cast(IDS_TYPE)
     if label_alignment == "same_position":
         labels = same
     elif label_alignment == "next_token":
@@ -234,13 +247,13 @@ def build_examples(
     dialogs: DataFrame,
     seq_len: int,
     min_supervised: int = 0,
-    encode: Callable[[Column], Column] = byte_ids,
+    encode_many: Callable[[Column], Column] = _byte_encode_many,
     label_alignment: str = "next_token",
     use_tail_window: bool = True,
 ) -> DataFrame:
     """``messages`` → ``input_ids, labels`` of length ``seq_len`` plus ``n_tokens``
     (before padding), ``supervised`` (after packing) and ``used_tail``."""
-    packed = dialogs.withColumn("__p", mask_labels("messages", encode, label_alignment))
+    packed = dialogs.withColumn("__p", mask_labels("messages", encode_many, label_alignment))
     ids, labels = F.col("__p.input_ids"), F.col("__p.labels")
     if use_tail_window and min_supervised > 0:
         tid, tlab = tail_window(ids, labels, seq_len, min_supervised)

@@ -154,9 +154,19 @@ def interleave(selected: DataFrame, seed: int, buckets: int = 4096) -> DataFrame
     return out.withColumn("seq", F.col("seq") + 1).drop("pbucket")
 
 
-def plan_mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, digits: int = 3, buckets: int = 4096) -> DataFrame:
-    """``docs(source, doc_id, n_tokens, …)`` → the emitted-document plan."""
-    return interleave(take_budget(docs, targets, seed, digits), seed, buckets)
+def plan_mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, digits: int = 3, buckets: int = 4096,
+                 materialize: bool = False) -> DataFrame:
+    """``docs(source, doc_id, n_tokens, …)`` → the emitted-document plan.
+
+    With ``materialize=True`` the selected documents are checkpointed before the
+    global ordering pass, so the per-source pass is not recomputed by the second
+    prefix sum (pass ``docs`` already checkpointed, see ``quire.plans.materialize``)."""
+    selected = take_budget(docs, targets, seed, digits)
+    if materialize:
+        from quire.plans.materialize import checkpointed
+
+        selected = checkpointed(selected)
+    return interleave(selected, seed, buckets)
 
 
 def shard_sizes(mix: DataMixConfig) -> dict[str, int]:

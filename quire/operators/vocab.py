@@ -133,8 +133,9 @@ class BPEModel:
 
 def byte_words(wc: DataFrame) -> DataFrame:
     """``word, count`` → ``bytes array<int>`` (UTF-8 byte values) and ``count``."""
-    hexed = F.slice(F.split(F.hex(F.encode("word", "UTF-8")), "(?<=\\G..)"), 1, F.octet_length("word"))
-    return wc.select(F.transform(hexed, lambda h: F.conv(h, 16, 10).cast("int")).alias("bytes"), F.col("count").cast("long").alias("count"))
+    from quire.functions.tokenizers import utf8_bytes
+
+    return wc.select(utf8_bytes("word").alias("bytes"), F.col("count").cast("long").alias("count"))
 
 
 def _pairs(symbols: Column) -> Column:

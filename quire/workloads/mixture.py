@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.tokenizers import ByteTokenizer
 from quire.operators import mixture as mx
+from quire.plans.materialize import bounded, checkpointed
 from quire.plans.prefix import bucketed_rank
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table, tokenized_corpus
 from quire.workloads.common import (
@@ -27,19 +28,23 @@ from quire.workloads.common import (
 
 
 def byte_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """The light per-document table (``source, doc_id, n_tokens``), checkpointed: every
+    later pass reads it instead of re-scanning and re-tokenizing the corpus."""
     mix = driver_mixture()
     docs = corpus_from_table(read_table(spark, sf, "documents"), sources=[s.name for s in mix.sources])
-    return tokenized_corpus(docs, ByteTokenizer()).select("source", "doc_id", "n_tokens")
+    return checkpointed(tokenized_corpus(docs, ByteTokenizer()).select("source", "doc_id", "n_tokens"))
 
 
 def targets(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
+    """Per-source targets: one row per configured source, kept as a local relation."""
     docs = byte_docs(spark, sf) if docs is None else docs
-    return mx.fraction_budget(docs, mx.source_table(spark, driver_mixture()), TRAIN_FRACTION, VAL_FRACTION)
+    t = mx.fraction_budget(docs, mx.source_table(spark, driver_mixture()), TRAIN_FRACTION, VAL_FRACTION)
+    return bounded(t, max_rows=len(driver_mixture().sources))
 
 
 def plan(spark: SparkSession, sf: str) -> DataFrame:
     docs = byte_docs(spark, sf)
-    return mx.plan_mixture(docs, targets(spark, sf, docs), seed=SEED)
+    return mx.plan_mixture(docs, targets(spark, sf, docs), seed=SEED, materialize=True)
 
 
 def q_scan_corpus(spark, sf):
@@ -115,20 +120,20 @@ def q_shard_manifest(spark, sf):
 def q_mix_report(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    return mx.mix_report(mx.plan_mixture(docs, t, seed=SEED), t)
+    return mx.mix_report(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t)
 
 
 def q_shortage_check(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    rep = mx.shortage_check(mx.mix_report(mx.plan_mixture(docs, t, seed=SEED), t))
+    rep = mx.shortage_check(mx.mix_report(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t))
     return rep.select("source", "train_short", "val_short")
 
 
 def q_mix_drift(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    d = mx.mix_drift(mx.plan_mixture(docs, t, seed=SEED), t)
+    d = mx.mix_drift(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t)
     return d.select("split", "source", "tokens", F.round(F.col("actual_share") * 1e6).cast("long").alias("actual_ppm"),
                     F.round(F.col("share") * 1e6).cast("long").alias("weight_ppm"))
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import scoring as sc
-from quire.operators.chat import byte_ids
+from quire.functions.tokenizers import ByteTokenizer
 from quire.operators.unigram import fit_unigram, score_tokens
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table
 from quire.workloads.common import sql_strip, sql_ws
@@ -86,7 +86,8 @@ def choice_tokens(spark, sf) -> DataFrame:
         lines.alias("choices"),
     ).where(F.size("choices") >= 2)
     ch = req.select("model", "task", "request_id", "gold", F.posexplode("choices").alias("choice", "line"))
-    tok = ch.select("model", "task", "request_id", "gold", "choice", F.posexplode(byte_ids(F.col("line"))).alias("pos", "token_id"))
+    ids = ByteTokenizer().encode(F.col("line"), template=False)
+    tok = ch.select("model", "task", "request_id", "gold", "choice", F.posexplode(ids).alias("pos", "token_id"))
     return tok.withColumn("is_choice", F.lit(True))
 
 
@@ -188,7 +189,7 @@ def q_rolling_loglik(spark, sf):
         F.col("source").alias("model"),
         F.concat(F.lit("mmlu:"), F.col("lang"), F.lit("|0")).alias("task"),
         F.col("doc_id").alias("request_id"),
-        F.posexplode(byte_ids(F.col("text"))).alias("pos", "token_id"),
+        F.posexplode(ByteTokenizer().encode(F.col("text"), template=False)).alias("pos", "token_id"),
     )
     r = sc.rolling_loglik(score_tokens(tok, lm(spark, sf)))
     return r.select("model", "task", "request_id", "ll", "n_tokens")
