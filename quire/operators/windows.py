@@ -14,15 +14,22 @@ from pyspark.sql import functions as F
 from quire.functions.hashing import order_key, unit_interval
 
 
+def sequential_window_counts(manifest: DataFrame, seq_len: int) -> DataFrame:
+    """Per shard: number of sequential windows and the global index of its first one
+    (a window over the manifest, which has one row per shard)."""
+    L = seq_len
+    max_start = F.col("num_tokens") - F.lit(L + 1)
+    counts = manifest.withColumn("n_windows", F.when(max_start > 0, F.floor((max_start - 1) / F.lit(L)) + 1).otherwise(0))
+    by_split = Window.partitionBy("split").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("first_idx", F.coalesce(F.sum("n_windows").over(by_split), F.lit(0)))
+
+
 def sequential_windows(manifest: DataFrame, seq_len: int, max_windows: int | None = None) -> DataFrame:
     """Per shard, starts ``0, L, 2L, …`` below ``num_tokens - L - 1``; shards too short
     for one window are skipped; windows are numbered across shards in shard order and
     stop after ``max_windows``. Output: ``split, shard, start, window_idx``."""
     L = seq_len
-    max_start = F.col("num_tokens") - F.lit(L + 1)
-    counts = manifest.withColumn("n_windows", F.when(max_start > 0, F.floor((max_start - 1) / F.lit(L)) + 1).otherwise(0))
-    by_split = Window.partitionBy("split").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("first_idx", F.coalesce(F.sum("n_windows").over(by_split), F.lit(0)))
+    counts = sequential_window_counts(manifest, L)
     w = counts.where(F.col("n_windows") > 0).select(
         "split", "shard", "num_tokens", "first_idx", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("k")
     )
@@ -66,26 +73,40 @@ def random_windows(spark: SparkSession, manifest: DataFrame, n: int, seq_len: in
     return hit.select("split", "draw", "shard", (F.col("g") - F.col("cum")).alias("start"))
 
 
-def window_tokens(windows: DataFrame, pieces: DataFrame, seq_len: int, ids_col: str = "ids") -> DataFrame:
-    """Fill each window with its ``seq_len + 1`` tokens from document pieces
-    ``(split, shard, shard_pos, doc_start, length, ids)`` where ``ids`` are the whole
-    document's ids. Adds ``tokens``."""
+def window_tokens(windows_or_manifest: DataFrame, pieces: DataFrame, seq_len: int, tokens_col: str = "tokens",
+                  max_windows: int | None = None) -> DataFrame:
+    """Fill sequential windows with their ``seq_len + 1`` tokens from document pieces
+    ``(split, shard, shard_pos, length, tokens)`` — ``tokens`` being the piece's own
+    tokens. ``windows_or_manifest`` is the shard manifest (``split, shard,
+    num_tokens``; one row per shard).
+
+    Each piece is cut into its overlaps with the windows it touches *before* the
+    shuffle (a token reaches at most two windows), window numbers come from a
+    broadcast per-shard table, and the group per window is bounded by
+    ``seq_len + 1`` tokens. Output: ``split, shard, start, window_idx, tokens``."""
     L = seq_len
+    per_shard = sequential_window_counts(windows_or_manifest, L).select("split", "shard", "first_idx", "n_windows")
     a, ln = F.col("shard_pos"), F.col("length")
     k_min = F.greatest(F.floor((a - 1) / F.lit(L)), F.lit(0))
     k_max = F.floor((a + ln - 1) / F.lit(L))
-    p = pieces.select("split", "shard", "shard_pos", "doc_start", "length", ids_col, F.explode(F.sequence(k_min, k_max)).alias("k"))
-    w = windows.withColumn("k", F.floor(F.col("start") / F.lit(L)))
-    j = p.join(w, ["split", "shard", "k"])
-    lo = F.greatest(F.col("shard_pos"), F.col("start"))
-    hi = F.least(F.col("shard_pos") + F.col("length"), F.col("start") + F.lit(L + 1))
-    part = j.where(hi > lo).select(
-        "split", "shard", "start", "window_idx",
-        F.struct(lo.alias("at"), F.slice(F.col(ids_col), lo - F.col("shard_pos") + F.col("doc_start") + 1, hi - lo).alias("ids")).alias("part"),
+    p = pieces.select("split", "shard", "shard_pos", "length", F.col(tokens_col).alias("__t"),
+                      F.explode(F.sequence(k_min, k_max)).alias("k"))
+    start = F.col("k") * F.lit(L)
+    lo = F.greatest(F.col("shard_pos"), start)
+    hi = F.least(F.col("shard_pos") + F.col("length"), start + F.lit(L + 1))
+    cut = p.where(hi > lo).select(
+        "split", "shard", "k", F.struct(lo.alias("at"), F.slice("__t", lo - F.col("shard_pos") + 1, hi - lo).alias("ids")).alias("part")
+    )
+    # per_shard has one row per shard (bounded by the manifest).
+    cut = cut.join(F.broadcast(per_shard), ["split", "shard"]).where(F.col("k") < F.col("n_windows"))
+    cut = cut.withColumn("window_idx", (F.col("first_idx") + F.col("k")).cast("long"))
+    if max_windows is not None:
+        cut = cut.where(F.col("window_idx") < F.lit(max_windows))
+    g = cut.groupBy("split", "shard", "k", "window_idx").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    return g.select(
+        "split", "shard", (F.col("k") * F.lit(L)).cast("long").alias("start"), "window_idx",
+        F.flatten(F.transform("parts", lambda x: x["ids"])).alias("tokens"),
     )
-    # One group per window: at most seq_len + 1 tokens.
-    g = part.groupBy("split", "shard", "start", "window_idx").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    return g.select("split", "shard", "start", "window_idx", F.flatten(F.transform("parts", lambda x: x["ids"])).alias("tokens"))
 
 
 def shift_labels(tokens: str | Column, seq_len: int) -> tuple[Column, Column, Column]:

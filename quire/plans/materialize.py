@@ -16,10 +16,18 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint computed once: an eager checkpoint first counts and then
+    writes its input, so the input is cached for the duration of the write."""
+    from pyspark import StorageLevel
+
     from quire.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

@@ -19,9 +19,7 @@ CHUNK = 4096
 
 def _write_tokens(spark: SparkSession, sf: str) -> str:
     root = posix_scratch(spark, "token-shards")
-    pieces = ww.pieces_with_ids(spark, sf).withColumn(
-        "tokens", F.slice("ids", F.col("doc_start") + 1, F.col("length"))
-    )
+    pieces = ww.pieces_with_ids(spark, sf)
     for split in ("val", "train"):
         sh.write_token_shards(pieces.where(F.col("split") == split), f"{root}/{split}", split)
     return root

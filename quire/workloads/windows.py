@@ -12,6 +12,7 @@ from quire.operators import windows as wn
 from quire.operators.unigram import fit_unigram
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table
 from quire.workloads import mixture as wm
+from quire.plans.materialize import bounded, checkpointed
 from quire.workloads.common import SEED, shard_sizes
 
 SEQ_LEN = 256
@@ -19,20 +20,29 @@ BATCH = 4
 EVAL_MODEL = "src0"
 
 
-def pieces_with_ids(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = mx.assign_shards(wm.plan(spark, sf), shard_sizes())
-    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents")))
-    ids = docs.select("source", "doc_id", ByteTokenizer().encode("text").alias("ids"))
-    return pieces.join(ids, ["source", "doc_id"])
+def pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard pieces of the mixed stream (light columns), checkpointed once."""
+    return checkpointed(mx.assign_shards(wm.plan(spark, sf), shard_sizes()))
+
+
+def pieces_with_ids(spark: SparkSession, sf: str, pcs: DataFrame | None = None) -> DataFrame:
+    """Pieces with their own tokens (the document's ids sliced to the piece)."""
+    pcs = pieces(spark, sf) if pcs is None else pcs
+    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents"))).select("source", "doc_id", "text")
+    # Join first, then tokenize: only documents that made it into the mixture are encoded.
+    joined = pcs.join(docs, ["source", "doc_id"])
+    ids = ByteTokenizer().encode("text")
+    return joined.withColumn("tokens", F.slice(ids, F.col("doc_start") + 1, F.col("length"))).drop("text")
 
 
-def manifest(spark, sf) -> DataFrame:
-    return mx.shard_manifest(mx.assign_shards(wm.plan(spark, sf), shard_sizes()))
+def manifest(spark, sf, pcs: DataFrame | None = None) -> DataFrame:
+    pcs = pieces(spark, sf) if pcs is None else pcs
+    return bounded(mx.shard_manifest(pcs), max_rows=1_000_000)  # one row per shard
 
 
 def filled(spark, sf) -> DataFrame:
-    wins = wn.sequential_windows(manifest(spark, sf), SEQ_LEN)
-    tok = wn.window_tokens(wins, pieces_with_ids(spark, sf), SEQ_LEN)
+    pcs = pieces(spark, sf)
+    tok = wn.window_tokens(manifest(spark, sf, pcs), pieces_with_ids(spark, sf, pcs), SEQ_LEN)
     inputs, labels, _ = wn.shift_labels("tokens", SEQ_LEN)
     return tok.withColumn("input_ids", inputs).withColumn("labels", labels)
 
