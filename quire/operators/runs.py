@@ -132,7 +132,9 @@ def throughput(log: DataFrame, tokens_per_step: int, log_interval: int, bucket_s
 def speed_regression(tput: DataFrame, log: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Per run: median tok/s and peak reserved memory, each against the median over
     runs; a run is flagged when its median speed is below ``threshold`` x that."""
-    speed = tput.groupBy("run_id").agg(F.percentile("tok_per_sec", 0.5).alias("median_tok_per_sec"))
+    from quire.plans.quantile import exact_quantile
+
+    speed = exact_quantile(tput, ["run_id"], "tok_per_sec", 0.5, "median_tok_per_sec", tiebreak="step")
     mem = select_events(log, "train").groupBy("run_id").agg(F.max("max_reserved_gb").alias("peak_reserved_gb"))
     per_run = speed.join(mem, "run_id", "full")
     everyone = Window.partitionBy()  # one row per run

@@ -30,6 +30,9 @@ def sequential_windows(manifest: DataFrame, seq_len: int, max_windows: int | Non
     stop after ``max_windows``. Output: ``split, shard, start, window_idx``."""
     L = seq_len
     counts = sequential_window_counts(manifest, L)
+    # The manifest is tiny but a shard can hold ~10^5-10^6 windows: spread shards over
+    # tasks before generating their windows.
+    counts = counts.repartition("split", "shard")
     w = counts.where(F.col("n_windows") > 0).select(
         "split", "shard", "num_tokens", "first_idx", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("k")
     )

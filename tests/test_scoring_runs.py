@@ -92,3 +92,27 @@ def test_schedule_audit_exact_schedule(spark):
     rows.append({"run_id": "A", "ts": dt.datetime(2025, 1, 1), "event": "train", "step": 60, "lr": 0.5, "tokens_seen": 1})
     r = rn.schedule_audit(_log(spark, rows), 10, 100, 1e-3, 1e-4, 8).first()
     assert (r.train_rows, r.lr_mismatches, r.tokens_mismatches) == (7, 1, 1)
+
+
+def test_exact_quantile_matches_numpy_with_hot_key(spark):
+    import numpy as np
+
+    from quire.plans.quantile import exact_quantile
+
+    rng = np.random.default_rng(1)
+    rows = [("hot", i, float(v)) for i, v in enumerate(rng.lognormal(3, 1, 3000))]
+    rows += [("cold", 10_000 + i, float(v)) for i, v in enumerate(rng.lognormal(1, 0.5, 7))]
+    rows += [("one", 20_000, 5.0), ("ties", 30_000, 2.0), ("ties", 30_001, 2.0)]
+    df = spark.createDataFrame(rows, "k string, id long, v double")
+    for p in (0.5, 0.1, 0.99):
+        got = {r.k: r.q for r in exact_quantile(df, ["k"], "v", p, "q", tiebreak="id").collect()}
+        for k in ("hot", "cold", "one", "ties"):
+            vals = [v for kk, _, v in rows if kk == k]
+            assert abs(got[k] - float(np.percentile(vals, p * 100))) < 1e-9 * max(1.0, abs(got[k]))
+
+
+def test_cap_samples_is_limited_before_shuffle(spark):
+    rows = [("m", "t", i, 0, 0, 0.0) for i in range(50)]
+    df = spark.createDataFrame(rows, "model string, task string, request_id long, choice int, gold int, ll double")
+    capped = sc.cap_samples(df, 5)
+    assert sorted(r.request_id for r in capped.collect()) == [0, 1, 2, 3, 4]
