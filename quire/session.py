@@ -42,16 +42,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``; we only
-    pick a local scratch folder when nothing is configured (tests, local runs).
-    """
-    configured = spark.sparkContext.getCheckpointDir()
+    pick a local scratch folder when nothing is configured (tests, local runs)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: configure through the session conf only
+        sc = None
+    configured = sc.getCheckpointDir() if sc is not None else None
     if configured:
         return configured
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

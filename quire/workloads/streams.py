@@ -16,7 +16,7 @@ from quire.workloads import vocab as wv
 
 def q_stream_corpus(spark, sf):
     schema = read_table(spark, sf, "documents").schema
-    docs = st.read_corpus_stream(spark, f"{sf.rstrip('/')}/documents*.parquet", schema, max_files_per_trigger=1)
+    docs = st.read_corpus_stream(spark, f"{sf.rstrip('/')}/documents*.parquet", schema)
     out, ck = scratch_path(spark, "stream-corpus"), scratch_path(spark, "stream-corpus-ck")
     q = st.stream_corpus(docs, ByteTokenizer(), out, ck)
     q.awaitTermination()
@@ -33,7 +33,7 @@ def _log_files(spark, sf) -> str:
 def q_stream_metrics(spark, sf):
     src = _log_files(spark, sf)
     out, ck = scratch_path(spark, "stream-metrics"), scratch_path(spark, "stream-metrics-ck")
-    q = st.stream_metrics(st.read_metrics_stream(spark, src, max_files_per_trigger=8), out, ck)
+    q = st.stream_metrics(st.read_metrics_stream(spark, src), out, ck)
     q.awaitTermination()
     back = spark.read.parquet(out)
     return back.groupBy("run_id", "event").agg(
@@ -46,7 +46,7 @@ def q_stream_metrics(spark, sf):
 def q_stream_run_latest(spark, sf):
     src = _log_files(spark, sf)
     out, ck = scratch_path(spark, "run-latest"), scratch_path(spark, "run-latest-ck")
-    q = st.stream_run_latest(st.read_metrics_stream(spark, src, max_files_per_trigger=8), out, ck)
+    q = st.stream_run_latest(st.read_metrics_stream(spark, src), out, ck)
     q.awaitTermination()
     r = spark.read.parquet(out)
     return r.select("run_id", "last_step", "last_loss", "last_val_loss", F.col("finished").cast("long").alias("finished"), "events")
