@@ -4,8 +4,9 @@ A two-pass plan (prefix sums, a budget check) reads its input twice; without a
 materialization point Spark recomputes the whole upstream lineage — scan, clean and,
 worst of all, tokenize — for every pass. These helpers cut the lineage explicitly:
 
-* ``checkpointed``: a reliable checkpoint in the session's shared checkpoint folder
-  (``spark.checkpoint.dir``); survives lost executors and gives AQE real statistics.
+* ``checkpointed``: a table written to the session's shared checkpoint folder
+  (``spark.checkpoint.dir``) and read back; survives lost executors and gives AQE
+  real statistics.
 * ``bounded``: collect a table whose size is fixed by configuration (one row per
   source, per shard, …) and rebuild it as a local relation, after checking the bound.
 """
@@ -15,19 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint computed once: an eager checkpoint first counts and then
-    writes its input, so the input is cached for the duration of the write."""
-    from pyspark import StorageLevel
+def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet table below the session's shared checkpoint folder
+    and read it back: one job (an eager ``checkpoint()`` would compute its input twice
+    or need a cache), lineage cut, survives lost executors, and later stages get file
+    statistics for AQE."""
+    from quire.session import scratch_path
 
-    from quire.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    path = scratch_path(spark, f"table-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
