@@ -261,7 +261,7 @@ def build_examples(
     else:
         tid, tlab, used_tail = ids, labels, F.lit(False)
     out = (
-        packed.withColumn("n_tokens", F.size(ids))
+        packed.withColumn("n_tokens", F.size(ids).cast("long"))
         .withColumn("used_tail", used_tail)
         .withColumn("input_ids", pad_or_truncate(tid, seq_len, PAD_ID))
         .withColumn("labels", pad_or_truncate(tlab, seq_len, IGNORE_INDEX))

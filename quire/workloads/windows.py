@@ -150,7 +150,7 @@ def _sql():
               SELECT d AS draw, CAST(floor(CAST(('0x' || substr(md5('{SEED}:' || CAST(d AS VARCHAR)), 1, 13)) AS BIGINT) / {float(16**13)!r}
                                       * (SELECT total FROM captot)) AS BIGINT) AS g
               FROM range((SELECT CAST(sum(num_tokens) // {L + 1} AS BIGINT) FROM man WHERE split = 'train')) t(d))
-            SELECT d.draw, c.shard, d.g - c.cum AS start FROM draws d JOIN caps c ON d.g >= c.cum AND d.g < c.cum + c.cap""",
+            SELECT d.draw, c.shard, CAST(d.g - c.cum AS BIGINT) AS start FROM draws d JOIN caps c ON d.g >= c.cum AND d.g < c.cum + c.cap""",
         "shift_labels": C + "SELECT split, window_idx, inputs_md5, labels_md5, n_tokens FROM filled",
         "eval_loss": C + "SELECT split, round(val_loss, 9) AS val_loss, eval_batches FROM ev",
         "perplexity": C + "SELECT split, round(exp(least(val_loss, 20.0)), 6) AS perplexity FROM ev",
