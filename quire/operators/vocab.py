@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from quire.config import SPECIAL_TOKENS
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.text import col_of
+from quire.plans.materialize import checkpointed
 from quire.plans.prefix import bucketed_rank
 
 # The GPT-2 byte-level pre-tokenization pattern.
@@ -205,6 +206,7 @@ def train_bpe(
     candidates: int = 4096,
     full_alphabet: bool = False,
     max_rounds: int | None = None,
+    checkpoint_every: int = 10,
 ) -> BPEModel:
     """``words(word, count)`` (byte-level pieces) → trained model.
 
@@ -223,9 +225,10 @@ def train_bpe(
     index = {t: i for i, t in enumerate(vocab)}
     byte_id = {b: index[b2u[b]] for b in alphabet}
     lookup = F.create_map(*[x for b, i in byte_id.items() for x in (F.lit(b), F.lit(i))])
-    cur = bw.select(F.transform("bytes", lambda b: lookup[b]).alias("sym"), "count").checkpoint()
+    cur = checkpointed(bw.select(F.transform("bytes", lambda b: lookup[b]).alias("sym"), "count"), "bpe-words")
     merges: list[tuple[str, str]] = []
     rounds = 0
+    prev = None
     min_count = max(1, min_frequency)
     while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
         rounds += 1
@@ -262,8 +265,14 @@ def train_bpe(
                 # The merge feeds an existing symbol, whose pair counts then change:
                 # end the round here to stay exact.
                 break
-        # Checkpoint (shared folder) every round: cuts lineage, survives lost executors.
-        cur = cur.select(apply_merges(F.col("sym"), mm).alias("sym"), "count").checkpoint()
+        # The next word table is cached (materialized by the next round's first job);
+        # every ``checkpoint_every`` rounds it is checkpointed into the shared folder so
+        # a lost executor never replays more than that many rounds.
+        if prev is not None:
+            prev.unpersist()
+        nxt = cur.select(apply_merges(F.col("sym"), mm).alias("sym"), "count")
+        nxt = nxt.checkpoint() if rounds % checkpoint_every == 0 else nxt.persist()
+        prev, cur = cur, nxt
     model = BPEModel(vocab, merges, specials)
     model.rounds = rounds  # type: ignore[attr-defined]
     return model

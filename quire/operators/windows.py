@@ -53,27 +53,28 @@ def random_windows(spark: SparkSession, manifest: DataFrame, n: int, seq_len: in
 
     The shard lookup is an equi-join on a position bucket against the (small) shard
     table, then a range check — no nested-loop join."""
+    from quire.plans.materialize import bounded
+
     L = seq_len
     cap = F.greatest(F.col("num_tokens") - F.lit(L + 1), F.lit(0))
     shards = manifest.where(F.col("split") == split).withColumn("cap", cap).where(F.col("cap") > 0)
-    order = Window.partitionBy("split").orderBy("shard")
-    shards = shards.withColumn("cum", F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    shards = shards.withColumn("total", F.sum("cap").over(Window.partitionBy("split")))
-    bsize = F.greatest(F.ceil(F.col("total") / F.lit(buckets)), F.lit(1))
-    shard_b = shards.withColumn("bsize", bsize).select(
-        "split", "shard", "cap", "cum", "total", "bsize",
-        F.explode(F.sequence(F.floor(F.col("cum") / F.col("bsize")), F.floor((F.col("cum") + F.col("cap") - 1) / F.col("bsize")))).alias("b"),
+    order = Window.partitionBy("split").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per shard: small and bounded, so it is kept as a local relation.
+    shards = bounded(shards.withColumn("cum", F.coalesce(F.sum("cap").over(order), F.lit(0))).select("shard", "cap", "cum"))
+    total = shards.agg(F.sum("cap")).first()[0] or 0
+    if total <= 0:
+        raise RuntimeError("No shard contains enough tokens for the selected sequence length.")
+    bsize = max(1, -(-total // buckets))
+    shard_b = shards.select(
+        "shard", "cap", "cum",
+        F.explode(F.sequence(F.floor(F.col("cum") / F.lit(bsize)), F.floor((F.col("cum") + F.col("cap") - 1) / F.lit(bsize)))).alias("b"),
     )
-    totals = shards.select("split", "total").distinct().withColumn("bsize", bsize)
-    draws = spark.range(n).withColumnRenamed("id", "draw").withColumn("split", F.lit(split))
-    draws = draws.join(F.broadcast(totals), "split")  # one row per split
+    draws = spark.range(n).withColumnRenamed("id", "draw")
     u = unit_interval(order_key(seed, F.col("draw")))
-    draws = draws.withColumn("g", F.floor(u * F.col("total")).cast("long")).withColumn("b", F.floor(F.col("g") / F.col("bsize")))
+    draws = draws.withColumn("g", F.floor(u * F.lit(float(total))).cast("long")).withColumn("b", F.floor(F.col("g") / F.lit(bsize)))
     # shard_b is bounded by (number of shards + buckets) rows.
-    hit = draws.join(F.broadcast(shard_b.drop("total", "bsize")), ["split", "b"]).where(
-        (F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap"))
-    )
-    return hit.select("split", "draw", "shard", (F.col("g") - F.col("cum")).alias("start"))
+    hit = draws.join(F.broadcast(shard_b), "b").where((F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap")))
+    return hit.select(F.lit(split).alias("split"), "draw", "shard", (F.col("g") - F.col("cum")).alias("start"))
 
 
 def window_tokens(windows_or_manifest: DataFrame, pieces: DataFrame, seq_len: int, tokens_col: str = "tokens",
