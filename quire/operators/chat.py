@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.config import BOS_ID, EOS_ID, IGNORE_INDEX, PAD_ID, ChatConfig
 from quire.functions.hashing import hex_bucket, order_key
-from quire.functions.text import PY_WHITESPACE, col_of, py_strip
+from quire.functions.text import PY_WHITESPACE, col_of, has_content, py_strip
 from quire.plans.prefix import bucketed_rank
 
 MESSAGE_TYPE = "array<struct<role:string,content:string>>"
@@ -222,11 +222,13 @@ def supervised_count(labels: str | Column) -> Column:
     return F.size(F.filter(col_of(labels), lambda v: v != F.lit(IGNORE_INDEX)))
 
 
-def tail_window(ids: Column, labels: Column, seq_len: int, min_supervised: int) -> tuple[Column, Column]:
+def tail_window(ids: Column, labels: Column, seq_len: int, min_supervised: int, n_total: Column | None = None) -> tuple[Column, Column]:
     """Use the last ``seq_len`` tokens when the head window holds fewer than
-    ``min_supervised`` supervised tokens (and the dialog is longer than the window)."""
+    ``min_supervised`` supervised tokens (and the dialog is longer than the window).
+    ``n_total`` is the dialog's full length when ``ids`` only holds its head and tail."""
     head_sup = supervised_count(F.slice(labels, 1, seq_len))
-    use_tail = (F.size(ids) > F.lit(seq_len)) & (head_sup < F.lit(min_supervised))
+    total = F.size(ids) if n_total is None else n_total
+    use_tail = (total > F.lit(seq_len)) & (head_sup < F.lit(min_supervised))
     start = F.greatest(F.size(ids) - F.lit(seq_len) + 1, F.lit(1))
     return (
         F.when(use_tail, F.slice(ids, start, seq_len)).otherwise(ids),
@@ -250,18 +252,20 @@ def build_examples(
     encode_many: Callable[[Column], Column] = _byte_encode_many,
     label_alignment: str = "next_token",
     use_tail_window: bool = True,
+    total_col: str | None = None,
 ) -> DataFrame:
     """``messages`` → ``input_ids, labels`` of length ``seq_len`` plus ``n_tokens``
     (before padding), ``supervised`` (after packing) and ``used_tail``."""
     packed = dialogs.withColumn("__p", mask_labels("messages", encode_many, label_alignment))
     ids, labels = F.col("__p.input_ids"), F.col("__p.labels")
+    n_total = F.col(total_col).cast("long") if total_col else F.size(ids).cast("long")
     if use_tail_window and min_supervised > 0:
-        tid, tlab = tail_window(ids, labels, seq_len, min_supervised)
-        used_tail = (F.size(ids) > F.lit(seq_len)) & (supervised_count(F.slice(labels, 1, seq_len)) < F.lit(min_supervised))
+        tid, tlab = tail_window(ids, labels, seq_len, min_supervised, n_total)
+        used_tail = (n_total > F.lit(seq_len)) & (supervised_count(F.slice(labels, 1, seq_len)) < F.lit(min_supervised))
     else:
         tid, tlab, used_tail = ids, labels, F.lit(False)
     out = (
-        packed.withColumn("n_tokens", F.size(ids).cast("long"))
+        packed.withColumn("n_tokens", n_total)
         .withColumn("used_tail", used_tail)
         .withColumn("input_ids", pad_or_truncate(tid, seq_len, PAD_ID))
         .withColumn("labels", pad_or_truncate(tlab, seq_len, IGNORE_INDEX))
@@ -340,3 +344,35 @@ def supervision_stats(examples: DataFrame) -> DataFrame:
         F.min("supervised").alias("min_supervised"),
         F.max("supervised").alias("max_supervised"),
     )
+
+
+def window_turns(turns: DataFrame, seq_len: int, count_tokens: Callable[[Column], Column] | None = None,
+                 conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+                 turns_per_bucket: int = 1024) -> DataFrame:
+    """Row-per-turn chat → one row per dialog holding only the messages that overlap
+    its first or last ``seq_len`` tokens, plus ``n_total`` (the full example length).
+
+    Message pieces are tokenized one by one, so their token counts add up; a bucketed
+    prefix sum over turns gives every message's position, and only messages that reach
+    into the head window or the tail window are collected. ``build_examples(...,
+    total_col="n_total")`` then produces exactly the examples of the full dialog while
+    no group holds more than about two windows of messages, however long the dialog."""
+    from quire.plans.prefix import exclusive_prefix_sums
+
+    if count_tokens is None:
+        def count_tokens(piece: Column) -> Column:
+            return F.octet_length(piece).cast("long")
+
+    msg = F.struct(F.col(role).alias("role"), F.col(text).alias("content"))
+    kept = turns.where(F.col(role).isNotNull() & F.col(text).isNotNull() & has_content(F.col(text)))
+    kept = kept.withColumn("__n", count_tokens(render_message(msg)))
+    kept = kept.withColumn("__b", F.floor(F.col(turn) / F.lit(turns_per_bucket)).cast("long"))
+    pos = exclusive_prefix_sums(kept, [conv], "__b", [turn], {"__cum": "__n"})
+    totals = kept.groupBy(conv).agg((F.sum("__n") + F.lit(2)).alias("n_total"))  # + bos, eos
+    pos = pos.join(totals, conv)
+    start = F.col("__cum") + F.lit(1)  # position of the piece's first token (after bos)
+    head = start < F.lit(seq_len)
+    tail = start + F.col("__n") > F.col("n_total") - F.lit(seq_len)
+    sel = pos.where(head | tail)
+    packed = sel.groupBy(conv, "n_total").agg(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), msg.alias("m")))).alias("__m"))
+    return packed.select(conv, "n_total", F.transform("__m", lambda x: x["m"]).cast(MESSAGE_TYPE).alias("messages"))

@@ -49,9 +49,14 @@ def mixed(spark, sf) -> DataFrame:
 
 
 def examples(spark, sf, label_alignment="next_token") -> DataFrame:
-    d = mixed(spark, sf).withColumn("messages", ch.normalize_messages("messages"))
-    d = ch.drop_empty_dialogs(d)
-    return ch.build_examples(d, SEQ_LEN, MIN_SUP, label_alignment=label_alignment)
+    """Examples built from head/tail-window turns only (``window_turns``): the same
+    result as assembling whole dialogs, with groups bounded by the window size."""
+    t = read_table(spark, sf, "conversations")
+    opening = t.groupBy("conv_id").agg(F.min_by("role", "turn").alias("opening_role"))
+    d = ch.window_turns(t, SEQ_LEN).join(opening, "conv_id")
+    d = scan_chat_mix({s.source_name: d for s in CHAT_SOURCES}, chat_config())
+    d = ch.drop_empty_dialogs(d.withColumn("messages", ch.normalize_messages("messages")))
+    return ch.build_examples(d, SEQ_LEN, MIN_SUP, label_alignment=label_alignment, total_col="n_total")
 
 
 def _md5_ids(c):
