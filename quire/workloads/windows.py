@@ -48,8 +48,9 @@ def filled(spark, sf) -> DataFrame:
 
 
 def eval_logprobs(spark, sf) -> list[float]:
-    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents")))
-    lm = fit_unigram(docs).where(F.col("model") == EVAL_MODEL).orderBy("token_id")
+    # The model is fitted on its own source only: filter before fitting (pushed to the scan).
+    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents"), sources=[EVAL_MODEL]))
+    lm = fit_unigram(docs).orderBy("token_id")
     return [r.logprob for r in lm.select("logprob").collect()]  # 260 values: the vocabulary
 
 
