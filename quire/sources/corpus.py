@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.config import DataMixConfig, SourceConfig
-from quire.functions.text import clean_text, has_content, py_strip
+from quire.functions.text import has_content, py_strip
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "

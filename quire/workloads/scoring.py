@@ -20,7 +20,7 @@ from quire.operators import scoring as sc
 from quire.functions.tokenizers import ByteTokenizer
 from quire.operators.unigram import fit_unigram, score_tokens
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table
-from quire.workloads.common import sql_strip, sql_ws
+from quire.workloads.common import sql_strip
 
 CAP = 5
 

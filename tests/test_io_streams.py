@@ -6,7 +6,6 @@ import tempfile
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from quire.operators import scoring as sc
 from quire.sources import shards as sh

@@ -3,7 +3,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from quire.operators import runs as rn
 from quire.operators import scoring as sc

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from quire.functions.tokenizers import ByteTokenizer
 from quire.operators import vocab as vb
