@@ -235,6 +235,40 @@ class TokenShardWriter(DataSourceWriter):
                     os.remove(tmp)
 
 
+def _gather(batches, paths: dict, seq_len: int):
+    """Executor side: read ``seq_len + 1`` tokens at each ``(shard, start)`` from the
+    memory-mapped shard files."""
+    L = seq_len
+    maps: dict = {}
+    for rb in batches:
+        shard = rb.column("shard").to_numpy(zero_copy_only=False)
+        start = rb.column("start").to_numpy(zero_copy_only=False)
+        win = np.empty((len(shard), L + 1), dtype=np.int32)
+        for i, (sh_i, st_i) in enumerate(zip(shard, start)):
+            m = maps.get(int(sh_i))
+            if m is None:
+                m = maps[int(sh_i)] = np.memmap(paths[int(sh_i)], dtype="<u2", mode="r")
+            win[i] = m[int(st_i) : int(st_i) + L + 1]
+        offsets = pa.array(np.arange(len(shard) + 1, dtype=np.int32) * L)
+        cols = [rb.column(i) for i in range(rb.num_columns)]
+        names = list(rb.schema.names)
+        yield pa.RecordBatch.from_arrays(
+            cols + [pa.ListArray.from_arrays(offsets, pa.array(win[:, :-1].reshape(-1))),
+                    pa.ListArray.from_arrays(offsets, pa.array(win[:, 1:].reshape(-1)))],
+            names=names + ["input_ids", "labels"],
+        )
+
+
+def gather_windows(windows: DataFrame, data_dir: str, split: str, seq_len: int) -> DataFrame:
+    """Windows ``(…, shard, start)`` — e.g. from ``operators.windows.random_windows`` —
+    → ``input_ids`` / ``labels`` read from the shard files (inputs are the first
+    ``seq_len`` tokens, labels the next-token shift). The shard path table is the
+    manifest (one entry per shard); each task memory-maps only what it reads."""
+    paths = {i: item["absolute_path"] for i, item in enumerate(load_manifest(data_dir, split))}
+    schema = windows.schema.simpleString()[len("struct<"):-1] + ", input_ids array<int>, labels array<int>"
+    return windows.mapInArrow(lambda it: _gather(it, paths, seq_len), schema)
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(TokenShardSource)
     spark.dataSource.register(SFTShardSource)

@@ -119,3 +119,22 @@ def test_stream_corpus_restart_adds_nothing(spark):
     run()
     got = sorted((r.doc_id, list(r.ids)) for r in spark.read.parquet(out).collect())
     assert got == [(1, [1, ord("x") + 4, 2]), (3, [1, ord("y") + 4, ord("z") + 4, 2])]
+
+
+def test_random_windows_gathered_from_files(spark):
+    from quire.operators.windows import random_windows
+
+    out = _tmp()
+    rng = np.random.default_rng(3)
+    toks = rng.integers(0, 65536, size=3000).tolist()
+    pieces = [(i // 1000, i % 1000, toks[i:i + 50]) for i in range(0, 3000, 50)]
+    sh.write_token_shards(spark.createDataFrame(pieces, "shard long, shard_pos long, tokens array<int>"), out, "train")
+    man = spark.createDataFrame([("train", k, 1000) for k in range(3)], "split string, shard long, num_tokens long")
+    L = 32
+    draws = random_windows(spark, man, 200, L, seed=1)
+    got = sh.gather_windows(draws, out, "train", L).collect()
+    assert len(got) == 200
+    for r in got:
+        base = r.shard * 1000 + r.start
+        assert 0 <= r.start < 1000 - L - 1
+        assert list(r.input_ids) == toks[base:base + L] and list(r.labels) == toks[base + 1:base + L + 1]
