@@ -108,9 +108,33 @@ def utf8_bytes(text: str | Column) -> Column:
     return _utf8_bytes(col_of(text))
 
 
-@F.pandas_udf(T.StringType())
-def _byte_decode_skip(ids):
-    return ids.map(lambda v: byte_decode_list(None if v is None else v.tolist(), True))
+def byte_decode_arrow(lists: pa.Array) -> pa.Array:
+    """``list<int>`` ids → text, specials skipped, on the Arrow buffers; lists whose
+    bytes are not valid UTF-8 fall back to a per-row decode with replacement."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    lists = pa.concat_arrays([lists]) if lists.offset != 0 else lists
+    n = len(lists)
+    offsets = np.asarray(lists.offsets)
+    values = np.asarray(lists.values.fill_null(0), dtype=np.int64)
+    keep = values >= BYTE_OFFSET
+    kept_before = np.concatenate([[0], np.cumsum(keep)])
+    new_offsets = kept_before[offsets].astype(np.int64)
+    data = (values[keep] - BYTE_OFFSET).astype(np.uint8)
+    # Same row count and offset 0 as ``lists``, so its validity bitmap carries over.
+    binary = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), n, [lists.buffers()[0], pa.py_buffer(new_offsets.tobytes()), pa.py_buffer(data.tobytes())],
+        null_count=lists.null_count,
+    )
+    try:
+        return binary.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([None if b is None else b.decode("utf-8", errors="replace") for b in binary.to_pylist()], pa.string())
+
+
+@F.arrow_udf(T.StringType())
+def _byte_decode_skip(ids: pa.Array) -> pa.Array:
+    return byte_decode_arrow(ids)
 
 
 @F.pandas_udf(T.StringType())

@@ -81,3 +81,9 @@ def test_sample_documents_quota(spark):
     df = spark.createDataFrame(rows, "source string, doc_id long, text string")
     got = {r.source: r["count"] for r in vb.sample_documents(df, spark, mix, 4, seed=1).groupBy("source").count().collect()}
     assert got == {"a": 3, "b": 2}
+
+
+def test_byte_decode_handles_truncated_utf8(spark):
+    bt = ByteTokenizer()
+    df = spark.createDataFrame([([1, 4 + 0xC3, 2],), ([1, 4 + ord("a"), 2],), (None,)], "ids array<int>")
+    assert [r.t for r in df.select(bt.decode("ids").alias("t")).collect()] == ["�", "a", None]
