@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.plans.asof import epoch_micros, last_before, time_bucket
+from quire.plans.asof import epoch_micros, last_before, last_before_many, time_bucket
 
 BUCKET_SECONDS = 6 * 3600  # as-of buckets: 6 hours of log time
 
@@ -117,8 +117,10 @@ def throughput(log: DataFrame, tokens_per_step: int, log_interval: int, bucket_s
         "__o", F.when(F.col("event") == "train", 1).otherwise(0)
     )
     order = ["ts", "__o", "step"]
-    prev_train = last_before(rows, ["run_id"], "__b", order, F.when(F.col("event") == "train", F.col("ts")), "prev_train_ts")
-    prev_pause = last_before(prev_train, ["run_id"], "__b", order, F.when(F.col("event") != "train", F.col("ts")), "prev_pause_ts")
+    prev_pause = last_before_many(rows, ["run_id"], "__b", order, {
+        "prev_train_ts": F.when(F.col("event") == "train", F.col("ts")),
+        "prev_pause_ts": F.when(F.col("event") != "train", F.col("ts")),
+    })
     tr = prev_pause.where(F.col("event") == "train")
     elapsed = (epoch_micros("ts") - epoch_micros("prev_train_ts")) / F.lit(1e6)
     return tr.select(

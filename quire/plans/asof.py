@@ -33,25 +33,38 @@ def last_before(
     """Add ``out`` = the last non-null ``value`` of an earlier row of the same ``keys``
     in ``order`` (strictly before; ties in ``order`` are broken by the listed columns,
     which must make the order total)."""
+    return last_before_many(df, keys, bucket, order, {out: value})
+
+
+def last_before_many(
+    df: DataFrame,
+    keys: Sequence[str],
+    bucket: str,
+    order: Sequence[str],
+    values: dict[str, str | Column],
+) -> DataFrame:
+    """``last_before`` for several values in one pass (one bucket table, one join,
+    one window)."""
     keys = list(keys)
-    v = F.col(value) if isinstance(value, str) else value
-    staged = df.withColumn("__v", v)
+    tmp = {o: f"__v{i}" for i, o in enumerate(values)}
+    staged = df
+    for o, v in values.items():
+        staged = staged.withColumn(tmp[o], F.col(v) if isinstance(v, str) else v)
     ord_struct = F.struct(*[F.col(o) for o in order])
-    per_bucket = (
-        staged.where(F.col("__v").isNotNull())
-        .groupBy(*keys, bucket)
-        .agg(F.max_by("__v", ord_struct).alias("__bl"))
+    per_bucket = staged.groupBy(*keys, bucket).agg(
+        *[F.max_by(tmp[o], F.when(F.col(tmp[o]).isNotNull(), ord_struct)).alias(f"{tmp[o]}_bl") for o in values]
     )
-    # Buckets without any non-null value still need the carried value: derive the
-    # carry for every bucket present in the data from the bucket table.
-    present = staged.select(*keys, bucket).distinct()
-    all_b = present.join(per_bucket, [*keys, bucket], "left")
+    # Every bucket present in the data gets the last value of earlier buckets.
     w_all = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    carry_all = all_b.select(*keys, bucket, F.last("__bl", ignorenulls=True).over(w_all).alias("__carry"))
-    joined = staged.join(carry_all, [*keys, bucket], "left")
+    carry = per_bucket.select(
+        *keys, bucket, *[F.last(f"{tmp[o]}_bl", ignorenulls=True).over(w_all).alias(f"{tmp[o]}_c") for o in values]
+    )
+    joined = staged.join(carry, [*keys, bucket], "left")
     w_in = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    res = joined.withColumn(out, F.coalesce(F.last("__v", ignorenulls=True).over(w_in), F.col("__carry")))
-    return res.drop("__v", "__carry")
+    res = joined
+    for o in values:
+        res = res.withColumn(o, F.coalesce(F.last(tmp[o], ignorenulls=True).over(w_in), F.col(f"{tmp[o]}_c")))
+    return res.drop(*tmp.values(), *[f"{t}_c" for t in tmp.values()])
 
 
 def epoch_micros(ts: str | Column) -> Column:
