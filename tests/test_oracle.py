@@ -5,10 +5,11 @@ import math
 import pytest
 
 import __spark_entry__ as entry
+from quire.workloads import registry
 from tests.conftest import SF_SMALL
 
-QS = entry.queries()
-SQL = entry.oracle_sql()
+QS = registry.queries()
+SQL = registry.oracle_sql()
 
 
 def _norm(v):

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from quire.workloads import registry
 from tests.conftest import SF_SMALL
 
-QS = entry.queries()
+QS = registry.queries()
 HEAVY = {"train_bpe"}
 
 
