@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from quire.llm.batches import table
 from quire.llm.cost_packing import pack_documents
+from quire.llm.simhash_pivots import near_duplicates
+
+
+def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
 def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +26,7 @@ def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_simhash_pivots": op4_simhash_pivots,
     "op8_cost_packing": op8_cost_packing,
 }
 
