@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.batches import table
 from quire.llm.cost_packing import pack_documents
+from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.simhash_pivots import near_duplicates
 
 
@@ -25,9 +26,15 @@ def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_substrings(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     "op4_simhash_pivots": op4_simhash_pivots,
     "op8_cost_packing": op8_cost_packing,
+    "op9_phrase_automata": op9_phrase_automata,
 }
 
 SQL: dict[str, str] = {}
