@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.batches import table
+from quire.llm.bpe_transducer import decode_documents, encode_documents
 from quire.llm.cost_packing import pack_documents
+from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.simhash_pivots import near_duplicates
 
@@ -17,6 +19,21 @@ def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode_documents(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), seq_len=1024, separator=0
@@ -33,6 +50,8 @@ def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_simhash_pivots": op4_simhash_pivots,
+    "op5_bpe_transducer": op5_bpe_transducer,
+    "op7_license_diagonals": op7_license_diagonals,
     "op8_cost_packing": op8_cost_packing,
     "op9_phrase_automata": op9_phrase_automata,
 }
