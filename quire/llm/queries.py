@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.batches import table
+from quire.llm.brown_classes import score_documents
 from quire.llm.bpe_transducer import decode_documents, encode_documents
 from quire.llm.cost_packing import pack_documents
 from quire.llm.license_diagonals import scan_licenses
@@ -15,6 +16,10 @@ from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.simhash_pivots import near_duplicates
 
 
+def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -49,6 +54,7 @@ def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_brown_classes": op1_brown_classes,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_license_diagonals": op7_license_diagonals,
