@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.batches import table
+from quire.llm.bit_sliced import top_k
 from quire.llm.brown_classes import score_documents
 from quire.llm.bpe_transducer import decode_documents, encode_documents
 from quire.llm.cost_packing import pack_documents
 from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings
+from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
 from quire.llm.simhash_pivots import near_duplicates
 
 
@@ -20,6 +22,10 @@ def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256.0, every=50)
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -53,13 +59,19 @@ def op9_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op10_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq_near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_brown_classes": op1_brown_classes,
+    "op2_bit_sliced": op2_bit_sliced,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_bpe_transducer": op5_bpe_transducer,
     "op7_license_diagonals": op7_license_diagonals,
     "op8_cost_packing": op8_cost_packing,
     "op9_phrase_automata": op9_phrase_automata,
+    "op10_pq_neardup": op10_pq_neardup,
 }
 
 SQL: dict[str, str] = {}
