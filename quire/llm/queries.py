@@ -16,6 +16,8 @@ from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
 from quire.llm.simhash_pivots import near_duplicates
+from quire.llm.site_bayes import classify
+from quire.llm.toxicity_gbt import score_toxicity
 
 
 def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,11 @@ def op2_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=5, scale=256.0, every=50)
 
 
+def op3_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("text_key")
+
+
 def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -41,6 +48,11 @@ def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("text_key")
+
+
 def op7_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -66,8 +78,10 @@ def op10_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_brown_classes": op1_brown_classes,
     "op2_bit_sliced": op2_bit_sliced,
+    "op3_site_bayes": op3_site_bayes,
     "op4_simhash_pivots": op4_simhash_pivots,
     "op5_bpe_transducer": op5_bpe_transducer,
+    "op6_toxicity_gbt": op6_toxicity_gbt,
     "op7_license_diagonals": op7_license_diagonals,
     "op8_cost_packing": op8_cost_packing,
     "op9_phrase_automata": op9_phrase_automata,
