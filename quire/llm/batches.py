@@ -46,6 +46,13 @@ def lower_words(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+def without_rows(df: DataFrame, rejected: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` less the rows whose id and text hash are in ``rejected(doc_id, text_key)``."""
+    gone = rejected.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key"))
+    return df.join(gone, same, "left_anti")
+
+
 def pieces_of(batch, rows: int = 1024):
     """Cut a record batch so that no step holds more than ``rows`` texts at once."""
     for i in range(0, batch.num_rows, rows):

@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.batches import documents, pieces_of, raw_texts, tasks_for
@@ -306,6 +306,17 @@ def _without(df: DataFrame) -> DataFrame:
     return df.select("key", "doc_id", "text", "found").mapInArrow(run, "key long, doc_id long, n_removed long, kept string")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)), F.col(text_col).cast("string"))
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``df`` with the repeated words cut out of its texts; all columns and rows stay."""
+    cut = dedup_substrings(df, id_col, text_col, **settings).where("n_removed > 0").select(F.col("key").alias("__key"), F.col("kept").alias("__kept"))
+    joined = df.join(cut.dropDuplicates(["__key"]), row_key(id_col, text_col) == F.col("__key"), "left")
+    return joined.withColumn(text_col, F.coalesce("__kept", text_col)).drop("__key", "__kept")
+
+
 def dedup_substrings(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -315,12 +326,12 @@ def dedup_substrings(
     shard_words: int = 500_000,
     salt_words: int = 20_000,
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_removed, kept_sha256`` and ``kept``,
-    the words that stay, joined by one space (null where none was removed: the text
-    stands as it was). ``shard_words``: borrowed words dealt to a shard on average;
+    """One row per document: ``doc_id, key`` (hash of id and text, the row's key),
+    ``n_words, n_removed, kept_sha256`` and ``kept``, the words that stay, joined by one
+    space (null where none was removed: the text stands as it was). ``shard_words``: borrowed words dealt to a shard on average;
     ``salt_words``: borrowed words of one owner beyond which it is dealt to several."""
     docs = documents(df, id_col, text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)))
-    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("key", row_key("doc_id", "text"))
     facts = checkpointed(_anchor_rows(docs, window, phrase), "anchors")
 
     # Documents of equal words are one content, named by the smallest id that has it.
@@ -357,6 +368,7 @@ def dedup_substrings(
     kept = F.when(copy, F.lit("")).when(F.col("doc_id") == F.col("first_id"), F.col("kept"))
     return judged.select(
         F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")).alias("doc_id"),
+        "key",
         "n_words",
         F.when(copy, F.col("n_words")).when(kept.isNotNull(), F.col("n_removed")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.sha2(kept, 256), "whole_sha256").alias("kept_sha256"),

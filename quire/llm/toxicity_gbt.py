@@ -251,7 +251,7 @@ def score_toxicity(
     threshold: float = THRESHOLD,
     sample: int = 20_000,
     lexicon: int = 4096,
-    least: int = 5,
+    least: int = 2,
     weak: float = 1.5,
     strong: float = 3.0,
 ) -> DataFrame:
