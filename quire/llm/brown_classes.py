@@ -144,7 +144,7 @@ def gains(own: int, after: np.ndarray, before: np.ndarray, itself: float, matrix
     left[own] -= after
     left[:, own] -= before
     left[own, own] -= itself
-    rows, cols = left.sum(1), left.sum(0)
+    rows, cols = left.sum(1) + before, left.sum(0) + after  # the unit's neighbours keep their classes
     out, into = after.sum() + itself, before.sum() + itself
     # Adding the unit to class c changes row c, column c and their crossing.
     row_gain = (_xlogx(left + after) - _xlogx(left)).sum(1)
