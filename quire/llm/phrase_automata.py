@@ -125,7 +125,7 @@ def _anchor_rows(df: DataFrame, window: int, phrase: int) -> DataFrame:
                     content.append(xxhash.xxh3_128_digest(joined))
                     kept.append(hashlib.sha256(joined).hexdigest())
                     hashes = rolling(word_hashes(words), phrase)
-                    found.append(hashes[np.unique(anchors(hashes, window - phrase + 1))].view("i8"))
+                    found.append(np.unique(hashes[anchors(hashes, window - phrase + 1)]).view("i8"))
                 digest = np.frombuffer(b"".join(content), "i8").reshape(-1, 2)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in found])))
                 flat = np.concatenate([*found, np.zeros(0, "i8")])
