@@ -155,12 +155,6 @@ def render_chat(messages: str | Column) -> Column:
     return F.array_join(F.transform(kept, render_message), "")
 
 
-def byte_ids(text: Column) -> Column:
-    """Byte-tokenizer ids (4 + UTF-8 byte) as a Catalyst expression."""
-    pairs = F.slice(F.split(F.hex(F.encode(text, "UTF-8")), "(?<=\\G..)"), 1, F.octet_length(text))
-    return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int") + F.lit(4))
-
-
 def _byte_encode_many(texts: Column) -> Column:
     from quire.functions.tokenizers import ByteTokenizer
 
@@ -371,7 +365,7 @@ def window_turns(turns: DataFrame, seq_len: int, count_tokens: Callable[[Column]
     totals = kept.groupBy(conv).agg((F.sum("__n") + F.lit(2)).alias("n_total"))  # + bos, eos
     pos = pos.join(totals, conv)
     start = F.col("__cum") + F.lit(1)  # position of the piece's first token (after bos)
-    head = start < F.lit(seq_len)
+    head = start <= F.lit(seq_len)  # position seq_len is the last next-token label of the head
     tail = start + F.col("__n") > F.col("n_total") - F.lit(seq_len)
     sel = pos.where(head | tail)
     packed = sel.groupBy(conv, "n_total").agg(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), msg.alias("m")))).alias("__m"))

@@ -267,15 +267,6 @@ def token_stats(plan: DataFrame) -> DataFrame:
     )
 
 
-def stream_position_check(plan: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
-    """Per split: documents, tokens, and whether offsets tile the stream exactly."""
-    return plan.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum("n_written").alias("tokens"),
-        F.max(F.col("stream_offset") + F.col("n_written")).alias("stream_end"),
-    )
-
-
 # ---------------------------------------------------------------- budget prefilter
 
 
@@ -300,17 +291,21 @@ def budget_prefilter(light: DataFrame, targets: DataFrame, seed: int, est_col: s
 
 
 def plan_with_prefilter(light: DataFrame, targets: DataFrame, tokenize, seed: int = 42, est_col: str = "est",
-                        margin: float = 1.25, max_tries: int = 8, digits: int = 3, buckets: int = 4096) -> DataFrame:
+                        margin: float = 1.25, widenings: int = 4, digits: int = 3, buckets: int = 4096) -> DataFrame:
     """``plan_mixture`` that tokenizes only a verified prefix of each source.
 
     ``tokenize(kept_light) -> docs(source, doc_id, n_tokens, …)`` is the expensive step.
     The plan over a per-source prefix equals the plan over everything when the prefix
     is the whole source or its real tokens reach ``val_consumed + train_target``; this
-    is checked on a one-row-per-source table, and the margin doubles until it holds."""
+    is checked on a one-row-per-source table. The margin doubles until it holds; after
+    ``widenings`` the whole source is tokenized, which is always right. The tokenized
+    prefix is written once to the checkpoint folder."""
+    from quire.plans.materialize import checkpointed
+
     n_all = light.groupBy("source").agg(F.count(F.lit(1)).alias("__n_all"))
-    for _ in range(max_tries):
-        kept = budget_prefilter(light, targets, seed, est_col, margin, digits)
-        docs = tokenize(kept).persist()
+    for k in range(widenings + 1):
+        kept = budget_prefilter(light, targets, seed, est_col, margin * 2.0**k, digits) if k < widenings else light
+        docs = checkpointed(tokenize(kept), "prefix")
         plan = plan_mixture(docs, targets, seed, digits, buckets)
         have = docs.groupBy("source").agg(F.sum("n_tokens").alias("__have"), F.count(F.lit(1)).alias("__n_kept"))
         val_used = plan.where(F.col("split") == "val").groupBy("source").agg(F.max(F.col("cum") + F.col("n_tokens")).alias("__vc"))
@@ -320,8 +315,6 @@ def plan_with_prefilter(light: DataFrame, targets: DataFrame, tokenize, seed: in
             .fillna(0, ["__n_all", "__have", "__n_kept", "__vc"])
             .where((F.col("__n_kept") < F.col("__n_all")) & (F.col("__have") < F.col("__vc") + F.col("train_target")))
         )
-        if not check.limit(1).collect():  # one row per source at most
+        if k == widenings or check.isEmpty():
             return plan
-        docs.unpersist()
-        margin *= 2.0
-    raise RuntimeError("budget_prefilter: estimates too low even after widening")
+    raise AssertionError("unreachable")

@@ -80,9 +80,11 @@ def run_status(log: DataFrame) -> DataFrame:
 def resume_lineage(log: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Which run (and step) wrote the checkpoint a run resumed or initialized from:
     the latest write of that path before the resume event (an as-of join keyed by
-    path, one row per resume event)."""
+    path, one row per resume event). A checkpoint event writes two paths: its own step's
+    file and the pointer to the last one, through which most runs resume."""
+    paths = F.array_distinct(F.array_compact(F.array("step_checkpoint", "last_checkpoint")))
     writes = select_events(log, "checkpoint").select(
-        F.col("step_checkpoint").alias("path"), "ts", F.lit(0).alias("__kind"), "run_id", "step",
+        F.explode(paths).alias("path"), "ts", F.lit(0).alias("__kind"), "run_id", "step",
         F.struct(F.col("run_id").alias("parent_run"), F.col("step").alias("parent_step")).alias("__w"),
     )
     reads = select_events(log, "resumed", "initialized_from_checkpoint").select(

@@ -141,12 +141,12 @@ def select_tasks(spark: SparkSession, task_lists: DataFrame, col: str = "tasks",
 def merge_results(rows: DataFrame) -> DataFrame:
     """Rows ``(model, file, task, acc, acc_stderr, version)`` from many result files →
     one row per (model, task): the first file in path order wins; incoming ``all``
-    rows are dropped; ``version`` is last-file-wins."""
+    rows are dropped; ``version`` is that of the last file that gives one."""
     clean = rows.where(F.col("task") != F.lit(OVERALL_KEY))
     by_task = Window.partitionBy("model", "task")
     ranked = (
         clean.withColumn("__first", F.min("file").over(by_task))
-        .withColumn("__version", F.max_by("version", "file").over(by_task))
+        .withColumn("__version", F.max_by("version", F.when(F.col("version").isNotNull(), F.col("file"))).over(by_task))
     )
     return ranked.where(F.col("file") == F.col("__first")).select(
         "model", "task", "file", "acc", "acc_stderr", F.col("__version").alias("version")

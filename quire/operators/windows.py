@@ -8,20 +8,27 @@ slices — never one row per token.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions.hashing import order_key, unit_interval
+from quire.plans.prefix import exclusive_prefix_sums
+
+
+SHARDS_PER_BUCKET = 1024
+
+
+def _bucketed(manifest: DataFrame) -> DataFrame:
+    return manifest.withColumn("__bucket", F.floor(F.col("shard") / F.lit(SHARDS_PER_BUCKET)).cast("long"))
 
 
 def sequential_window_counts(manifest: DataFrame, seq_len: int) -> DataFrame:
-    """Per shard: number of sequential windows and the global index of its first one
-    (a window over the manifest, which has one row per shard)."""
+    """Per shard: number of sequential windows and the global index of its first one (a
+    bucketed prefix sum, so no task holds the whole manifest)."""
     L = seq_len
     max_start = F.col("num_tokens") - F.lit(L + 1)
     counts = manifest.withColumn("n_windows", F.when(max_start > 0, F.floor((max_start - 1) / F.lit(L)) + 1).otherwise(0))
-    by_split = Window.partitionBy("split").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("first_idx", F.coalesce(F.sum("n_windows").over(by_split), F.lit(0)))
+    return exclusive_prefix_sums(_bucketed(counts), ["split"], "__bucket", ["shard"], {"first_idx": "n_windows"}).drop("__bucket")
 
 
 def sequential_windows(manifest: DataFrame, seq_len: int, max_windows: int | None = None) -> DataFrame:
@@ -30,8 +37,7 @@ def sequential_windows(manifest: DataFrame, seq_len: int, max_windows: int | Non
     stop after ``max_windows``. Output: ``split, shard, start, window_idx``."""
     L = seq_len
     counts = sequential_window_counts(manifest, L)
-    # The manifest is tiny but a shard can hold ~10^5-10^6 windows: spread shards over
-    # tasks before generating their windows.
+    # A shard can hold ~10^5-10^6 windows: spread shards over tasks before generating them.
     counts = counts.repartition("split", "shard")
     w = counts.where(F.col("n_windows") > 0).select(
         "split", "shard", "num_tokens", "first_idx", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)).alias("k")
@@ -45,35 +51,32 @@ def sequential_windows(manifest: DataFrame, seq_len: int, max_windows: int | Non
     return out
 
 
-def random_windows(spark: SparkSession, manifest: DataFrame, n: int, seq_len: int, seed: int, split: str = "train", buckets: int = 4096) -> DataFrame:
+def random_windows(spark: SparkSession, manifest: DataFrame, n: int, seq_len: int, seed: int, split: str = "train", buckets: int = 65_536) -> DataFrame:
     """``n`` windows drawn with replacement: shard with probability proportional to
     its capacity ``num_tokens - L - 1`` (shards without capacity skipped), start uniform
     in ``[0, capacity)``. Drawing a global position uniformly over the concatenated
     capacities is the same distribution; draw ``d`` uses ``md5(seed:d)``.
 
-    The shard lookup is an equi-join on a position bucket against the (small) shard
-    table, then a range check — no nested-loop join."""
-    from quire.plans.materialize import bounded
-
+    The manifest may have any number of rows: capacities are accumulated bucket-wise, the
+    total joins as a one-row table, and the shard lookup is an equi-join on a position
+    bucket (a fixed share of the total), then a range check. Without any capacity the
+    query fails when it runs."""
     L = seq_len
     cap = F.greatest(F.col("num_tokens") - F.lit(L + 1), F.lit(0))
-    shards = manifest.where(F.col("split") == split).withColumn("cap", cap).where(F.col("cap") > 0)
-    order = Window.partitionBy("split").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per shard: small and bounded, so it is kept as a local relation.
-    shards = bounded(shards.withColumn("cum", F.coalesce(F.sum("cap").over(order), F.lit(0))).select("shard", "cap", "cum"))
-    total = shards.agg(F.sum("cap")).first()[0] or 0
-    if total <= 0:
-        raise RuntimeError("No shard contains enough tokens for the selected sequence length.")
-    bsize = max(1, -(-total // buckets))
-    shard_b = shards.select(
+    shards = _bucketed(manifest.where(F.col("split") == split).withColumn("cap", cap).where(F.col("cap") > 0))
+    shards = exclusive_prefix_sums(shards, ["split"], "__bucket", ["shard"], {"cum": "cap"})
+    total = shards.agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("total")).withColumn("one", F.lit(1))
+    size = F.ceil(F.col("total") / F.lit(buckets))
+    shard_b = shards.select("shard", "cap", "cum", F.lit(1).alias("one")).join(total, "one").select(
         "shard", "cap", "cum",
-        F.explode(F.sequence(F.floor(F.col("cum") / F.lit(bsize)), F.floor((F.col("cum") + F.col("cap") - 1) / F.lit(bsize)))).alias("b"),
+        F.explode(F.sequence(F.floor(F.col("cum") / size), F.floor((F.col("cum") + F.col("cap") - 1) / size))).alias("b"),
     )
-    draws = spark.range(n).withColumnRenamed("id", "draw")
     u = unit_interval(order_key(seed, F.col("draw")))
-    draws = draws.withColumn("g", F.floor(u * F.lit(float(total))).cast("long")).withColumn("b", F.floor(F.col("g") / F.lit(bsize)))
-    # shard_b is bounded by (number of shards + buckets) rows.
-    hit = draws.join(F.broadcast(shard_b), "b").where((F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap")))
+    draws = spark.range(n).select(F.col("id").alias("draw"), F.lit(1).alias("one")).join(total, "one")
+    usable = F.when(F.col("total") > 0, F.col("total")).otherwise(F.raise_error(F.lit("no shard has room for a window of this length")))
+    draws = draws.withColumn("g", F.floor(u * usable.cast("double")).cast("long"))
+    draws = draws.select("draw", "g", F.floor(F.col("g") / size).alias("b"))
+    hit = draws.join(shard_b, "b").where((F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap")))
     return hit.select(F.lit(split).alias("split"), "draw", "shard", (F.col("g") - F.col("cum")).alias("start"))
 
 
@@ -85,8 +88,8 @@ def window_tokens(windows_or_manifest: DataFrame, pieces: DataFrame, seq_len: in
     num_tokens``; one row per shard).
 
     Each piece is cut into its overlaps with the windows it touches *before* the
-    shuffle (a token reaches at most two windows), window numbers come from a
-    broadcast per-shard table, and the group per window is bounded by
+    shuffle (a token reaches at most two windows), window numbers come from the
+    per-shard table, and the group per window is bounded by
     ``seq_len + 1`` tokens. Output: ``split, shard, start, window_idx, tokens``."""
     L = seq_len
     per_shard = sequential_window_counts(windows_or_manifest, L).select("split", "shard", "first_idx", "n_windows")
@@ -101,8 +104,7 @@ def window_tokens(windows_or_manifest: DataFrame, pieces: DataFrame, seq_len: in
     cut = p.where(hi > lo).select(
         "split", "shard", "k", F.struct(lo.alias("at"), F.slice("__t", lo - F.col("shard_pos") + 1, hi - lo).alias("ids")).alias("part")
     )
-    # per_shard has one row per shard (bounded by the manifest).
-    cut = cut.join(F.broadcast(per_shard), ["split", "shard"]).where(F.col("k") < F.col("n_windows"))
+    cut = cut.join(per_shard, ["split", "shard"]).where(F.col("k") < F.col("n_windows"))
     cut = cut.withColumn("window_idx", (F.col("first_idx") + F.col("k")).cast("long"))
     if max_windows is not None:
         cut = cut.where(F.col("window_idx") < F.lit(max_windows))

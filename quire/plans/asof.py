@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.plans.prefix import join_null_safe
+
 
 def last_before(
     df: DataFrame,
@@ -59,7 +61,7 @@ def last_before_many(
     carry = per_bucket.select(
         *keys, bucket, *[F.last(f"{tmp[o]}_bl", ignorenulls=True).over(w_all).alias(f"{tmp[o]}_c") for o in values]
     )
-    joined = staged.join(carry, [*keys, bucket], "left")
+    joined = join_null_safe(staged, carry, [*keys, bucket], "left")
     w_in = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     res = joined
     for o in values:

@@ -2,13 +2,7 @@
 
 A two-pass plan (prefix sums, a budget check) reads its input twice; without a
 materialization point Spark recomputes the whole upstream lineage — scan, clean and,
-worst of all, tokenize — for every pass. These helpers cut the lineage explicitly:
-
-* ``checkpointed``: a table written to the session's shared checkpoint folder
-  (``spark.checkpoint.dir``) and read back; survives lost executors and gives AQE
-  real statistics.
-* ``bounded``: collect a table whose size is fixed by configuration (one row per
-  source, per shard, …) and rebuild it as a local relation, after checking the bound.
+worst of all, tokenize — for every pass. ``checkpointed`` cuts the lineage explicitly.
 """
 
 from __future__ import annotations
@@ -27,10 +21,3 @@ def checkpointed(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, f"table-{name}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"table expected to be small has more than {max_rows} rows")
-    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -10,6 +10,9 @@ stream) into one task. Instead rows carry a *bucket* that is monotone in the ord
    otherwise it is a shuffle join) and a window *inside* ``(keys, bucket)`` adds the
    in-bucket running sum.
 
+Nulls are values like any other: rows with a null key form a key of their own, and a
+null bucket comes before all others, as a null does in ``order``. No row is dropped.
+
 No task ever holds more than one bucket of one key, so a key that holds a third of
 all rows is spread over ``buckets`` tasks. The result does not depend on the number
 of partitions.
@@ -18,11 +21,19 @@ of partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which a null equals a null; ``on`` is kept once."""
+    renamed = right.select(*[F.col(c).alias(f"__on_{i}") for i, c in enumerate(on)], *[c for c in right.columns if c not in on])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__on_{i}")) for i, c in enumerate(on)])
+    return left.join(renamed, same, how).drop(*[f"__on_{i}" for i in range(len(on))])
+
+
 def exclusive_prefix_sums(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,7 +61,7 @@ def exclusive_prefix_sums(
         *[F.coalesce(F.sum(f"{tmp[o]}_b").over(over_buckets), F.lit(0)).alias(f"{tmp[o]}_off") for o in values],
     )
 
-    joined = staged.join(offsets, on=[*keys, bucket], how="inner")
+    joined = join_null_safe(staged, offsets, [*keys, bucket])
     within = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = joined
     for o in values:

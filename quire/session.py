@@ -19,8 +19,7 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Broadcasts are decided explicitly (see quire.plans.joins); keep the automatic
-    # threshold at Spark's default so Catalyst only broadcasts what it can size.
+    # Spark's default: Catalyst only broadcasts what it can size.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
 
@@ -52,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("QUIRE_SCRATCH", "/tmp"))
         if sc is None:
             spark.conf.set("spark.checkpoint.dir", configured)

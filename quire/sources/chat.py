@@ -9,19 +9,13 @@ from pyspark.sql import functions as F
 
 from quire.config import ChatConfig, ChatSourceConfig
 from quire.functions.text import all_of
+from quire.sources.paths import dataset_path
 
 
 def scan_chat(spark: SparkSession, source: ChatSourceConfig, fmt: str = "parquet") -> DataFrame:
-    """Raw chat rows of one source (``path`` + optional ``config_name`` sub-folder and
-    ``split`` sub-folder when they exist as directories)."""
-    path = source.path.rstrip("/")
-    for part in (source.config_name, source.split):
-        if part:
-            import os
-
-            candidate = f"{path}/{part}"
-            if os.path.isdir(candidate):
-                path = candidate
+    """Raw chat rows of one source: its ``path``, revision, sub-configuration and split,
+    which must exist when they are named."""
+    path = dataset_path(spark, source.path, None, source.config_name, source.split, source.revision, f"chat source {source.source_name!r}")
     return spark.read.format(fmt).load(path)
 
 

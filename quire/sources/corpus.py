@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.config import DataMixConfig, SourceConfig
 from quire.functions.text import has_content, py_strip
+from quire.sources.paths import dataset_path
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -26,18 +27,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _source_path(source: SourceConfig) -> str:
-    parts = [p for p in (source.path, source.data_dir) if p]
-    if not parts:
-        raise ValueError(f"source {source.name!r} has no path")
-    return "/".join(p.rstrip("/") for p in parts)
-
-
 def scan_source(spark: SparkSession, source: SourceConfig, id_field: str | None = None) -> DataFrame:
-    """``source, doc_id, text`` for one configured source. Rows without an id get a
-    stable id from their content position-free hash (``xxhash64`` of the text)."""
-    reader = spark.read.format(source.format)
-    df = reader.load(_source_path(source))
+    """``source, doc_id, text`` for one configured source: its path, revision, folder,
+    sub-configuration and split (see ``dataset_path``). Without ``id_field`` a row's id is
+    a hash of its file and its place in it, so equal texts keep distinct ids; only
+    Parquet tells rows' places, other formats need an id field."""
+    if not source.path and not source.data_dir:
+        raise ValueError(f"source {source.name!r} has no path")
+    path, data_dir = (source.path, source.data_dir) if source.path else (source.data_dir, None)
+    path = dataset_path(spark, path, data_dir, source.config_name, source.split, source.revision, f"source {source.name!r}")
+    df = spark.read.format(source.format).load(path)
+    if id_field:
+        df = df.withColumn("__id", F.col(id_field).cast("long"))
+    elif source.format == "parquet":
+        df = df.withColumn("__id", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    else:
+        raise ValueError(f"source {source.name!r}: format {source.format!r} needs an id field")
     for k, v in (source.row_filters or {}).items():
         df = df.where(F.col(k) == F.lit(v))  # pushed to the scan
     field = source.text_field or "text"
@@ -46,8 +51,7 @@ def scan_source(spark: SparkSession, source: SourceConfig, id_field: str | None
         raise ValueError(f"source {source.name!r}: text field {field!r} not found")
     # Only string values count as documents (non-strings are skipped, not cast).
     text = F.col(field) if dtype == "string" else F.lit(None).cast("string")
-    doc_id = F.col(id_field).cast("long") if id_field else F.xxhash64(F.col(field))
-    return df.select(F.lit(source.name).alias("source"), doc_id.alias("doc_id"), text.alias("text"))
+    return df.select(F.lit(source.name).alias("source"), F.col("__id").alias("doc_id"), text.alias("text"))
 
 
 def scan_corpus(spark: SparkSession, mix: DataMixConfig, id_field: str | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.sources.paths import plain_path
+
 RESULTS_SCHEMA = T.StructType([
     T.StructField("config_general", T.StructType([T.StructField("model_name", T.StringType())])),
     T.StructField("results", T.MapType(T.StringType(), T.StructType([
@@ -29,8 +31,9 @@ def read_eval_results(spark: SparkSession, root: str) -> DataFrame:
         .json(root)
         .withColumn("path", F.col("_metadata.file_path"))
     )
-    base = root.split("file:", 1)[-1].rstrip("/") + "/"
-    rel = F.expr(f"substring(path, instr(path, '{base}') + {len(base)})")
+    base = plain_path(spark, root)
+    whole = F.url_decode(F.replace(F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+    rel = F.ltrim(F.substring(whole, len(base) + 1, 1 << 30), F.lit("/"))
     rows = raw.select(
         F.col("config_general.model_name").alias("model"), rel.alias("file"),
         F.explode("results").alias("task", "r"), "versions",

@@ -12,7 +12,7 @@ from quire.operators import windows as wn
 from quire.operators.unigram import fit_unigram
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table
 from quire.workloads import mixture as wm
-from quire.plans.materialize import bounded, checkpointed
+from quire.plans.materialize import checkpointed
 from quire.workloads.common import SEED, shard_sizes
 
 SEQ_LEN = 256
@@ -37,7 +37,7 @@ def pieces_with_ids(spark: SparkSession, sf: str, pcs: DataFrame | None = None)
 
 def manifest(spark, sf, pcs: DataFrame | None = None) -> DataFrame:
     pcs = pieces(spark, sf) if pcs is None else pcs
-    return bounded(mx.shard_manifest(pcs), max_rows=1_000_000)  # one row per shard
+    return checkpointed(mx.shard_manifest(pcs))
 
 
 def filled(spark, sf) -> DataFrame:
