@@ -57,27 +57,25 @@ def random_windows(spark: SparkSession, manifest: DataFrame, n: int, seq_len: in
     in ``[0, capacity)``. Drawing a global position uniformly over the concatenated
     capacities is the same distribution; draw ``d`` uses ``md5(seed:d)``.
 
-    The manifest may have any number of rows: capacities are accumulated bucket-wise, the
-    total joins as a one-row table, and the shard lookup is an equi-join on a position
+    The manifest may have any number of rows: capacities are accumulated bucket-wise, their
+    total is a scalar subquery, and the shard lookup is an equi-join on a position
     bucket (a fixed share of the total), then a range check. Without any capacity the
     query fails when it runs."""
     L = seq_len
     cap = F.greatest(F.col("num_tokens") - F.lit(L + 1), F.lit(0))
     shards = _bucketed(manifest.where(F.col("split") == split).withColumn("cap", cap).where(F.col("cap") > 0))
     shards = exclusive_prefix_sums(shards, ["split"], "__bucket", ["shard"], {"cum": "cap"})
-    total = shards.agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("total")).withColumn("one", F.lit(1))
-    size = F.ceil(F.col("total") / F.lit(buckets))
-    shard_b = shards.select("shard", "cap", "cum", F.lit(1).alias("one")).join(total, "one").select(
-        "shard", "cap", "cum",
-        F.explode(F.sequence(F.floor(F.col("cum") / size), F.floor((F.col("cum") + F.col("cap") - 1) / size))).alias("b"),
-    )
+    total = shards.agg(F.coalesce(F.sum("cap"), F.lit(0))).scalar()
+    size = F.greatest(F.ceil(total / F.lit(buckets)), F.lit(1))
+    ends = F.sequence(F.floor(F.col("cum") / F.col("size")), F.floor((F.col("cum") + F.col("cap") - 1) / F.col("size")))
+    shard_b = shards.withColumn("size", size).select("shard", "cap", "cum", F.explode(ends).alias("b"))
     u = unit_interval(order_key(seed, F.col("draw")))
-    draws = spark.range(n).select(F.col("id").alias("draw"), F.lit(1).alias("one")).join(total, "one")
-    usable = F.when(F.col("total") > 0, F.col("total")).otherwise(F.raise_error(F.lit("no shard has room for a window of this length")))
-    draws = draws.withColumn("g", F.floor(u * usable.cast("double")).cast("long"))
-    draws = draws.select("draw", "g", F.floor(F.col("g") / size).alias("b"))
-    hit = draws.join(shard_b, "b").where((F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap")))
-    return hit.select(F.lit(split).alias("split"), "draw", "shard", (F.col("g") - F.col("cum")).alias("start"))
+    draws = spark.range(n).withColumnRenamed("id", "draw").withColumn("total", total).withColumn("size", size)
+    draws = draws.withColumn("g", F.floor(u * F.col("total").cast("double")).cast("long")).select("draw", "g", F.floor(F.col("g") / F.col("size")).alias("b"))
+    # Only where there is no room at all a draw finds no shard.
+    hit = draws.join(shard_b, "b", "left").where(F.col("shard").isNull() | ((F.col("g") >= F.col("cum")) & (F.col("g") < F.col("cum") + F.col("cap"))))
+    shard = F.coalesce("shard", F.raise_error(F.lit("no shard has room for a window of this length")).cast("long"))
+    return hit.select(F.lit(split).alias("split"), "draw", shard.alias("shard"), (F.col("g") - F.col("cum")).alias("start"))
 
 
 def window_tokens(windows_or_manifest: DataFrame, pieces: DataFrame, seq_len: int, tokens_col: str = "tokens",

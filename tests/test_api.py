@@ -63,3 +63,64 @@ def test_mix_report_keeps_unused_sources(spark):
     rep = {r.source: r for r in mx.mix_report(mx.plan_mixture(docs, tg), tg).collect()}
     assert rep["z"].documents_used == 0 and rep["z"].train_tokens_written == 0
     assert rep["a"].val_tokens_written == 2 and rep["a"].train_tokens_written == 5
+
+
+def _folder(spark, path, values):
+    spark.createDataFrame([(v,) for v in values], "text string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def test_split_config_and_revision_are_resolved_or_refused(spark, tmp_path):
+    import pytest
+
+    from quire.config import ChatSourceConfig, SourceConfig
+    from quire.sources.chat import scan_chat
+    from quire.sources.corpus import scan_source
+
+    base = str(tmp_path / "data")
+    _folder(spark, f"{base}/v2/code/train", ["a", "b"])
+    _folder(spark, f"{base}/v2/code/validation", ["c"])
+    read = lambda **kw: sorted(r.text for r in scan_source(spark, SourceConfig(name="s", path=base, **kw)).collect())
+    assert read(revision="v2", config_name="code", split="validation") == ["c"]
+    assert read(revision="v2", data_dir="code", split="train") == ["a", "b"]
+    for wrong in ({"revision": "v3"}, {"config_name": "prose"}, {"revision": "v2", "config_name": "code", "split": "test"}):
+        with pytest.raises(ValueError, match="not found"):
+            read(**wrong)
+    chat = ChatSourceConfig(source_name="c", path=f"{base}/v2", config_name="code", split="validation")
+    assert [r.text for r in scan_chat(spark, chat).collect()] == ["c"]
+    with pytest.raises(ValueError, match="not found"):
+        scan_chat(spark, ChatSourceConfig(source_name="c", path=f"{base}/v2/code/train", split="validation"))
+
+
+def test_equal_texts_keep_distinct_ids(spark, tmp_path):
+    import pytest
+
+    from quire.config import SourceConfig
+    from quire.sources.corpus import scan_source
+
+    _folder(spark, str(tmp_path / "t"), ["same"] * 50 + ["other"])
+    docs = scan_source(spark, SourceConfig(name="s", path=str(tmp_path / "t")))
+    assert docs.select("doc_id").distinct().count() == 51
+    assert sorted(r.doc_id for r in docs.collect()) == sorted(r.doc_id for r in docs.repartition(7).collect())
+    spark.createDataFrame([("x",)], "text string").write.json(str(tmp_path / "j"))
+    with pytest.raises(ValueError, match="id field"):
+        scan_source(spark, SourceConfig(name="s", path=str(tmp_path / "j"), format="json"))
+
+
+def test_no_local_scratch_on_a_cluster(monkeypatch):
+    import pytest
+
+    from quire import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:1" if key == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

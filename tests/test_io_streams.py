@@ -138,3 +138,39 @@ def test_random_windows_gathered_from_files(spark):
         base = r.shard * 1000 + r.start
         assert 0 <= r.start < 1000 - L - 1
         assert list(r.input_ids) == toks[base:base + L] and list(r.labels) == toks[base + 1:base + L + 1]
+
+
+def test_random_windows_on_a_large_manifest_stay_distributed(spark):
+    """600,000 shards: planned and drawn without collecting or broadcasting the manifest."""
+    from quire.operators.windows import random_windows, sequential_window_counts
+
+    man = spark.range(600_000).selectExpr("'train' AS split", "id AS shard", "100 + id % 7 AS num_tokens")
+    draws = random_windows(spark, man, 50, 32, seed=3)
+    plan = draws._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    rows = draws.collect()
+    assert len(rows) == 50 and all(0 <= r.start < 100 + r.shard % 7 - 33 for r in rows)
+    counts = sequential_window_counts(man, 32)
+    assert counts.agg({"n_windows": "sum"}).first()[0] == counts.agg({"first_idx": "max"}).first()[0] + counts.where("shard = 599999").first().n_windows
+
+
+def test_random_windows_without_room_fail(spark):
+    import pytest
+
+    from quire.operators.windows import random_windows
+
+    man = spark.createDataFrame([("train", 0, 10)], "split string, shard long, num_tokens long")
+    with pytest.raises(Exception, match="room"):
+        random_windows(spark, man, 3, 32, seed=3).collect()
+
+
+def test_results_below_a_folder_with_odd_characters(spark, tmp_path):
+    import json
+
+    from quire.sources.eval_results import read_eval_results
+
+    root = tmp_path / "it's 100% a+b"
+    (root / "x y").mkdir(parents=True)
+    doc = {"config_general": {"model_name": "m"}, "results": {"t": {"acc": 0.5}}, "versions": {"t": 1}}
+    (root / "x y" / "results_1.json").write_text(json.dumps(doc))
+    assert [r.file for r in read_eval_results(spark, str(root)).collect()] == ["x y/results_1.json"]

@@ -76,21 +76,32 @@ def test_throughput_and_flags(spark):
 
 
 def test_schedule_audit_exact_schedule(spark):
-    import math as m
-
-    def lr(step, warm=10, total=100, hi=1e-3, lo=1e-4):
-        if step < warm:
-            return hi * (step + 1) / warm
-        if step >= total:
-            return lo
-        p = (step - warm) / (total - warm)
-        return lo + 0.5 * (1 + m.cos(m.pi * p)) * (hi - lo)
-
-    rows = [{"run_id": "A", "ts": dt.datetime(2025, 1, 1), "event": "train", "step": s, "lr": lr(s - 1), "tokens_seen": s * 8}
-            for s in (1, 5, 10, 50, 100, 150)]
+    """Ten warm-up steps to 1e-3, then a cosine to 1e-4 at step 100 (values worked out by
+    hand: half way down is the mean, a sixth of the way is at cos 30 degrees)."""
+    logged = [(1, 1e-4), (5, 5e-4), (10, 1e-3), (11, 1e-3), (26, 1e-4 + 4.5e-4 * (1 + 0.8660254037844387)), (56, 5.5e-4), (150, 1e-4)]
+    rows = [{"run_id": "A", "ts": dt.datetime(2025, 1, 1), "event": "train", "step": s, "lr": v, "tokens_seen": s * 8} for s, v in logged]
     rows.append({"run_id": "A", "ts": dt.datetime(2025, 1, 1), "event": "train", "step": 60, "lr": 0.5, "tokens_seen": 1})
     r = rn.schedule_audit(_log(spark, rows), 10, 100, 1e-3, 1e-4, 8).first()
-    assert (r.train_rows, r.lr_mismatches, r.tokens_mismatches) == (7, 1, 1)
+    assert (r.train_rows, r.lr_mismatches, r.tokens_mismatches) == (8, 1, 1)
+
+
+def test_resume_through_the_pointer_to_the_last_checkpoint(spark):
+    t = lambda m: dt.datetime(2025, 1, 1, 0, m)
+    rows = [
+        {"run_id": "A", "ts": t(1), "event": "checkpoint", "step": 100, "step_checkpoint": "c/step_100.pt", "last_checkpoint": "c/last.pt"},
+        {"run_id": "A", "ts": t(2), "event": "checkpoint", "step": 200, "step_checkpoint": "c/step_200.pt", "last_checkpoint": "c/last.pt"},
+        {"run_id": "B", "ts": t(5), "event": "resumed", "step": 200, "checkpoint": "c/last.pt"},
+        {"run_id": "C", "ts": t(6), "event": "resumed", "step": 100, "checkpoint": "c/step_100.pt"},
+    ]
+    got = {r.run_id: (r.parent_run, r.parent_step) for r in rn.resume_lineage(_log(spark, rows)).collect()}
+    assert got == {"B": ("A", 200), "C": ("A", 100)}
+
+
+def test_merged_version_is_the_last_one_given(spark):
+    rows = [("m", "a.json", "t", 0.5, None, 1), ("m", "b.json", "t", 0.9, 0.1, 2), ("m", "c.json", "t", 0.7, 0.1, None)]
+    df = spark.createDataFrame(rows, "model string, file string, task string, acc double, acc_stderr double, version long")
+    r = sc.merge_results(df).first()
+    assert (r.file, r.acc, r.acc_stderr, r.version) == ("a.json", 0.5, None, 2)
 
 
 def test_exact_quantile_matches_numpy_with_hot_key(spark):
