@@ -8,14 +8,18 @@ log and ``documents`` x ``labels`` the scored benchmark rows.
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from quire.config import DataMixConfig, SourceConfig
 from quire.functions.text import PY_WHITESPACE
+from quire.sources.corpus import read_table
 
 SEED = 42
 
-# Mixture over all twenty driver sources. One source is dominant (weight 8 of 27,
-# ~30% of every split) so the plan is exercised with a hot key.
-N_SOURCES = 20
+# Mixture over all sources of the table. One source is dominant (~30% of every split
+# with twenty sources) so the plan is exercised with a hot key.
+DOMINANT = "src0"
 DOMINANT_WEIGHT = 8.0
 TRAIN_FRACTION = 0.12
 VAL_FRACTION = 0.01
@@ -23,10 +27,11 @@ SHARD_SIZE = 20_000
 VAL_SHARD_SIZE = 20_000
 
 
-def driver_mixture() -> DataMixConfig:
-    sources = [
-        SourceConfig(name=f"src{i}", weight=DOMINANT_WEIGHT if i == 0 else 1.0) for i in range(N_SOURCES)
-    ]
+def table_mixture(spark: SparkSession, sf: str) -> DataMixConfig:
+    """The mixture over every source that ``documents`` has (a configuration-sized list)."""
+    docs = read_table(spark, sf, "documents").where(F.col("source").isNotNull())
+    names = sorted(r.source for r in docs.select("source").distinct().collect())
+    sources = [SourceConfig(name=n, weight=DOMINANT_WEIGHT if n == DOMINANT else 1.0) for n in names]
     return DataMixConfig(sources=sources, shard_size_tokens=SHARD_SIZE, val_tokens=VAL_SHARD_SIZE)
 
 
@@ -50,12 +55,10 @@ def sql_double(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
 
-def sql_sources(mix: DataMixConfig) -> str:
-    shares = mix.normalized_weights()
-    rows = ", ".join(
-        f"('{s.name}', {i}, {sql_double(float(s.weight))}, {sql_double(shares[s.name])})" for i, s in enumerate(mix.sources)
-    )
-    return f"(VALUES {rows}) AS t(source, source_index, weight, share)"
+SQL_SOURCES = f"""(
+    SELECT source, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS source_index, weight, weight / sum(weight) OVER () AS share
+    FROM (SELECT DISTINCT source, CASE WHEN source = '{DOMINANT}' THEN {sql_double(DOMINANT_WEIGHT)} ELSE {sql_double(1.0)} END AS weight
+          FROM documents WHERE source IS NOT NULL)) AS t"""
 
 
 def sql_allocate(table: str, total_expr: str, out: str) -> str:
@@ -74,10 +77,9 @@ def sql_allocate(table: str, total_expr: str, out: str) -> str:
     )"""
 
 
-def sql_byte_docs(mix: DataMixConfig) -> str:
-    """Cleaned documents of the configured sources with byte-tokenizer counts."""
-    names = ", ".join(f"'{s.name}'" for s in mix.sources)
+def sql_byte_docs() -> str:
+    """Cleaned documents with byte-tokenizer counts."""
     return f"""
     SELECT source, doc_id, CAST(strlen({sql_strip('text')}) + 2 AS BIGINT) AS n_tokens
     FROM documents
-    WHERE text IS NOT NULL AND {sql_strip('text')} <> '' AND source IN ({names})"""
+    WHERE text IS NOT NULL AND {sql_strip('text')} <> '' AND source IS NOT NULL"""

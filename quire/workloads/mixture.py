@@ -8,38 +8,40 @@ from pyspark.sql import functions as F
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.tokenizers import ByteTokenizer
 from quire.operators import mixture as mx
-from quire.plans.materialize import bounded, checkpointed
+from quire.plans.materialize import checkpointed
 from quire.plans.prefix import bucketed_rank
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table, tokenized_corpus
 from quire.workloads.common import (
     SEED,
+    SQL_SOURCES,
     TRAIN_FRACTION,
     VAL_FRACTION,
-    driver_mixture,
     shard_sizes,
     sql_allocate,
     sql_byte_docs,
     sql_double,
-    sql_sources,
     sql_strip,
+    table_mixture,
 )
 
 # ---------------------------------------------------------------- Spark side
 
 
+def sourced(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_from_table(read_table(spark, sf, "documents")).where(F.col("source").isNotNull())
+
+
 def byte_docs(spark: SparkSession, sf: str) -> DataFrame:
     """The light per-document table (``source, doc_id, n_tokens``), checkpointed: every
     later pass reads it instead of re-scanning and re-tokenizing the corpus."""
-    mix = driver_mixture()
-    docs = corpus_from_table(read_table(spark, sf, "documents"), sources=[s.name for s in mix.sources])
+    docs = sourced(spark, sf)
     return checkpointed(tokenized_corpus(docs, ByteTokenizer()).select("source", "doc_id", "n_tokens"))
 
 
 def targets(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> DataFrame:
-    """Per-source targets: one row per configured source, kept as a local relation."""
+    """Per-source targets: one row per source of the table, written once."""
     docs = byte_docs(spark, sf) if docs is None else docs
-    t = mx.fraction_budget(docs, mx.source_table(spark, driver_mixture()), TRAIN_FRACTION, VAL_FRACTION)
-    return bounded(t, max_rows=len(driver_mixture().sources))
+    return checkpointed(mx.fraction_budget(docs, mx.source_table(spark, table_mixture(spark, sf)), TRAIN_FRACTION, VAL_FRACTION), "targets")
 
 
 def plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,7 +152,7 @@ def q_chain_sources(spark, sf):
 
     cfg = DataMixConfig(sources=[
         SourceConfig(name=s.name, path=f"{sf.rstrip('/')}/documents.parquet", text_field="text", row_filters={"source": s.name})
-        for s in driver_mixture().sources
+        for s in table_mixture(spark, sf).sources
     ])
     docs = scan_corpus(spark, cfg, id_field="doc_id")
     return docs.select("source", "doc_id", F.md5("text").alias("text_md5"))
@@ -162,7 +164,7 @@ def q_budget_prefilter(spark, sf):
     from quire.functions.text import clean_text
 
     tok = ByteTokenizer()
-    docs = corpus_from_table(read_table(spark, sf, "documents"), sources=[s.name for s in driver_mixture().sources])
+    docs = sourced(spark, sf)
     light = docs.withColumn("text", clean_text("text")).where(F.col("text").isNotNull()).select(
         "source", "doc_id", (F.length("text") + 2).cast("long").alias("est"))
     t = targets(spark, sf)
@@ -200,10 +202,9 @@ QUERIES = {
 
 
 def sql_plan_ctes() -> str:
-    mix = driver_mixture()
     return f"""
-WITH src AS (SELECT * FROM {sql_sources(mix)}),
-docs AS ({sql_byte_docs(mix)}),
+WITH src AS (SELECT * FROM {SQL_SOURCES}),
+docs AS ({sql_byte_docs()}),
 avail AS (SELECT source, count(*) AS available_docs, sum(n_tokens) AS available_tokens FROM docs GROUP BY source),
 srcav AS (
   SELECT s.*, CAST(coalesce(a.available_docs, 0) AS BIGINT) AS available_docs,
@@ -295,8 +296,7 @@ SQL = {
             CAST(round(s.share * 1e6) AS BIGINT) AS weight_ppm
          FROM (SELECT split, source, CAST(sum(n_written) AS BIGINT) AS tokens FROM plan GROUP BY split, source) w
          LEFT JOIN src s USING (source)""",
-    "chain_sources": "SELECT source, doc_id, md5(text) AS text_md5 FROM documents WHERE source IN ("
-    + ", ".join(f"'{x.name}'" for x in driver_mixture().sources) + ")",
+    "chain_sources": "SELECT source, doc_id, md5(text) AS text_md5 FROM documents WHERE source IS NOT NULL",
     "budget_prefilter": sql_plan_ctes() + "SELECT split, seq, source, doc_id, cum, n_written FROM plan",
     "token_stats": sql_plan_ctes()
     + """SELECT split, source, CAST(count(*) AS BIGINT) AS documents, CAST(sum(n_written) AS BIGINT) AS tokens,

@@ -274,15 +274,16 @@ cmp AS (
 """
 
 
-def sql_lm_ctes() -> str:
+def sql_lm_ctes(model: str = "source") -> str:
+    """``model``: the SQL expression that says which model a document is learned by."""
     s = sql_strip
     return f"""
 WITH cdocs AS (SELECT source, doc_id, lang, {s('text')} AS text FROM documents WHERE text IS NOT NULL AND {s('text')} <> ''),
-toks AS (SELECT source AS model, unnest({sql_byte_ids('text')}) AS token_id FROM cdocs),
+toks AS (SELECT {model} AS model, unnest({sql_byte_ids('text')}) AS token_id FROM cdocs),
 cnt AS (
   SELECT model, token_id, count(*) AS c FROM toks GROUP BY model, token_id
-  UNION ALL SELECT source, 1, count(*) FROM cdocs GROUP BY source
-  UNION ALL SELECT source, 2, count(*) FROM cdocs GROUP BY source),
+  UNION ALL SELECT {model}, 1, count(*) FROM cdocs GROUP BY ALL
+  UNION ALL SELECT {model}, 2, count(*) FROM cdocs GROUP BY ALL),
 cnt2 AS (SELECT model, token_id, sum(c) AS c FROM cnt GROUP BY model, token_id),
 tot AS (SELECT model, sum(c) AS total FROM cnt2 GROUP BY model),
 grid AS (SELECT model, total, unnest(range(260)) AS token_id FROM tot),

@@ -9,7 +9,7 @@ from quire.functions.text import PY_WHITESPACE
 from quire.functions.tokenizers import ByteTokenizer, WhitespaceTokenizer
 from quire.operators import vocab as vb
 from quire.sources.corpus import clean_corpus, corpus_from_table, read_table, tokenized_corpus
-from quire.workloads.common import SEED, driver_mixture, sql_double, sql_strip
+from quire.workloads.common import SEED, SQL_SOURCES, sql_double, sql_strip, table_mixture
 
 SAMPLE_FRACTION = 0.5
 BPE_VOCAB = 300
@@ -21,7 +21,7 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sample(spark, sf) -> DataFrame:
-    return vb.sample_documents_scaled(cleaned(spark, sf), spark, driver_mixture(), SAMPLE_FRACTION, SEED)
+    return vb.sample_documents_scaled(cleaned(spark, sf), spark, table_mixture(spark, sf), SAMPLE_FRACTION, SEED)
 
 
 def q_sample_documents(spark, sf):
@@ -86,15 +86,12 @@ QUERIES = {
 
 def _sql():
     s = sql_strip
-    mix = driver_mixture()
-    shares = mix.normalized_weights()
-    src = ", ".join(f"('{x.name}', {sql_double(shares[x.name])})" for x in mix.sources)
     ws_class = "'[' || " + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + " || ']+'"
     clean = f"SELECT source, doc_id, {s('text')} AS text FROM documents WHERE text IS NOT NULL AND {s('text')} <> ''"
     sample_ctes = f"""
 WITH cd AS ({clean}),
 n AS (SELECT source, count(*) AS n FROM cd GROUP BY source),
-src AS (SELECT * FROM (VALUES {src}) AS t(source, share)),
+src AS (SELECT source, share FROM {SQL_SOURCES}),
 q AS (
   SELECT s.source, greatest(CAST(floor(floor(CAST(sum(coalesce(n.n, 0)) OVER () AS DOUBLE) * {sql_double(SAMPLE_FRACTION)}) * s.share) AS BIGINT), 1) AS quota
   FROM src s LEFT JOIN n USING (source)),

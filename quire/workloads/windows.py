@@ -17,7 +17,7 @@ from quire.workloads.common import SEED, shard_sizes
 
 SEQ_LEN = 256
 BATCH = 4
-EVAL_MODEL = "src0"
+EVAL_MODEL = "all sources"
 
 
 def pieces(spark: SparkSession, sf: str) -> DataFrame:
@@ -48,9 +48,8 @@ def filled(spark, sf) -> DataFrame:
 
 
 def eval_logprobs(spark, sf) -> list[float]:
-    # The model is fitted on its own source only: filter before fitting (pushed to the scan).
-    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents"), sources=[EVAL_MODEL]))
-    lm = fit_unigram(docs).orderBy("token_id")
+    docs = clean_corpus(corpus_from_table(read_table(spark, sf, "documents"))).withColumn("model", F.lit(EVAL_MODEL))
+    lm = fit_unigram(docs, model_col="model").orderBy("token_id")
     return [r.logprob for r in lm.select("logprob").collect()]  # 260 values: the vocabulary
 
 
@@ -103,7 +102,7 @@ def _ctes() -> str:
 
     L = SEQ_LEN
     mix = wm.sql_plan_ctes()
-    lm = sql_lm_ctes().strip()
+    lm = sql_lm_ctes(f"'{EVAL_MODEL}'").strip()
     assert lm.startswith("WITH")
     return mix.rstrip() + ",\n" + lm[4:] + f""",
 pc AS (
