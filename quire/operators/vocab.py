@@ -20,7 +20,9 @@ smaller ``(left id, right id)``.
 
 from __future__ import annotations
 
+import heapq
 import json
+import os
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -132,6 +134,58 @@ class BPEModel:
         }
 
 
+REQUIRED = ("<pad>", "<bos>", "<eos>", "<unk>")
+
+
+def check_specials(model: BPEModel) -> None:
+    missing = [t for t in REQUIRED if t not in model.token_to_id]
+    if missing:
+        raise ValueError(f"the vocabulary lacks special tokens: {', '.join(missing)}")
+
+
+def save_tokenizer(model: BPEModel, folder: str, data_config: dict | None = None) -> None:
+    """``tokenizer.json`` (the public library's format, which other tools load) and
+    ``tokenizer_meta.json``."""
+    check_specials(model)
+    ids = model.token_to_id
+    special = [
+        {"id": ids[t], "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+        for t in model.specials
+    ]
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    around = lambda name: {"SpecialToken": {"id": name, "type_id": 0}}
+    template = {
+        "type": "TemplateProcessing",
+        "single": [around("<bos>"), {"Sequence": {"id": "A", "type_id": 0}}, around("<eos>")],
+        "pair": [around("<bos>"), {"Sequence": {"id": "A", "type_id": 0}}, around("<eos>"), {"Sequence": {"id": "B", "type_id": 1}}, around("<eos>")],
+        "special_tokens": {t: {"id": t, "ids": [ids[t]], "tokens": [t]} for t in ("<bos>", "<eos>")},
+    }
+    doc = {
+        "version": "1.0", "truncation": None, "padding": None, "added_tokens": special, "normalizer": None,
+        "pre_tokenizer": byte_level, "post_processor": template, "decoder": byte_level,
+        "model": {
+            "type": "BPE", "dropout": None, "unk_token": "<unk>", "continuing_subword_prefix": None, "end_of_word_suffix": None,
+            "fuse_unk": False, "byte_fallback": False, "ignore_merges": False, "vocab": ids, "merges": [list(m) for m in model.merges],
+        },
+    }
+    os.makedirs(folder, exist_ok=True)
+    for name, value in (("tokenizer.json", doc), ("tokenizer_meta.json", model.metadata(data_config))):
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+            json.dump(value, f, ensure_ascii=False, indent=2)
+
+
+def load_tokenizer(folder: str) -> "BPETokenizer":
+    """A tokenizer from a folder written by ``save_tokenizer`` (or by the library)."""
+    with open(os.path.join(folder, "tokenizer.json"), encoding="utf-8") as f:
+        doc = json.load(f)
+    vocab = dict(doc["model"]["vocab"]) | {t["content"]: t["id"] for t in doc.get("added_tokens", [])}
+    merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in doc["model"]["merges"]]
+    specials = [t["content"] for t in doc.get("added_tokens", []) if t.get("special")]
+    model = BPEModel(sorted(vocab, key=vocab.get), merges, specials)
+    check_specials(model)
+    return BPETokenizer(model)
+
+
 def byte_words(wc: DataFrame) -> DataFrame:
     """``word, count`` → ``bytes array<int>`` (UTF-8 byte values) and ``count``."""
     from quire.functions.tokenizers import utf8_bytes
@@ -205,7 +259,6 @@ def train_bpe(
     specials: list[str] | None = None,
     candidates: int = 4096,
     full_alphabet: bool = False,
-    max_rounds: int | None = None,
     checkpoint_every: int = 10,
 ) -> BPEModel:
     """``words(word, count)`` (byte-level pieces) → trained model.
@@ -230,7 +283,7 @@ def train_bpe(
     rounds = 0
     prev = None
     min_count = max(1, min_frequency)
-    while len(vocab) < vocab_size and (max_rounds is None or rounds < max_rounds):
+    while len(vocab) < vocab_size:
         rounds += 1
         pairs = cur.select(F.explode(_pairs(F.col("sym"))).alias("p"), "count").groupBy(
             F.col("p.a").alias("a"), F.col("p.b").alias("b")
@@ -273,6 +326,9 @@ def train_bpe(
         nxt = cur.select(apply_merges(F.col("sym"), mm).alias("sym"), "count")
         nxt = nxt.checkpoint() if rounds % checkpoint_every == 0 else nxt.persist()
         prev, cur = cur, nxt
+    for table in (prev, cur):
+        if table is not None:
+            table.unpersist()
     model = BPEModel(vocab, merges, specials)
     model.rounds = rounds  # type: ignore[attr-defined]
     return model
@@ -291,7 +347,7 @@ def model_tables(spark: SparkSession, model: BPEModel) -> tuple[DataFrame, DataF
 class _Codec:
     """Per-worker encoder (built once per model per Python worker)."""
 
-    def __init__(self, model_json: str):
+    def __init__(self, model_json: str, kept: int = 200_000):
         import regex
 
         m = BPEModel.from_json(model_json)
@@ -304,47 +360,53 @@ class _Codec:
         self.u2b = {c: b for b, c in enumerate(self.b2u)}
         self.unk = self.ids.get("<unk>")
         self.vocab = m.vocab
+        self.as_symbols = dict(enumerate(self.b2u))
+        self.kept = kept
         self.cache: dict[str, list[int]] = {}
 
     def _bpe(self, word: str) -> list[int]:
+        """Merge the pair of lowest rank until none is left, with a heap over a linked list
+        of symbols, so that a long piece costs n log n steps."""
         hit = self.cache.get(word)
         if hit is not None:
             return hit
-        parts = list(word)
-        while len(parts) > 1:
-            best, best_rank = None, None
-            for i in range(len(parts) - 1):
-                r = self.ranks.get((parts[i], parts[i + 1]))
-                if r is not None and (best_rank is None or r < best_rank):
-                    best, best_rank = i, r
-            if best is None:
-                break
-            a, b = parts[best], parts[best + 1]
-            out, i = [], 0
-            while i < len(parts):
-                if i < len(parts) - 1 and parts[i] == a and parts[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        ids = [self.ids.get(p, self.unk) for p in parts]
-        if len(self.cache) < 200_000:
+        parts: list[str | None] = list(word)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        rank = self.ranks.get
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] != a or j >= len(parts) or parts[j] != b:
+                continue  # one of the two was merged meanwhile
+            parts[i], parts[j] = a + b, None
+            after[i] = after[j]
+            if after[i] < len(parts):
+                before[after[i]] = i
+            for x in (before[i], i):
+                y = after[x] if x >= 0 else len(parts)
+                if x >= 0 and y < len(parts) and (r := rank((parts[x], parts[y]))) is not None:
+                    heapq.heappush(heap, (r, x, parts[x], parts[y]))
+        ids = [self.ids.get(p, self.unk) for p in parts if p is not None]
+        if len(word) <= 64:
+            if len(self.cache) >= self.kept:
+                self.cache.clear()
             self.cache[word] = ids
         return ids
 
-    def encode(self, text: str, template: bool) -> list[int]:
+    def encode(self, text: str, template: bool, escape: bool = False) -> list[int]:
+        """With ``escape``, special tokens typed in the text are ordinary text."""
         out: list[int] = []
-        segments = self.split_special.split(text) if self.split_special else [text]
+        segments = self.split_special.split(text) if self.split_special and not escape else [text]
         for seg in segments:
             if not seg:
                 continue
-            if seg in self.ids and seg in self.specials:
+            if not escape and seg in self.specials:
                 out.append(self.ids[seg])
                 continue
             for piece in self.pre.findall(seg):
-                out.extend(self._bpe("".join(self.b2u[b] for b in piece.encode("utf-8"))))
+                out.extend(self._bpe(piece.encode("utf-8").decode("latin-1").translate(self.as_symbols)))
         if template:
             out = [self.ids["<bos>"]] + out + [self.ids["<eos>"]]
         return out
@@ -363,14 +425,16 @@ class _Codec:
         return data.decode("utf-8", errors="replace")
 
 
-_CODECS: dict[int, _Codec] = {}
+_CODECS: dict[str, _Codec] = {}
 
 
 def _codec(model_json: str) -> _Codec:
-    key = hash(model_json)
-    c = _CODECS.get(key)
+    """The worker's encoder of a model; the last two models are kept."""
+    c = _CODECS.get(model_json)
     if c is None:
-        c = _CODECS[key] = _Codec(model_json)
+        while len(_CODECS) > 1:
+            _CODECS.pop(next(iter(_CODECS)))
+        c = _CODECS[model_json] = _Codec(model_json)
     return c
 
 
@@ -379,24 +443,40 @@ class BPETokenizer:
 
     name = "bpe"
 
-    def __init__(self, model: BPEModel):
-        self.model = model
+    def __init__(self, model: BPEModel, escape_specials: bool = False):
+        self.model, self.escape = model, escape_specials
         self.model_json = model.to_json()
         self.vocab_size = len(model.vocab)
 
     def _udf(self, template: bool):
-        mj = self.model_json
+        mj, escape = self.model_json, self.escape
 
         @F.pandas_udf(T.ArrayType(T.IntegerType()))
         def enc(texts):
             c = _codec(mj)
-            return texts.map(lambda t: None if t is None else c.encode(t, template))
+            return texts.map(lambda t: None if t is None else c.encode(t, template, escape))
 
         return enc
 
     def encode(self, text: str | Column, template: bool = True) -> Column:
         return self._udf(template)(col_of(text))
 
+    def encode_many(self, texts: str | Column) -> Column:
+        """``array<string>`` → ``array<array<int>>`` (no template), for chat pieces."""
+        mj, escape = self.model_json, self.escape
+
+        @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+        def enc(lists):
+            c = _codec(mj)
+            return lists.map(lambda v: None if v is None else [c.encode(t, False, escape) for t in v])
+
+        return enc(col_of(texts))
+
+    def typed_specials(self, text: str | Column) -> Column:
+        """How many special tokens are typed in a text."""
+        t = col_of(text)
+        return sum((F.regexp_count(t, F.lit("\\Q" + s + "\\E")) for s in self.model.specials), F.lit(0)).cast("long")
+
     def count(self, text: str | Column, template: bool = True) -> Column:
         return F.size(self.encode(text, template)).cast("long")
 
