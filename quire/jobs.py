@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,7 +65,7 @@ def build_corpus(
     shards = {r.split: r.n for r in tokens.groupBy("split").agg((F.max("shard") + 1).alias("n")).collect()}
     for split in mx.SPLITS:
         if split in shards:
-            sh.write_token_shards(tokens.where(F.col("split") == split), f"{out}/{split}", split)
+            sh.write_token_shards(tokens.where(F.col("split") == split), f"{out}/{split}", split, shards=shards[split])
     by_name = {s.name: s for s in config.sources}
     rows = report.collect()  # one row per configured source
     summary = {
@@ -80,7 +81,7 @@ def build_corpus(
             for r in sorted(rows, key=lambda r: r.source)
         },
         "tokenizer": {"name": tokenizer.name, "vocab_size": getattr(tokenizer, "vocab_size", None)},
-        "data_config": config.to_dict(),
+        "data_config": asdict(config),
     }
     return _write_json(f"{out}/summary.json", summary)
 
@@ -163,5 +164,5 @@ def train_vocab(
     sample = vb.sample_documents(docs, spark, config, config.tokenizer_sample_documents, seed)
     words = checkpointed(vb.word_counts(sample, vb.pretokenize("text")), "vocab-words")
     model = vb.train_bpe(spark, words, vocab_size, config.tokenizer_min_frequency, list(config.tokenizer_special_tokens))
-    vb.save_tokenizer(model, out, config.to_dict())
+    vb.save_tokenizer(model, out, asdict(config))
     return model

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.config import DataMixConfig
+from quire.config import DataMixConfig, shares, val_shard_size
 from quire.functions.hashing import hex_bucket, order_key
 from quire.plans.prefix import exclusive_prefix_sums
 
@@ -33,8 +33,8 @@ def source_table(spark: SparkSession, mix: DataMixConfig) -> DataFrame:
 
     Bounded by the number of configured sources, so it is always safe to broadcast.
     """
-    shares = mix.normalized_weights()
-    rows = [(s.name, i, float(s.weight), shares[s.name]) for i, s in enumerate(mix.sources)]
+    part = shares(mix)
+    rows = [(s.name, i, float(s.weight), part[s.name]) for i, s in enumerate(mix.sources)]
     return spark.createDataFrame(rows, "source string, source_index int, weight double, share double")
 
 
@@ -170,7 +170,7 @@ def plan_mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, digits: in
 
 
 def shard_sizes(mix: DataMixConfig) -> dict[str, int]:
-    return {"train": mix.shard_size_tokens, "val": mix.val_shard_size()}
+    return {"train": mix.shard_size_tokens, "val": val_shard_size(mix)}
 
 
 def shard_size_col(sizes: dict[str, int]) -> Column:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.config import SPECIAL_TOKENS
+from quire.config import SPECIAL_TOKENS, shares
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.text import col_of
 from quire.plans.materialize import checkpointed
@@ -69,16 +69,16 @@ def _ranked_sample(docs: DataFrame, src_q: DataFrame, seed: int) -> DataFrame:
 def sample_documents(docs: DataFrame, spark: SparkSession, mix, total_docs: int, seed: int) -> DataFrame:
     """Per source: the first ``sample_documents`` (when set) or ``max(1, int(total x
     share))`` valid documents in seeded order. ``docs`` are cleaned (source, doc_id, …)."""
-    shares = mix.normalized_weights()
-    rows = [(s.name, s.sample_documents or max(1, int(total_docs * shares[s.name]))) for s in mix.sources]
+    part = shares(mix)
+    rows = [(s.name, s.sample_documents or max(1, int(total_docs * part[s.name]))) for s in mix.sources]
     return _ranked_sample(docs, spark.createDataFrame(rows, "source string, quota long"), seed)
 
 
 def sample_documents_scaled(docs: DataFrame, spark: SparkSession, mix, fraction: float, seed: int) -> DataFrame:
     """``sample_documents`` with ``total = floor(fraction x valid documents)``, computed
     in Spark (a per-source count and a window over the small source table)."""
-    shares = mix.normalized_weights()
-    rows = [(s.name, shares[s.name], s.sample_documents or 0) for s in mix.sources]
+    part = shares(mix)
+    rows = [(s.name, part[s.name], s.sample_documents or 0) for s in mix.sources]
     src = spark.createDataFrame(rows, "source string, share double, fixed int")
     counts = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     src = src.join(counts, "source", "left").fillna(0, ["n"])

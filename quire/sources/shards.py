@@ -3,14 +3,13 @@
 Token shards: ``<prefix>_%05d.bin`` — headerless little-endian uint16 token ids —
 plus ``<prefix>_manifest.json`` (``[{path, num_tokens, dtype}]``).
 
-Fine-tuning shards: ``<prefix>_input_ids…bin`` (uint16) and ``<prefix>_labels…bin``
-(int32), row-major ``(num_examples, seq_len)``, plus ``<prefix>_metadata.json``. Each
-write task produces one contiguous row range ("part"); the metadata lists the parts,
-and for a single part its paths are also the top-level ``input_ids_path`` /
-``labels_path``.
-
-Writers write to attempt-named temporary files and the driver-side ``commit`` renames
-them, so retried or speculative tasks never leave partial files. Readers split each
+Fine-tuning shards: ``<prefix>_input_ids.bin`` (uint16) and ``<prefix>_labels.bin``
+(int32), row-major ``(num_examples, seq_len)``, plus ``<prefix>_metadata.json``.
+Metadata with a list of ``parts`` (one contiguous row range a file) can be read too.
+
+Writers take Arrow buffers, write to temporary files and the driver-side ``commit``
+renames them, so retried or speculative tasks never leave partial files; a write
+replaces what is there, appending is refused. Readers split each
 file into byte ranges, one input partition each, and return Arrow batches.
 
 The output folder must be visible to every executor (a shared file system).
@@ -20,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 MAX_UINT16 = 65535
 
@@ -40,31 +40,28 @@ def shard_name(prefix: str, index: int) -> str:
 
 
 def find_manifests(data_dir: str, split: str) -> list[str]:
-    """``<dir>/<split>_manifest.json``; else any manifest when the folder is named like
-    the split; else any manifest in ``<dir>/<split>/``."""
-    import glob
+    """Manifests of a split: the one in ``data_dir`` that bears its name; in a folder named
+    like the split, and in a sub-folder so named, every manifest counts."""
+
+    def listed(folder: str, name: str = "") -> list[str]:
+        names = os.listdir(folder) if os.path.isdir(folder) else []
+        return [os.path.join(folder, n) for n in sorted(names) if n.endswith("_manifest.json") and (not name or n == f"{name}_manifest.json")]
 
-    found = sorted(glob.glob(os.path.join(data_dir, f"{split}_manifest.json")))
-    if not found and os.path.basename(os.path.normpath(data_dir)) == split:
-        found = sorted(glob.glob(os.path.join(data_dir, "*_manifest.json")))
-    if not found and os.path.isdir(os.path.join(data_dir, split)):
-        found = sorted(glob.glob(os.path.join(data_dir, split, "*_manifest.json")))
-    if not found:
-        raise FileNotFoundError(f"Shard manifest not found in {data_dir}.")
-    return found
+    own_folder = listed(data_dir) if os.path.basename(os.path.abspath(data_dir)) == split else []
+    for choice in (listed(data_dir, split), own_folder, listed(os.path.join(data_dir, split))):
+        if choice:
+            return choice
+    raise FileNotFoundError(f"no shard manifest for split {split!r} in or below {data_dir}")
 
 
 def load_manifest(data_dir: str, split: str) -> list[dict]:
+    """Entries of the split's manifests with ``absolute_path``, in manifest order."""
     shards = []
-    for m in find_manifests(data_dir, split):
-        with open(m, encoding="utf-8") as fh:
-            items = json.load(fh)
-        for item in items:
-            item = dict(item)
-            item["absolute_path"] = os.path.abspath(os.path.join(os.path.dirname(m), item["path"]))
-            shards.append(item)
+    for path in find_manifests(data_dir, split):
+        with open(path, encoding="utf-8") as f:
+            shards += [{**item, "absolute_path": os.path.join(os.path.dirname(os.path.abspath(path)), item["path"])} for item in json.load(f)]
     if not shards:
-        raise RuntimeError(f"Shard manifest in {data_dir} is empty.")
+        raise RuntimeError(f"the shard manifest of split {split!r} in {data_dir} lists no shard")
     return shards
 
 
@@ -172,45 +169,61 @@ class ShardFiles(WriterCommitMessage):
     files: list  # (shard, tmp_path, num_tokens)
 
 
-class TokenShardWriter(DataSourceWriter):
+def _no_append(overwrite: bool, what: str) -> None:
+    if not overwrite:
+        raise ValueError(f"{what} are written whole: use mode('overwrite')")
+
+
+def _uint16(values: np.ndarray) -> np.ndarray:
+    if values.size and (values.max() > MAX_UINT16 or values.min() < 0):
+        raise ValueError("token id does not fit in uint16; vocabulary must be at most 65,536")
+    return values.astype("<u2")
+
+
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0) and flat values of a list column without nulls."""
+    offsets = np.asarray(column.offsets, dtype="i8")
+    return offsets - offsets[0], np.asarray(column.values[int(offsets[0]) : int(offsets[-1])])
+
+
+class TokenShardWriter(DataSourceArrowWriter):
     """Rows ``(shard, shard_pos, tokens)``: every shard's rows in one task, ordered by
-    ``shard_pos`` (see ``write_token_shards``)."""
+    ``shard_pos`` (see ``write_token_shards``). Token buffers go to the file as they are."""
 
     def __init__(self, options, overwrite):
         self.dir = options["path"]
         self.prefix = options.get("prefix", "train")
-        self.overwrite = overwrite
+        _no_append(overwrite, "token shards")
         os.makedirs(self.dir, exist_ok=True)
 
     def write(self, iterator):
-        from pyspark import TaskContext
-
-        ctx = TaskContext.get()
-        attempt = f"{ctx.partitionId()}-{ctx.attemptNumber()}-{uuid.uuid4().hex[:8]}" if ctx else uuid.uuid4().hex
         tmp_dir = os.path.join(self.dir, "_temporary")
         os.makedirs(tmp_dir, exist_ok=True)
-        files, cur, fh, written = [], None, None, 0
-
-        def close():
-            if fh is not None:
-                fh.close()
-                files.append((cur, tmp, written))
-
-        for row in iterator:
-            shard, pos, toks = int(row["shard"]), int(row["shard_pos"]), row["tokens"]
-            if shard != cur:
-                close()
-                cur, written = shard, 0
-                tmp = os.path.join(tmp_dir, f"{shard_name(self.prefix, shard)}.{attempt}")
-                fh = open(tmp, "wb")
-            if pos != written:
-                raise RuntimeError(f"shard {shard}: expected position {written}, got {pos} (rows must be sorted by shard_pos)")
-            a = np.asarray(toks, dtype=np.int64)
-            if a.size and (a.max() > MAX_UINT16 or a.min() < 0):
-                raise ValueError("token id does not fit in uint16; vocabulary must be at most 65,536")
-            a.astype("<u2").tofile(fh)
-            written += int(a.size)
-        close()
+        attempt = uuid.uuid4().hex
+        files: list[tuple[int, str, int]] = []
+        cur, fh, tmp, written = None, None, "", 0
+        for batch in iterator:
+            shards, at = (np.asarray(batch.column(c), dtype="i8") for c in ("shard", "shard_pos"))
+            offsets, values = _lists(batch.column("tokens"))
+            ids = _uint16(values)
+            starts = np.flatnonzero(np.diff(shards, prepend=shards[:1] - 1))
+            for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(shards)]):
+                shard = int(shards[i])
+                if shard != cur:
+                    if fh is not None:
+                        fh.close()
+                        files.append((cur, tmp, written))
+                    cur, written = shard, 0
+                    tmp = os.path.join(tmp_dir, f"{shard_name(self.prefix, shard)}.{attempt}")
+                    fh = open(tmp, "wb")  # noqa: SIM115
+                wanted = written + offsets[i:j] - offsets[i]
+                if (at[i:j] != wanted).any():
+                    raise RuntimeError(f"shard {shard}: rows are not in the order of shard_pos, or some are missing")
+                fh.write(ids[offsets[i] : offsets[j]].tobytes())
+                written += int(offsets[j] - offsets[i])
+        if fh is not None:
+            fh.close()
+            files.append((cur, tmp, written))
         return ShardFiles(files)
 
     def commit(self, messages):
@@ -220,9 +233,11 @@ class TokenShardWriter(DataSourceWriter):
                 final = os.path.join(self.dir, shard_name(self.prefix, shard))
                 os.replace(tmp, final)
                 entries.append({"path": shard_name(self.prefix, shard), "num_tokens": int(n), "dtype": "uint16", "_i": shard})
-        entries.sort(key=lambda e: e["_i"])
-        for e in entries:
-            e.pop("_i")
+        entries.sort(key=lambda e: e.pop("_i"))
+        ours = {e["path"] for e in entries}
+        for name in os.listdir(self.dir):  # shards of an earlier, longer write
+            if re.fullmatch(re.escape(self.prefix) + r"_\d{5,}\.bin", name) and name not in ours:
+                os.remove(os.path.join(self.dir, name))
         with open(os.path.join(self.dir, f"{self.prefix}_manifest.json"), "w", encoding="utf-8") as fh:
             json.dump(entries, fh, indent=2, ensure_ascii=False)
 
@@ -274,14 +289,18 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SFTShardSource)
 
 
-def write_token_shards(pieces: DataFrame, out_dir: str, prefix: str, tokens_col: str = "tokens") -> None:
-    """``pieces(shard, shard_pos, tokens)`` → shard files + manifest. One shuffle by
-    shard; rows sorted by position inside each task; no row collected anywhere."""
+def write_token_shards(pieces: DataFrame, out_dir: str, prefix: str, tokens_col: str = "tokens", shards: int | None = None) -> None:
+    """``pieces(shard, shard_pos, tokens)`` → shard files + manifest, replacing what is
+    there. One shuffle, one task per shard (``shards``: how many; counted when not
+    given), rows sorted by position inside each task; no row collected anywhere."""
     spark = pieces.sparkSession
     register(spark)
+    if shards is None:
+        shards = pieces.agg(F.max("shard")).first()[0]
+        shards = 0 if shards is None else shards + 1
     (
-        pieces.select("shard", "shard_pos", F.col(tokens_col).alias("tokens"))
-        .repartition("shard")
+        pieces.select(F.col("shard").cast("long"), F.col("shard_pos").cast("long"), F.col(tokens_col).alias("tokens"))
+        .repartitionById(max(1, int(shards)), F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "shard_pos")
         .write.format("token_shards")
         .option("prefix", prefix)
@@ -374,88 +393,78 @@ class SFTShardReader(DataSourceReader):
 
 
 @dataclass
-class SFTPart(WriterCommitMessage):
-    first_row: int
+class SFTRows(WriterCommitMessage):
     num_examples: int
-    tmp_ids: str
-    tmp_labels: str
+    last_row: int
+    row_sum: int
 
 
-class SFTShardWriter(DataSourceWriter):
-    """Rows ``(row, input_ids, labels)`` with a contiguous ``row`` range per task."""
+class SFTShardWriter(DataSourceArrowWriter):
+    """Rows ``(row, input_ids, labels)`` with rows numbered from 0 without gaps. Every task
+    writes its rows to their places in the two files, so any distribution of the rows
+    gives the same bytes, a retried task writes the same bytes again, and the files are
+    plain ``(num_examples, seq_len)`` arrays. They get their names at the commit."""
 
     def __init__(self, options, overwrite):
         self.dir = options["path"]
         self.prefix = options.get("prefix", "train")
         self.seq_len = int(options["seq_len"])
-        os.makedirs(self.dir, exist_ok=True)
+        _no_append(overwrite, "fine-tuning shards")
+        self.tag = uuid.uuid4().hex
+        os.makedirs(os.path.join(self.dir, "_temporary"), exist_ok=True)
+
+    def _paths(self) -> tuple[str, str]:
+        return tuple(os.path.join(self.dir, "_temporary", f"{self.prefix}_{kind}.{self.tag}") for kind in ("input_ids", "labels"))
 
     def write(self, iterator):
-        tmp_dir = os.path.join(self.dir, "_temporary")
-        os.makedirs(tmp_dir, exist_ok=True)
-        tag = uuid.uuid4().hex
-        ids_path = os.path.join(tmp_dir, f"{self.prefix}_input_ids.{tag}")
-        lab_path = os.path.join(tmp_dir, f"{self.prefix}_labels.{tag}")
-        first, count = None, 0
-        L = self.seq_len
-        with open(ids_path, "wb") as fi, open(lab_path, "wb") as fl:
-            for row in iterator:
-                r = int(row["row"])
-                if first is None:
-                    first = r
-                if r != first + count:
-                    raise RuntimeError("rows of a task must be contiguous and sorted")
-                a, b = row["input_ids"], row["labels"]
-                if len(a) != L or len(b) != L:
-                    raise ValueError("Packed SFT example must match fixed seq_len.")
-                a = np.asarray(a, dtype=np.int64)
-                if a.size and (a.max() > MAX_UINT16 or a.min() < 0):
-                    raise ValueError("token id does not fit in uint16")
-                a.astype("<u2").tofile(fi)
-                np.asarray(b, dtype="<i4").tofile(fl)
-                count += 1
-        return SFTPart(first if first is not None else -1, count, ids_path, lab_path)
+        L, out, told = self.seq_len, [], [0, -1, 0]
+        try:
+            for batch in iterator:
+                out = out or [os.open(p, os.O_CREAT | os.O_WRONLY) for p in self._paths()]
+                rows = np.asarray(batch.column("row"), dtype="i8")
+                for fd, name, dtype in zip(out, ("input_ids", "labels"), ("<u2", "<i4")):
+                    offsets, values = _lists(batch.column(name))
+                    if (np.diff(offsets) != L).any():
+                        raise ValueError(f"every example needs {L} values in {name}")
+                    block = (_uint16(values) if dtype == "<u2" else values.astype(dtype)).reshape(-1, L)
+                    cuts = np.flatnonzero(np.diff(rows) != 1) + 1  # runs of neighbouring rows
+                    for run, first in zip(np.split(block, cuts), rows[np.concatenate(([0], cuts))].tolist() if len(rows) else []):
+                        os.pwrite(fd, run.tobytes(), first * L * block.itemsize)
+                if len(rows):
+                    told = [told[0] + len(rows), max(told[1], int(rows.max())), told[2] + int(rows.sum())]
+        finally:
+            for fd in out:
+                os.close(fd)
+        return SFTRows(*told)
 
     def commit(self, messages):
-        parts = sorted((m for m in messages if m is not None and m.num_examples > 0), key=lambda m: m.first_row)
-        total = sum(m.num_examples for m in parts)
-        if total == 0:
-            raise RuntimeError("No SFT examples were written.")
-        entries = []
-        for m in parts:
-            ids_name = f"{self.prefix}_input_ids.part-{m.first_row:012d}.bin"
-            lab_name = f"{self.prefix}_labels.part-{m.first_row:012d}.bin"
-            os.replace(m.tmp_ids, os.path.join(self.dir, ids_name))
-            os.replace(m.tmp_labels, os.path.join(self.dir, lab_name))
-            entries.append({"input_ids_path": ids_name, "labels_path": lab_name, "num_examples": m.num_examples, "first_row": m.first_row})
-        for m in messages:
-            if m is not None and m.num_examples == 0:
-                for p in (m.tmp_ids, m.tmp_labels):
-                    if os.path.exists(p):
-                        os.remove(p)
-        meta = {"num_examples": total, "seq_len": self.seq_len, "input_ids_path": entries[0]["input_ids_path"],
-                "labels_path": entries[0]["labels_path"], "parts": entries}
-        with open(os.path.join(self.dir, f"{self.prefix}_metadata.json"), "w", encoding="utf-8") as fh:
-            json.dump(meta, fh, indent=2, ensure_ascii=False)
+        told = [m for m in messages if m is not None]
+        n, last, total = sum(m.num_examples for m in told), max([m.last_row for m in told], default=-1), sum(m.row_sum for m in told)
+        if n == 0:
+            raise RuntimeError("there are no examples to write")
+        if n != last + 1 or total != n * (n - 1) // 2:
+            raise RuntimeError("rows must be numbered from 0 without gaps or repeats")
+        names = [f"{self.prefix}_input_ids.bin", f"{self.prefix}_labels.bin"]
+        for path, name, size in zip(self._paths(), names, (2, 4)):
+            os.truncate(path, n * self.seq_len * size)
+            os.replace(path, os.path.join(self.dir, name))
+        meta = {"num_examples": n, "seq_len": self.seq_len, "input_ids_path": names[0], "labels_path": names[1]}
+        with open(os.path.join(self.dir, f"{self.prefix}_metadata.json"), "w", encoding="utf-8") as f:
+            json.dump(meta, f, indent=2, ensure_ascii=False)
 
     def abort(self, messages):
-        for m in messages or []:
-            if m is None:
-                continue
-            for p in (m.tmp_ids, m.tmp_labels):
-                if os.path.exists(p):
-                    os.remove(p)
+        for p in self._paths():
+            if os.path.exists(p):
+                os.remove(p)
 
 
-def write_sft_shards(examples: DataFrame, out_dir: str, prefix: str, seq_len: int, row_col: str = "row", partitions: int | None = None) -> None:
-    """``examples(row, input_ids, labels)`` → part files + metadata. Rows are range-
-    partitioned on ``row`` so every task writes one contiguous block."""
+def write_sft_shards(examples: DataFrame, out_dir: str, prefix: str, seq_len: int, row_col: str = "row") -> None:
+    """``examples(row, input_ids, labels)`` → the two array files and their metadata. Rows
+    are written where they are: nothing is shuffled or sorted."""
     spark = examples.sparkSession
     register(spark)
-    df = examples.select(F.col(row_col).alias("row"), "input_ids", "labels")
-    df = df.repartitionByRange(partitions, "row") if partitions else df.repartitionByRange("row")
     (
-        df.sortWithinPartitions("row")
+        examples.select(F.col(row_col).cast("long").alias("row"), "input_ids", "labels")
         .write.format("sft_shards")
         .option("prefix", prefix)
         .option("seq_len", str(seq_len))

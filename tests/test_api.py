@@ -6,25 +6,25 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from quire.config import ChatConfig, DataMixConfig, SourceConfig
+from quire.config import ChatConfig, DataMixConfig, SourceConfig, read_chat, read_mix, read_source, val_shard_size
 from quire.operators import chat as ch
 from quire.operators import mixture as mx
 from quire.sources.corpus import clean_corpus, scan_corpus
 
 
 def test_configs_are_strict_and_accept_published_layouts():
-    mix = DataMixConfig.from_dict({
+    mix = read_mix({
         "train_tokens": 100, "val_tokens": 10, "shard_size_tokens": 50,
         "sources": [{"name": "a", "path": "p", "split": "train", "text_field": "content", "weight": 0.6, "shuffle_buffer": 5}],
     })
-    assert mix.sources[0].text_field == "content" and mix.val_shard_size() == 1_000_000
+    assert mix.sources[0].text_field == "content" and val_shard_size(mix) == 1_000_000
     with pytest.raises(TypeError):
-        DataMixConfig.from_dict({"sources": [], "bogus": 1})
+        read_mix({"sources": [], "bogus": 1})
     with pytest.raises(TypeError):
-        SourceConfig.from_dict({"name": "a", "colour": "red"})
-    single = ChatConfig.from_dict({"path": "hf/ds", "split": "train", "format": "alpaca", "val_examples": 3})
+        read_source({"name": "a", "colour": "red"})
+    single = read_chat({"path": "hf/ds", "split": "train", "format": "alpaca", "val_examples": 3})
     assert single.sources[0].path == "hf/ds" and single.format == "alpaca"
-    multi = ChatConfig.from_dict({"sources": [{"source_name": "s", "path": "x", "weight": 0.5, "row_filters": {"quality": "good"}}]})
+    multi = read_chat({"sources": [{"source_name": "s", "path": "x", "weight": 0.5, "row_filters": {"quality": "good"}}]})
     assert multi.sources[0].row_filters == {"quality": "good"}
 
 

@@ -61,9 +61,9 @@ def test_sft_shards_round_trip(spark):
     L = 6
     rows = [(i, [i + 1] * 3 + [0] * 3, [-100, i, i, -100, -100, -100]) for i in range(23)]
     df = spark.createDataFrame(rows, "row long, input_ids array<int>, labels array<int>")
-    sh.write_sft_shards(df, out, "train", L, partitions=3)
+    sh.write_sft_shards(df.repartition(3), out, "train", L)
     meta = json.load(open(os.path.join(out, "train_metadata.json")))
-    assert meta["num_examples"] == 23 and meta["seq_len"] == L and len(meta["parts"]) == 3
+    assert meta["num_examples"] == 23 and meta["seq_len"] == L
     back = sh.read_sft_shards(spark, out, "train", rows_per_partition=5).orderBy("row").collect()
     assert [(r.row, list(r.input_ids), list(r.labels)) for r in back] == [(a, b, c) for a, b, c in rows]
     assert list(back[0].attention_mask) == [1, 1, 1, 0, 0, 0]
@@ -174,3 +174,32 @@ def test_results_below_a_folder_with_odd_characters(spark, tmp_path):
     doc = {"config_general": {"model_name": "m"}, "results": {"t": {"acc": 0.5}}, "versions": {"t": 1}}
     (root / "x y" / "results_1.json").write_text(json.dumps(doc))
     assert [r.file for r in read_eval_results(spark, str(root)).collect()] == ["x y/results_1.json"]
+
+
+def test_sft_files_are_plain_arrays_whatever_the_distribution(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    ids, labels = rng.integers(0, 65536, (37, 8)), rng.integers(-100, 60000, (37, 8))
+    rows = [(i, ids[i].tolist(), labels[i].tolist()) for i in range(37)]
+    df = spark.createDataFrame(rows, "row long, input_ids array<int>, labels array<int>").repartition(5)
+    for _ in range(2):  # a second write replaces the first
+        sh.write_sft_shards(df, str(tmp_path), "val", 8)
+    meta = json.load(open(tmp_path / "val_metadata.json"))
+    assert meta["num_examples"] == 37 and "parts" not in meta
+    assert (np.memmap(tmp_path / meta["input_ids_path"], "<u2", mode="r", shape=(37, 8)) == ids).all()
+    assert (np.memmap(tmp_path / meta["labels_path"], "<i4", mode="r", shape=(37, 8)) == labels).all()
+    for bad in (df.where("row <> 5"), df.union(df.limit(1)), df.where("row < 0")):
+        with pytest.raises(Exception):
+            sh.write_sft_shards(bad, str(tmp_path), "bad", 8)
+    assert not os.path.exists(tmp_path / "bad_metadata.json")
+
+
+def test_a_shorter_write_leaves_no_stale_shards_and_append_is_refused(spark, tmp_path):
+    def pieces(n):
+        return spark.createDataFrame([(i, 0, [i] * 4) for i in range(n)], "shard long, shard_pos long, tokens array<int>")
+
+    sh.write_token_shards(pieces(5), str(tmp_path), "train")
+    sh.write_token_shards(pieces(2), str(tmp_path), "train")
+    assert sorted(p.name for p in tmp_path.glob("*.bin")) == ["train_00000.bin", "train_00001.bin"]
+    with pytest.raises(Exception, match="overwrite"):
+        pieces(1).write.format("token_shards").option("prefix", "train").mode("append").save(str(tmp_path))
+    assert len(json.load(open(tmp_path / "train_manifest.json"))) == 2
