@@ -31,6 +31,9 @@ HEADLINE = [
     "resume_lineage",
     "shift_labels",        # windows filled from pieces
     "eval_loss",
+    "budget_prefilter",    # verified prefix, tokenized once
+    "write_token_shards",  # Arrow shard files + manifest
+    "speed_regression",
 ]
 
 

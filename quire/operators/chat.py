@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.config import BOS_ID, EOS_ID, IGNORE_INDEX, PAD_ID, ChatConfig
 from quire.functions.hashing import hex_bucket, order_key
@@ -65,25 +66,34 @@ def normalize_alpaca(instruction: str | Column, input_text: str | Column, output
     return F.array(_message("user", prompt), _message("assistant", py_strip(col_of(output)))).cast(MESSAGE_TYPE)
 
 
-def validation_reason(df: DataFrame, config: ChatConfig) -> Column:
-    """Why a raw row cannot be turned into messages (null when it can)."""
-    fmt = config.format
+def _list_reason(df: DataFrame, config: ChatConfig, content: str) -> Column:
+    name = config.messages_field
+    if name not in df.columns:
+        return F.lit(f"no field {name}")
+    t = df.schema[name].dataType
+    if not isinstance(t, T.ArrayType) or not isinstance(t.elementType, T.StructType):
+        return F.lit("messages field is not a list")
+    kinds = {f.name: f.dataType.simpleString() for f in t.elementType.fields}
+    if kinds.get("role") != "string" or not kinds.get("content", "").startswith(content):
+        return F.lit(f"messages need a string role and a content of type {content}")
+    return F.when(F.col(name).isNull(), F.lit("messages field is missing"))
+
+
+def _fields_reason(df: DataFrame, *names: str) -> Column:
     types = dict(df.dtypes)
-    if fmt == "messages":
-        t = types.get(config.messages_field, "")
-        if not t.startswith("array<"):
-            return F.lit("messages field is not a list")
-        return F.when(F.col(config.messages_field).isNull(), F.lit("messages field is missing"))
-    if fmt == "prompt_response":
-        fields = (config.prompt_field, config.response_field)
-    elif fmt == "alpaca":
-        fields = (config.instruction_field, config.output_field)
-    else:
-        return F.lit(f"unsupported format {fmt}")
-    for f in fields:
+    for f in names:
         if types.get(f) != "string":
             return F.lit(f"field {f} is not a string")
-    return F.when(F.col(fields[0]).isNull() | F.col(fields[1]).isNull(), F.lit(f"field {fields[0]}/{fields[1]} is missing"))
+    return F.when(F.greatest(*[F.col(f).isNull() for f in names], F.lit(False)), F.lit(f"field {'/'.join(names)} is missing"))
+
+
+def validation_reason(df: DataFrame, config: ChatConfig) -> Column:
+    """Why a raw row cannot be turned into messages (null when it can): the check that the
+    configured layout registered."""
+    if config.format not in FORMATS:
+        return F.lit(f"unsupported format {config.format}")
+    check = CHECKS.get(config.format)
+    return check(df, config) if check else F.lit(None).cast("string")
 
 
 def validate_chat_rows(df: DataFrame, config: ChatConfig, policy: str = "fail") -> tuple[DataFrame, DataFrame]:
@@ -111,9 +121,22 @@ FORMATS: dict[str, Callable[[ChatConfig], Column]] = {
 }
 
 
-def register_chat_format(name: str, build: Callable[[ChatConfig], Column]) -> None:
-    """Add a chat layout: ``build(config)`` returns a messages Column."""
+CHECKS: dict[str, Callable[[DataFrame, ChatConfig], Column]] = {
+    "messages": lambda df, c: _list_reason(df, c, "string"),
+    "messages_parts": lambda df, c: _list_reason(df, c, "array<struct<"),
+    "prompt_response": lambda df, c: _fields_reason(df, c.prompt_field, c.response_field),
+    "alpaca": lambda df, c: _fields_reason(df, c.instruction_field, c.output_field),
+}
+
+
+def register_chat_format(name: str, build: Callable[[ChatConfig], Column], check: Callable[[DataFrame, ChatConfig], Column] | None = None) -> None:
+    """Add a chat layout: ``build(config)`` returns a messages Column; ``check(df, config)``
+    a Column with the reason why a row is invalid, null if it isn't (without one every row
+    is taken)."""
     FORMATS[name] = build
+    CHECKS.pop(name, None)
+    if check is not None:
+        CHECKS[name] = check
 
 
 def to_messages(df: DataFrame, config: ChatConfig) -> DataFrame:
