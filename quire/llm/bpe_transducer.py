@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 from struct import pack
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ class Transducer:
     output)``, oldest first. What the oldest has read and the token before it determine
     the others, so that pair of numbers names the state."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 500_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 200_000):
         self.ranks, self.limit = ranks, limit
         self.token = {r: t for t, r in ranks.items()}
         self.packed = {r: pack("<I", r) for r in self.token}
@@ -172,6 +173,129 @@ class Transducer:
         return out + self.final[state]
 
 
+class Lockstep:
+    """The same determinised machine, read by many short pieces at once: one step moves all
+    pieces by a byte. States are runs of ``(trie node, token before it)`` in flat arrays,
+    transitions are sorted keys ``state << 8 | byte`` with the next state and the last
+    token of the text read so far; those missing at a step are made together. Where the
+    oldest configuration starts, all that lies before is certain; pieces are short, so
+    their tokens are read back from the last ones when a piece ends."""
+
+    LONGEST = 128
+
+    def __init__(self, machine: Transducer, limit: int = 2_000_000):
+        self.machine, self.limit = machine, limit
+        keys = np.fromiter(machine.child.keys(), "i8", len(machine.child))
+        order = np.argsort(keys)
+        self.keys, self.nodes = keys[order], np.fromiter(machine.child.values(), "i4", len(keys))[order]
+        self.ends, self.inner = np.array(machine.ends, "i4"), np.frombuffer(bytes(machine.inner), "u1").astype(bool)
+        self.length = np.ones(max(machine.token) + 1, "i8")
+        for r, t in machine.token.items():
+            self.length[r] = len(t)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.first, self.count = np.zeros(1, "i8"), np.ones(1, "i8")
+        self.node, self.before = np.zeros(1, "i4"), np.full(1, -1, "i4")
+        zero = np.zeros(1, "i8")
+        self.state_key, self.state = self._name(self.node, self.before, zero, zero), np.zeros(1, "i4")
+        self.move_key = np.full(1, 1 << 62, "i8")  # sorted; a sentinel ends them
+        self.move_to, self.move_token = np.zeros(1, "i4"), np.zeros(1, "i4")
+
+    def _fit(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        pairs, at = np.unique((before.astype("i8") + 1) << 32 | token, return_inverse=True)
+        fits = self.machine.fits
+        return np.array([fits((p >> 32) - 1, p & 0xFFFFFFFF) for p in pairs.tolist()], bool)[at]
+
+    @staticmethod
+    def _name(node: np.ndarray, before: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each state's configurations, in order."""
+        with np.errstate(over="ignore"):
+            x = node.astype("u8") * np.uint64(0x9E3779B97F4A7C15) + (before + 2).astype("u8") * np.uint64(0xC2B2AE3D27D4EB4F)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(32))) * (2 * place.astype("u8") + np.uint64(0x94D049BB133111EB))
+            return np.add.reduceat(x ^ (x >> np.uint64(31)), first).view("i8")
+
+    def _make(self, moves: np.ndarray) -> None:
+        """Make the transitions ``moves`` (distinct keys, ascending)."""
+        state, byte = moves >> 8, moves & 255
+        count = self.count[state]
+        owner = np.repeat(np.arange(len(moves)), count)
+        row = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + self.first[state][owner]
+        key = self.node[row].astype("i8") << 8 | byte[owner]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        goes = self.keys[at] == key
+        owner, node, before = owner[goes], self.nodes[at[goes]], self.before[row[goes]]
+        token = self.ends[node]
+        ending = np.flatnonzero(token >= 0)
+        ending = ending[self._fit(before[ending], token[ending])]
+        opened = np.full(len(moves), -1, "i4")
+        opened[owner[ending]] = token[ending]
+        if (opened < 0).any():
+            raise ValueError("the vocabulary lacks a byte of the text")
+        on = self.inner[node]
+        owner = np.concatenate((owner[on], np.arange(len(moves))))  # the one opened is the youngest
+        node = np.concatenate((node[on], np.zeros(len(moves), "i4")))
+        before = np.concatenate((before[on], opened))
+        order = np.argsort(owner, kind="stable")
+        owner, node, before = owner[order], node[order], before[order]
+        count = np.bincount(owner, minlength=len(moves))
+        first = np.cumsum(count) - count
+        key = self._name(node, before, np.arange(len(node)) - first[owner], first)
+        keys, example, of = np.unique(key, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.state_key, keys)
+        known = (at < len(self.state_key)) & (self.state_key[np.minimum(at, len(self.state_key) - 1)] == keys)
+        number = np.where(known, self.state[np.minimum(at, len(self.state) - 1)], 0)
+        new = np.flatnonzero(~known)
+        number[new] = len(self.first) + np.arange(len(new))
+        took = example[new]
+        rows = np.repeat(first[took] - (np.cumsum(count[took]) - count[took]), count[took]) + np.arange(count[took].sum())
+        self.first = np.concatenate((self.first, len(self.node) + np.cumsum(count[took]) - count[took]))
+        self.count = np.concatenate((self.count, count[took]))
+        self.node, self.before = np.concatenate((self.node, node[rows])), np.concatenate((self.before, before[rows]))
+        self.state_key, self.state = np.insert(self.state_key, at[new], keys[new]), np.insert(self.state, at[new], number[new])
+        at = np.searchsorted(self.move_key, moves)
+        self.move_key = np.insert(self.move_key, at, moves)
+        self.move_to, self.move_token = np.insert(self.move_to, at, number[of]), np.insert(self.move_token, at, opened)
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece (not empty, at most ``LONGEST`` bytes), packed as ``<u4``."""
+        if not pieces:
+            return []
+        if len(self.move_key) > self.limit:
+            self._forget()
+        size = np.array([len(p) for p in pieces])
+        order = np.argsort(-size, kind="stable")
+        start = (np.cumsum(size) - size)[order]
+        text, left = np.frombuffer(b"".join(pieces), "u1").astype("i8"), np.sort(size)
+        state, last = np.zeros(len(pieces), "i8"), np.zeros(len(text), "i4")
+        for i in range(int(left[-1])):
+            n = len(pieces) - int(np.searchsorted(left, i, side="right"))
+            at = start[:n] + i
+            key = state[:n] << 8 | text[at]
+            found = np.searchsorted(self.move_key, key)
+            missing = self.move_key[found] != key
+            if missing.any():
+                self._make(np.unique(key[missing]))
+                found = np.searchsorted(self.move_key, key)
+            state[:n], last[at] = self.move_to[found], self.move_token[found]
+        begin, at = np.cumsum(size) - size, np.cumsum(size)
+        rounds, going = [], np.arange(len(pieces))
+        n_tokens = np.zeros(len(pieces), "i8")
+        while len(going):
+            token = last[at[going] - 1]
+            rounds.append((going, token))
+            at[going] -= self.length[token]
+            n_tokens[going] += 1
+            going = going[at[going] > begin[going]]
+        close = np.cumsum(n_tokens)
+        out = np.zeros(int(close[-1]), "<u4")
+        for k, (going, token) in enumerate(rounds):
+            out[close[going] - 1 - k] = token
+        raw, cut = out.tobytes(), (4 * close).tolist()
+        return [raw[a:z] for a, z in zip([0, *cut], cut)]
+
+
 class Utf8Stream:
     """Incremental UTF-8 state machine: the state is the unfinished character's bytes."""
 
@@ -215,41 +339,71 @@ def _codec(path: str, pattern: str) -> WordMemo:
     if (path, pattern) not in _CODECS:
         import regex
 
-        split, encode = regex.compile(pattern).findall, _machine(path).encode
+        split, machine = regex.compile(pattern).findall, _machine(path)
+        ranks, packed, short = machine.ranks, machine.packed, Lockstep(machine)
 
         def encode_many(texts: list[str]) -> list[bytes]:
-            return [b"".join([encode(p.encode()) for p in split(t)]) for t in texts]
-
-        _CODECS[path, pattern] = WordMemo(encode_many, limit=800_000)
+            cut = [[p.encode() for p in split(t)] for t in texts]
+            new = list({p for pieces in cut for p in pieces if p not in ranks})  # a piece that is a token stands for itself
+            small = [p for p in new if len(p) <= short.LONGEST]
+            ids = dict(zip(small, short.encode(small)))
+            ids.update((p, machine.encode(p)) for p in new if len(p) > short.LONGEST)
+            return [b"".join([packed[ranks[p]] if p in ranks else ids[p] for p in pieces]) for pieces in cut]
+
+        _CODECS[path, pattern] = WordMemo(encode_many)
     return _CODECS[path, pattern]
 
 
-def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, ids``: the ids of the whole text, little-endian unsigned 32-bit."""
+class Decoder:
+    """Bytes of many ids at once, gathered from the vocabulary laid end to end."""
+
+    def __init__(self, token: dict[int, bytes]):
+        n = max(token) + 1
+        texts = [token.get(i, b"") for i in range(n)]
+        self.size = np.array([len(t) for t in texts], "i8")
+        self.at = np.cumsum(self.size) - self.size
+        self.text = np.frombuffer(b"".join(texts), "u1")
+
+    def __call__(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        shift = self.at[ids] - (np.cumsum(size) - size)
+        return self.text[np.arange(int(size.sum())) + np.repeat(shift, size)].tobytes()
+
+
+def _text_of(ids: bytes, decode: Decoder, block: int) -> str:
+    numbers, stream = np.frombuffer(ids, "<u4"), Utf8Stream()
+    return "".join([*(stream.feed(decode(numbers[i : i + block])) for i in range(0, len(numbers), block)), stream.finish()])
+
+
+def encode_documents(
+    df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, block: int = 4096
+) -> DataFrame:
+    """``doc_id, ids``: the ids of the whole text, little-endian unsigned 32-bit. With
+    ``decoded``, also the text that the ids decode to, streamed ``block`` ids at a time."""
 
     def run(batches):
         codec = _codec(ranks_path, pattern)
+        decode = Decoder(_machine(ranks_path).token) if decoded else None
         for big in batches:
-            for b in pieces_of(big):
+            for b in pieces_of(big, 2048):
                 ids = codec.encode(["" if t is None else t for t in b.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                out = {"doc_id": b.column(0), "ids": pa.array(ids, pa.binary())}
+                if decode:
+                    out["decoded"] = pa.array([_text_of(x, decode, block) for x in ids], pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
-    return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
+    return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, ids binary" + ", decoded string" * decoded)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, block: int = 4096) -> DataFrame:
-    """``doc_id, ids`` → the same and ``decoded``, streamed ``block`` ids at a time."""
-
-    def text_of(ids: memoryview, token: dict[int, bytes]) -> str:
-        stream = Utf8Stream()
-        out = [stream.feed(b"".join([token[i] for i in ids[at : at + block]])) for at in range(0, len(ids), block)]
-        return "".join([*out, stream.finish()])
+    """``doc_id, ids`` → the same and ``decoded``, streamed ``block`` ids at a time; null
+    ids decode to an empty text."""
 
     def run(batches):
-        token = _machine(ranks_path).token
+        decode = Decoder(_machine(ranks_path).token)
         for big in batches:
             for b in pieces_of(big):
-                texts = [text_of(memoryview(x).cast("I"), token) for x in b.column(1).to_pylist()]
+                texts = [_text_of(x, decode, block) for x in b.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids")).mapInArrow(run, "doc_id long, ids binary, decoded string")

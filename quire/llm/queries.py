@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quire.llm.batches import table
 from quire.llm.bit_sliced import top_k
 from quire.llm.brown_classes import score_documents
-from quire.llm.bpe_transducer import decode_documents, encode_documents
+from quire.llm.bpe_transducer import encode_documents
 from quire.llm.cost_packing import pack_documents
 from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings
@@ -39,8 +39,8 @@ def op4_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return decode_documents(encoded, ranks).select(
+    coded = encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -22,7 +22,7 @@ class WordMemo:
     real codec. ``limit`` bounds the entries kept: a word met once the memo is full is
     encoded again in each batch that has it, so the bound changes speed only."""
 
-    def __init__(self, encode_many, specials: tuple[str, ...] = (), limit: int = 600_000, longest: int = 64):
+    def __init__(self, encode_many, specials: tuple[str, ...] = (), limit: int = 400_000, longest: int = 64):
         self.encode_many, self.specials, self.limit, self.longest = encode_many, specials, limit, longest
         self.led: dict[str, bytes] = {}  # words after a space
         self.first: dict[str, bytes] = {}  # words that open a line
