@@ -13,6 +13,7 @@ from quire.llm.brown_classes import score_documents
 from quire.llm.bpe_transducer import encode_documents
 from quire.llm.cost_packing import pack_documents
 from quire.llm.license_diagonals import scan_licenses
+from quire.llm.oracles import licenses_sql, near_vectors_sql, substrings_sql, top_k_sql
 from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
 from quire.llm.simhash_pivots import near_duplicates
@@ -88,4 +89,9 @@ QUERIES = {
     "op10_pq_neardup": op10_pq_neardup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_bit_sliced": top_k_sql(),
+    "op7_license_diagonals": licenses_sql(),
+    "op9_phrase_automata": substrings_sql(),
+    "op10_pq_neardup": near_vectors_sql(),
+}
