@@ -35,6 +35,14 @@ def fold(id_col: str | Column, folds: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % F.lit(folds), F.lit(0)).cast("int")
 
 
+def sampled(order: Column, most: int, rows: int, parts: int = 1 << 20) -> Column:
+    """Condition that lets through somewhat more than ``most`` of ``rows`` rows, those of
+    the lowest hash ``order``, so that an ``orderBy(order).limit(most)`` after it moves no
+    more than that to the driver however many tasks there are."""
+    share = 1.0 if rows <= 0 else min(1.0, (most + 10 * most**0.5 + 100) / rows)
+    return F.lit(True) if share >= 1 else order < F.lit(int((share - 0.5) * 2**64))
+
+
 def raw_texts(column) -> list[bytes]:
     """UTF-8 bytes of a string column; null as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

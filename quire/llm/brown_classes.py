@@ -72,6 +72,20 @@ def _count_words(train: DataFrame, most: int = 250_000) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The ``most`` most frequent words, ties by word. Words too rare to be among them
+    (by the numbers of words of each count up to 2**16) go first, so that tasks don't each
+    send ``most`` candidates to the driver."""
+    low = F.least("n", F.lit(1 << 16)).alias("low")
+    sizes = sorted((tuple(r) for r in words.groupBy(low).count().collect()), reverse=True)  # at most 2**16 rows
+    have, least = 0, 0
+    for n, k in sizes:
+        have, least = have + k, n
+        if have >= most:
+            break
+    return words.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most)
+
+
 class Lexicon:
     """The bounded word table of a task: numbers, counts and units. The end token has
     number ``len(words)`` and unit 0."""
@@ -222,7 +236,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ends = train.count()
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = total + ends, distinct + (ends > 0)
-    top = words.orderBy(F.desc("n"), "word").limit(settings.lexicon).collect()  # bounded by the setting
+    top = most_frequent(words, settings.lexicon).collect()  # bounded by the setting
     lexicon = Lexicon([bytes(r.word) for r in top], [r.n for r in top], ends, settings)
 
     bigrams = checkpointed(_unit_bigrams(train, lexicon), "unit-bigrams")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.batches import fold, pieces_of, raw_texts
+from quire.llm.batches import fold, pieces_of, raw_texts, sampled
 from quire.plans.materialize import checkpointed
 
 FOLDS, HELD_OUT = 3, 1
@@ -118,8 +118,9 @@ def with_features(df: DataFrame, id_col: str, text_col: str, host: Column, path:
 
 def fitted(rows: DataFrame, labels: DataFrame, sample: int) -> Logistic | None:
     """Fit on at most ``sample`` labelled rows of the training folds, chosen by hash."""
-    known = rows.where(fold("doc_id", FOLDS) != HELD_OUT).join(labels, "doc_id").select("label", "x", F.xxhash64("doc_id").alias("h"), "doc_id", "text_key")
-    got = known.orderBy("h", "doc_id", "text_key").limit(sample).select("label", "x").toPandas()  # bounded by ``sample``
+    known = rows.where(fold("doc_id", FOLDS) != HELD_OUT).join(labels, "doc_id").select("label", "x", F.xxhash64("doc_id", "text_key").alias("h"), "doc_id", "text_key")
+    few = known.where(sampled(F.col("h"), sample, labels.count()))
+    got = few.orderBy("h", "doc_id", "text_key").limit(sample).select("label", "x").toPandas()  # bounded by ``sample``
     if got["label"].nunique() < 2:
         return None
     return Logistic(np.stack(got["x"].to_numpy()), got["label"].to_numpy().astype("f8"))
