@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.batches import sampled
 from quire.llm.components import connected_components
 from quire.plans.materialize import checkpointed
 
@@ -39,7 +40,7 @@ from quire.plans.materialize import checkpointed
 class Settings:
     threshold: float = 0.98
     sample: int = 20_000  # vectors the codebooks are fitted on
-    list_rows: int = 512  # aimed at, per list
+    list_rows: int = 2048  # aimed at, per list
     most_lists: int = 1024  # bounds the coarse codebook
     subspaces: int = 8
     codes: int = 16
@@ -145,7 +146,9 @@ def near_duplicates(
     if usual is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     good = rows.where((F.size("v") == usual.dims) & F.col("label").isNotNull() & F.col("v").isNotNull())
-    sample = good.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(settings.sample).toPandas()  # bounded
+    order = F.xxhash64("vec_id")
+    few = good.select("vec_id", "v").where(sampled(order, settings.sample, usual["count"]))
+    sample = few.orderBy(order, "vec_id").limit(settings.sample).toPandas()  # bounded by the setting
     if sample.empty:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     book = spark.sparkContext.broadcast(Codebook(_unit(sample["v"]), usual["count"], settings))  # bounded by the settings
