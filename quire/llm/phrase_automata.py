@@ -46,8 +46,7 @@ from quire.plans.materialize import checkpointed
 
 LAST_ID = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_MEMO: dict[bytes, int] = {}
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 150_000
 
 
 @lru_cache(4)
@@ -64,8 +63,9 @@ def _size(n: int) -> int:
     return 1 << max(10, int(n).bit_length())
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    memo, h, out = _MEMO, xxhash.xxh3_64_intdigest, []
+def word_hashes(words: list[bytes], memo: dict[bytes, int]) -> np.ndarray:
+    """64-bit hashes of words; ``memo`` keeps some for the next texts."""
+    h, out = xxhash.xxh3_64_intdigest, []
     if len(memo) > _MEMO_LIMIT:
         memo.clear()
     for w in words:
@@ -115,6 +115,7 @@ def _anchor_rows(df: DataFrame, window: int, phrase: int) -> DataFrame:
     """Per row: its word count, digests of its words, and its anchors' hashes."""
 
     def run(batches):
+        memo: dict[bytes, int] = {}
         for big in batches:
             for b in pieces_of(big):
                 n_words, content, kept, found = [], [], [], []
@@ -124,7 +125,7 @@ def _anchor_rows(df: DataFrame, window: int, phrase: int) -> DataFrame:
                     n_words.append(len(words))
                     content.append(xxhash.xxh3_128_digest(joined))
                     kept.append(hashlib.sha256(joined).hexdigest())
-                    hashes = rolling(word_hashes(words), phrase)
+                    hashes = rolling(word_hashes(words, memo), phrase)
                     found.append(np.unique(hashes[anchors(hashes, window - phrase + 1)]).view("i8"))
                 digest = np.frombuffer(b"".join(content), "i8").reshape(-1, 2)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in found])))
@@ -145,12 +146,13 @@ def _window_rows(df: DataFrame, window: int, phrase: int) -> DataFrame:
     """Windows over recurring anchors: 128-bit hash, document, place."""
 
     def run(batches):
+        memo: dict[bytes, int] = {}
         for big in batches:
             for b in pieces_of(big, 256):
                 owner, places, lo, hi = [], [], [], []
                 rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), raw_texts(b.column(2)), b.column(3).to_pylist())
                 for key, doc, raw, recurring in rows:
-                    hashes = word_hashes(raw.split())
+                    hashes = word_hashes(raw.split(), memo)
                     short = rolling(hashes, phrase)
                     of = anchors(short, window - phrase + 1)
                     at = np.flatnonzero(np.isin(short, np.array(recurring, "i8").view("u8"))[of])
@@ -207,8 +209,8 @@ def _cut_long(passages, most: int, window: int):
 
 
 def occurrences(passages, stretches, window: int, most: int = 200_000):
-    """``(tag, start, end)`` of every place where ``window`` or more words of a passage
-    stand in a stretch. Passages are ``(owner, words)``, stretches
+    """``(tag, start, end)`` of every run of words of a stretch that is covered by places
+    where ``window`` or more words of a passage stand. Passages are ``(owner, words)``, stretches
     ``(owner, tag, start, words)``; a stretch is compared with its owner's passages.
     One automaton holds at most about ``2 * most`` words."""
     held: list = []
@@ -243,6 +245,7 @@ def _stream(passages, stretches, window: int):
             continue
         t = "".join([number.get(w, "\0") for w in words])
         done: dict[tuple[int, int], int] = {}  # (passage, diagonal) → end of the match found there
+        spans: list[tuple[int, int]] = []
         for last, places in automaton.iter(t):
             a = last - block + 1
             for k, at in places:
@@ -256,7 +259,14 @@ def _stream(passages, stretches, window: int):
                     z, e = z + 1, e + 1
                 done[k, a - at] = z
                 if z - i >= window:
-                    yield tag, start + i, start + z
+                    spans.append((i, z))
+        # A text that repeats itself matches on many diagonals: one row a covered run.
+        spans.sort(reverse=True)
+        while spans:
+            a, z = spans.pop()
+            while spans and spans[-1][0] <= z:
+                z = max(z, spans.pop()[1])
+            yield tag, start + a, start + z
 
 
 def _located(lent: DataFrame, borrowed: DataFrame, window: int, shard_words: int, salt_words: int) -> DataFrame:
