@@ -156,7 +156,7 @@ def pack_documents(
         held: list[bytes] = []
         tokens = 0
         for big in batches:
-            for b in pieces_of(big):
+            for b in pieces_of(big, 512):
                 texts = ["" if t is None else t for t in b.column(1).to_pylist()]
                 encoded = [x + end for x in codec.encode(texts)]
                 for i, x in zip(b.column(0).to_pylist(), encoded):
