@@ -1,15 +1,17 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-1. *Lexicon.* In half of the labelled training texts, document counts of words and word
-   beginnings by label (combined per task, then summed); those far more frequent in
+Learning takes at most ``sample`` labelled ids of the training folds, chosen by hash.
+
+1. *Lexicon.* In half of their texts, document counts of words and word beginnings by
+   label (combined per task, then summed); those far more frequent in
    toxic texts, by smoothed log-odds, are the lexicon: at most ``lexicon`` entries, in a
    strong and a weak tier. It is learned in any language; labels, language, source and
    id are never inputs of a score.
 2. *Features*, one pass over whole texts: densities and counts of lexicon words per tier,
    hits that only show after undoing obfuscation (digits and signs for letters, letters
    spaced by signs), hits near second-person words, capitals, punctuation, lengths.
-3. *Trees* of bounded depth fitted to the log loss on quantile bins, on at most
-   ``sample`` rows of a quarter of the training texts that the lexicon hasn't seen.
+3. *Trees* of bounded depth fitted to the log loss on quantile bins, on a quarter of the
+   texts that the lexicon hasn't seen.
 4. *Calibration* by isotonic regression on the last quarter, which neither has seen.
 
 Texts, not rows, are dealt to the parts, so copies of a text stay in one part.
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.batches import documents, fold, pieces_of, raw_texts
+from quire.llm.batches import documents, fold, pieces_of, raw_texts, sampled
 from quire.llm.site_bayes import one_label
 from quire.plans.materialize import checkpointed
 
@@ -72,7 +74,7 @@ def undisguised(word: bytes) -> bytes:
     return bytes(out)
 
 
-def term_counts(rows: DataFrame, most: int = 400_000) -> DataFrame:
+def term_counts(rows: DataFrame, most: int = 150_000) -> DataFrame:
     """``term, toxic, clean``: texts of each label that have the term. ``rows``:
     ``text, label``."""
 
@@ -130,7 +132,7 @@ class Reader:
                 hidden = best2 >= self.strong
                 best = max(best, best2)
             got = (best, hidden)
-            if len(self.memo) > 300_000:
+            if len(self.memo) > 150_000:
                 self.memo.clear()
             if len(word) <= 64:
                 self.memo[word] = got
@@ -249,54 +251,52 @@ def score_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     threshold: float = THRESHOLD,
-    sample: int = 20_000,
+    sample: int = 40_000,
     lexicon: int = 4096,
     least: int = 2,
     weak: float = 1.5,
     strong: float = 3.0,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key`` (hash of the text, with the id the row's
-    key), ``held_out, score, predicted``."""
+    key), ``held_out, score, predicted``. ``sample`` bounds the labelled ids learned from."""
     docs = documents(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     known = one_label(labels, label_col).where(F.col("label").isin(0, 1)).where(fold("doc_id", FOLDS) != HELD_OUT)
+    order = F.xxhash64("doc_id", F.lit(11))
+    known = known.where(sampled(order, sample, known.count())).orderBy(order, "doc_id").limit(sample)  # bounded, so broadcast
     part = F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(7)), F.lit(4))
-    train = checkpointed(docs.join(known, "doc_id").select("doc_id", "text", "text_key", "label", part.alias("part")), "toxic-train")
+    train = checkpointed(docs.join(F.broadcast(known), "doc_id").select("doc_id", "text", "text_key", "label", part.alias("part")), "toxic-train")
     sizes = {(r.part, r.label): r["count"] for r in train.groupBy("part", "label").count().collect()}
     seen = [sum(sizes.get((p, y), 0) for p in (0, 1)) for y in (0, 1)]
     # Copies of a text would count a word many times over: one row a text.
     distinct = train.where("part < 2").dropDuplicates(["text_key", "label"]).select("text", "label")
     words = choose_lexicon(term_counts(distinct), seen[1], seen[0], least, weak, lexicon) if all(seen) else {}
 
-    def read(texts: DataFrame, keep: list[str], schema: str) -> DataFrame:
+    def read(texts: DataFrame, keep: list[str], schema: str, of=None) -> DataFrame:
+        """``keep`` and the features ``x``, or what ``of`` makes of them."""
+
         def run(batches):
             reader = Reader(words, strong)
             for big in batches:
-                for b in pieces_of(big):
+                for b in pieces_of(big, 512):
                     x = np.array([reader.features(t) for t in raw_texts(b.column(0))], "f8").reshape(b.num_rows, len(FEATURES))
                     offsets = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [*b.columns[1:], pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))], names=[*keep, "x"]
-                    )
+                    last = pa.array(of(x)) if of else pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))
+                    yield pa.RecordBatch.from_arrays([*b.columns[1:], last], names=[*keep, "score" if of else "x"])
 
-        return texts.select("text", *keep).mapInArrow(run, schema + ", x array<double>")
+        return texts.select("text", *keep).mapInArrow(run, schema)
 
-    taught = read(train.where("part > 1"), ["doc_id", "text_key", "label", "part"], "doc_id long, text_key long, label int, part long")
-    picked = taught.orderBy(F.xxhash64("text_key", F.lit(3)), "doc_id", "text_key").limit(sample).toPandas()  # bounded by ``sample``
+    rows = sum(n for (p, _), n in sizes.items() if p > 1)
+    taught = train.where("part > 1").where(sampled(F.xxhash64("text_key", "doc_id"), sample, rows))
+    taught = read(taught, ["doc_id", "text_key", "label", "part"], "doc_id long, text_key long, label int, part long, x array<double>")
+    picked = taught.orderBy(F.xxhash64("text_key", "doc_id"), "doc_id", "text_key").limit(sample).toPandas()  # bounded by ``sample``
     model, share = None, seen[1] / sum(seen) if sum(seen) else 0.0
     if len(picked):
         x, y, p = np.stack(picked["x"].to_numpy()), picked["label"].to_numpy().astype("f8"), picked["part"].to_numpy()
         if len(set(y[p == 2])) == 2 and len(set(y[p == 3])) == 2:
             trees = Trees(x[p == 2], y[p == 2])
             model = Model(trees, isotonic(trees.margin(x[p == 3]), y[p == 3]))
-
-    def judge(batches):
-        for big in batches:
-            for b in pieces_of(big, 4096):
-                x = np.array(b.column(2).to_pylist(), "f8").reshape(b.num_rows, len(FEATURES))
-                s = np.full(len(x), share) if model is None else model.score(x)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s)], names=["doc_id", "text_key", "score"])
-
-    scored = read(docs, ["doc_id", "text_key"], "doc_id long, text_key long").mapInArrow(judge, "doc_id long, text_key long, score double")
+    judge = (lambda x: np.full(len(x), share)) if model is None else model.score
+    scored = read(docs, ["doc_id", "text_key"], "doc_id long, text_key long, score double", judge)
     return scored.select(
         "doc_id", "text_key", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
