@@ -109,7 +109,7 @@ def _codec(path: str) -> WordMemo:
         def encode_many(texts: list[str]) -> list[bytes]:
             return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-        _CODECS[path] = WordMemo(encode_many, specials)
+        _CODECS[path] = WordMemo(encode_many, specials, limit=600_000)
     return _CODECS[path]
 
 
@@ -156,7 +156,7 @@ def pack_documents(
         held: list[bytes] = []
         tokens = 0
         for big in batches:
-            for b in pieces_of(big, 512):
+            for b in pieces_of(big):
                 texts = ["" if t is None else t for t in b.column(1).to_pylist()]
                 encoded = [x + end for x in codec.encode(texts)]
                 for i, x in zip(b.column(0).to_pylist(), encoded):
