@@ -1,18 +1,19 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Learning takes at most ``sample`` labelled ids of the training folds, chosen by hash.
-
-1. *Lexicon.* In half of their texts, document counts of words and word beginnings by
-   label (combined per task, then summed); those far more frequent in
+1. *Lexicon.* In half of all labelled training texts, document counts of words and word
+   beginnings by label (combined per task, then summed); those far more frequent in
    toxic texts, by smoothed log-odds, are the lexicon: at most ``lexicon`` entries, in a
    strong and a weak tier. It is learned in any language; labels, language, source and
-   id are never inputs of a score.
+   id are never inputs of a score. Ids and hashes are joined with the labels and sent to
+   the texts, at most ``ids_a_pass`` at once, so texts are never shuffled.
 2. *Features*, one pass over whole texts: densities and counts of lexicon words per tier,
    hits that only show after undoing obfuscation (digits and signs for letters, letters
    spaced by signs), hits near second-person words, capitals, punctuation, lengths.
 3. *Trees* of bounded depth fitted to the log loss on quantile bins, on a quarter of the
    texts that the lexicon hasn't seen.
 4. *Calibration* by isotonic regression on the last quarter, which neither has seen.
+   Trees and calibration together take at most ``sample`` of the labelled training rows
+   that have a document, chosen by hash.
 
 Texts, not rows, are dealt to the parts, so copies of a text stay in one part.
 
@@ -26,6 +27,7 @@ scored each; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -76,29 +78,50 @@ def undisguised(word: bytes) -> bytes:
 
 def term_counts(rows: DataFrame, most: int = 150_000) -> DataFrame:
     """``term, toxic, clean``: texts of each label that have the term. ``rows``:
-    ``text, label``."""
+    ``text, label, n``; each of the ``n`` rows of a repeated text counts for one in ``n``."""
 
     def batch(counts: dict[int, Counter]):
         keys = list(counts[1].keys() | counts[0].keys())
         return pa.RecordBatch.from_pydict({
             "term": pa.array(keys, pa.binary()),
-            "toxic": pa.array([counts[1][k] for k in keys], pa.int64()),
-            "clean": pa.array([counts[0][k] for k in keys], pa.int64()),
+            "toxic": pa.array([counts[1][k] for k in keys], pa.float64()),
+            "clean": pa.array([counts[0][k] for k in keys], pa.float64()),
         })
 
     def run(batches):
         counts = {0: Counter(), 1: Counter()}
         for big in batches:
             for b in pieces_of(big):
-                for raw, label in zip(raw_texts(b.column(0)), b.column(1).to_pylist()):
-                    counts[label].update({t for w in set(plain_words(raw)) if w for t in terms(w)})
+                for raw, label, n in zip(raw_texts(b.column(0)), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    found = {t for w in set(plain_words(raw)) if w for t in terms(w)}
+                    counts[label].update(found if n == 1 else dict.fromkeys(found, 1 / n))
                 if len(counts[0]) + len(counts[1]) > most:
                     yield batch(counts)
                     counts = {0: Counter(), 1: Counter()}
         yield batch(counts)
 
-    parts = rows.mapInArrow(run, "term binary, toxic long, clean long")
-    return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    parts = rows.mapInArrow(run, "term binary, toxic double, clean double")
+    return parts.groupBy("term").agg(*[F.round(F.sum(c)).cast("long").alias(c) for c in ("toxic", "clean")])
+
+
+def all_term_counts(docs: DataFrame, rows: DataFrame, ids_a_pass: int) -> DataFrame:
+    """``term_counts`` of every text in ``rows`` (``doc_id, text_key, label, n``). Copies of
+    a text would count a word many times over: one id a text and label. Only ids and keys
+    reach the tasks, by ranges of their hash, so that none holds many more than
+    ``ids_a_pass``."""
+    one = checkpointed(rows.groupBy("text_key", "label").agg(F.min_by(F.struct("doc_id", "n"), "doc_id").alias("first")).select(
+        "first.doc_id", "text_key", "label", "first.n"), "toxic-texts")
+    passes = max(1, -(-one.count() // ids_a_pass))
+    turn = F.pmod(F.xxhash64("doc_id", "text_key", F.lit(3)), F.lit(passes))
+    counts = []
+    for i in range(passes):
+        texts = docs.join(F.broadcast(one.where(turn == i)), ["doc_id", "text_key"]).select("text", "label", "n")
+        counts.append(term_counts(texts))
+        if passes > 1:
+            counts[i] = checkpointed(counts[i], f"toxic-terms-{i}")
+    if passes == 1:
+        return counts[0]
+    return reduce(DataFrame.unionByName, counts).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def choose_lexicon(counts: DataFrame, toxic: int, clean: int, least: int, weak: float, most: int) -> dict[bytes, float]:
@@ -256,20 +279,20 @@ def score_toxicity(
     least: int = 2,
     weak: float = 1.5,
     strong: float = 3.0,
+    ids_a_pass: int = 1_000_000,
 ) -> DataFrame:
     """One row per document: ``doc_id, text_key`` (hash of the text, with the id the row's
-    key), ``held_out, score, predicted``. ``sample`` bounds the labelled ids learned from."""
+    key), ``held_out, score, predicted``. ``sample`` bounds the rows that trees and
+    calibration learn from; the lexicon counts all labelled training texts."""
     docs = documents(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
     known = one_label(labels, label_col).where(F.col("label").isin(0, 1)).where(fold("doc_id", FOLDS) != HELD_OUT)
-    order = F.xxhash64("doc_id", F.lit(11))
-    known = known.where(sampled(order, sample, known.count())).orderBy(order, "doc_id").limit(sample)  # bounded, so broadcast
     part = F.pmod(F.xxhash64(F.coalesce("text", F.lit("")), F.lit(7)), F.lit(4))
-    train = checkpointed(docs.join(F.broadcast(known), "doc_id").select("doc_id", "text", "text_key", "label", part.alias("part")), "toxic-train")
-    sizes = {(r.part, r.label): r["count"] for r in train.groupBy("part", "label").count().collect()}
+    keys = docs.where(F.col("doc_id").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "text_key", part.alias("part"))
+    keys = keys.groupBy("doc_id", "text_key", "part").agg(F.count(F.lit(1)).alias("n"))
+    train = checkpointed(keys.join(known, "doc_id"), "toxic-train")  # no texts
+    sizes = {(r.part, r.label): r.n for r in train.groupBy("part", "label").agg(F.sum("n").alias("n")).collect()}
     seen = [sum(sizes.get((p, y), 0) for p in (0, 1)) for y in (0, 1)]
-    # Copies of a text would count a word many times over: one row a text.
-    distinct = train.where("part < 2").dropDuplicates(["text_key", "label"]).select("text", "label")
-    words = choose_lexicon(term_counts(distinct), seen[1], seen[0], least, weak, lexicon) if all(seen) else {}
+    words = choose_lexicon(all_term_counts(docs, train.where("part < 2"), ids_a_pass), seen[1], seen[0], least, weak, lexicon) if all(seen) else {}
 
     def read(texts: DataFrame, keep: list[str], schema: str, of=None) -> DataFrame:
         """``keep`` and the features ``x``, or what ``of`` makes of them."""
@@ -285,10 +308,12 @@ def score_toxicity(
 
         return texts.select("text", *keep).mapInArrow(run, schema)
 
-    rows = sum(n for (p, _), n in sizes.items() if p > 1)
-    taught = train.where("part > 1").where(sampled(F.xxhash64("text_key", "doc_id"), sample, rows))
+    rows = train.where("part > 1").count()
+    order = F.xxhash64("text_key", "doc_id")
+    few = train.where("part > 1").where(sampled(order, sample, rows)).orderBy(order, "doc_id", "text_key").limit(sample)  # bounded, so broadcast
+    taught = docs.join(F.broadcast(few.drop("n")), ["doc_id", "text_key"])
     taught = read(taught, ["doc_id", "text_key", "label", "part"], "doc_id long, text_key long, label int, part long, x array<double>")
-    picked = taught.orderBy(F.xxhash64("text_key", "doc_id"), "doc_id", "text_key").limit(sample).toPandas()  # bounded by ``sample``
+    picked = taught.orderBy(order, "doc_id", "text_key").limit(sample).toPandas()  # bounded by ``sample``
     model, share = None, seen[1] / sum(seen) if sum(seen) else 0.0
     if len(picked):
         x, y, p = np.stack(picked["x"].to_numpy()), picked["label"].to_numpy().astype("f8"), picked["part"].to_numpy()

@@ -5,7 +5,7 @@ import pytest
 
 from quire.llm.batches import table, without_rows
 from quire.llm.site_bayes import Logistic, _strength, classify, url_site
-from quire.llm.toxicity_gbt import Reader, Trees, isotonic, score_toxicity, undisguised
+from quire.llm.toxicity_gbt import Reader, Trees, all_term_counts, isotonic, score_toxicity, undisguised
 from tests.conftest import SF_MID
 
 
@@ -106,3 +106,34 @@ def test_rejected_rows_go_by_id_and_text(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, None, 3), (None, "a", 4)], "doc_id long, text string, x int")
     gone = df.where("x in (2, 3)").selectExpr("doc_id", "xxhash64(text) AS text_key")
     assert sorted(r.x for r in without_rows(df, gone).collect()) == [1, 4]
+
+
+def test_lexicon_counts_texts_beyond_the_sample(spark):
+    """A toxic word that is too rare for the sample of the trees still enters the lexicon."""
+    rng = np.random.default_rng(4)
+    common, plain = ["zonkard", "vilewit"], [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(4000):
+        words = list(rng.choice(plain, 12)) + [f"n{i}"]
+        toxic = i % 4 == 0
+        if toxic:
+            words.insert(3, "qwxrare" if i % 80 == 0 else common[i % 8 // 4])
+        rows.append((i, " ".join(words), int(toxic)))
+    rows += [(9000 + i, " ".join([*rng.choice(plain, 12), "qwxrare"]), 1) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    truth = docs.where("doc_id < 9000").select("doc_id", "toxic")
+    got = {r.doc_id: r.score for r in score_toxicity(docs, truth, sample=200).collect()}
+    clean = np.mean([got[r[0]] for r in rows if not r[2]])
+    assert min(got[9000 + i] for i in range(20)) > clean + 0.3
+
+
+@pytest.mark.parametrize("ids_a_pass", [16, 1000])
+def test_term_counts_are_of_distinct_texts(spark, ids_a_pass):
+    texts = [(i, f"common t{i % 7} {'bad' if i % 3 == 0 else 'good'}", int(i % 3 == 0)) for i in range(42)]
+    docs = spark.createDataFrame([*texts, *[texts[0]] * 2, *[texts[5]] * 4], "doc_id long, text string, label int")
+    keyed = docs.selectExpr("doc_id", "text", "xxhash64(text) AS text_key", "label")
+    rows = keyed.groupBy("doc_id", "text_key", "label").count().withColumnRenamed("count", "n")
+    got = {bytes(r.term): (r.toxic, r.clean) for r in all_term_counts(keyed.drop("label"), rows, ids_a_pass).collect()}
+    whole = {(t, y) for _, t, y in texts}
+    for word in ("common", "bad", "good", "t0", "t5"):
+        assert got[word.encode()] == tuple(sum(word in t.split() for t, y in whole if y == label) for label in (1, 0))
