@@ -8,7 +8,8 @@
    the texts, at most ``ids_a_pass`` at once, so texts are never shuffled.
 2. *Features*, one pass over whole texts: densities and counts of lexicon words per tier,
    hits that only show after undoing obfuscation (digits and signs for letters, letters
-   spaced by signs), hits near second-person words, capitals, punctuation, lengths.
+   spaced by signs), hits of either tier near second-person words, capitals of any
+   script, all marks, all signs that stand for letters or space them, lengths.
 3. *Trees* of bounded depth fitted to the log loss on quantile bins, on a quarter of the
    texts that the lexicon hasn't seen.
 4. *Calibration* by isotonic regression on the last quarter, which neither has seen.
@@ -26,6 +27,7 @@ scored each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from functools import reduce
 
@@ -47,11 +49,41 @@ FEATURES = (
 # Second-person words, lower case.
 SECOND_PERSON = {w.encode() for w in "you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta vous votre tú ti usted ustedes vos".split()}
 
-# Signs that stand for letters in disguised words.
-DISGUISE = bytes.maketrans(b"0134578@$!", b"oieastbasi")
+# Signs that stand for letters in disguised words, and that space them.
+AS_LETTERS, SPACING = b"0134578@$!", b".-_*'+~^#%&"
+DISGUISE = bytes.maketrans(AS_LETTERS, b"oieastbasi")
 MARKS = b".,;:!?\"'()[]{}<>-_*#%&/\\|~`+=^"
 BEGINNINGS = (4, 5, 6)
 NEAR = 5
+ORDINARY = b".-'!"  # signs that disguise only between letters
+
+_UPPER, _LOWER, _MARK, _SIGN = range(4)
+_CLASSES = np.zeros((256, 4), "f8")
+for _chars, _col in ((range(ord("A"), ord("Z") + 1), _UPPER), (range(ord("a"), ord("z") + 1), _LOWER), (MARKS, _MARK), (set(AS_LETTERS + SPACING) - set(ORDINARY), _SIGN)):
+    _CLASSES[list(_chars), _col] = 1
+_LETTER = (_CLASSES[:, _UPPER] + _CLASSES[:, _LOWER] > 0) | (np.arange(256) >= 128)
+_BETWEEN = np.isin(np.arange(256), list(ORDINARY))
+_NOT_ASCII = re.compile("[^\x00-\x7f]+")
+_PLAIN = (0.0, False, False)
+
+
+def byte_classes(raw: bytes) -> tuple[float, float, float, float]:
+    """How many capitals and small letters (of any script), marks, and signs that stand for
+    letters or space them (of ``ORDINARY`` only those between letters) the text has."""
+    codes = np.frombuffer(raw, "u1")
+    upper, lower, marks, signs = (np.bincount(codes, minlength=256) @ _CLASSES).tolist()
+    at = np.flatnonzero(_BETWEEN[codes])
+    at = at[(at > 0) & (at < len(codes) - 1)]
+    signs += int((_LETTER[codes[at - 1]] & _LETTER[codes[at + 1]]).sum())
+    if not raw.isascii():
+        for c, n in Counter("".join(_NOT_ASCII.findall(raw.decode("utf-8", "replace")))).items():
+            upper += n * (c.isupper() or c.istitle())
+            lower += n * c.islower()
+    return upper, lower, marks, signs
+
+
+def shouted(word: bytes) -> bool:
+    return word.isupper() if word.isascii() else word.decode("utf-8", "replace").isupper()
 
 
 def terms(word: bytes):
@@ -68,7 +100,7 @@ def plain_words(raw: bytes) -> list[bytes]:
 
 def undisguised(word: bytes) -> bytes:
     """Signs read as letters, other signs inside the word dropped, long runs shortened."""
-    word = word.translate(DISGUISE, b".-_*'+~^#%&")
+    word = word.translate(DISGUISE, SPACING)
     out = bytearray()
     for b in word:
         if len(out) < 2 or out[-1] != b or out[-2] != b:
@@ -140,10 +172,11 @@ class Reader:
 
     def __init__(self, lexicon: dict[bytes, float], strong: float):
         self.lexicon, self.strong = lexicon, strong
-        self.memo: dict[bytes, tuple[float, bool]] = {}
+        self.memo: dict[bytes, tuple[float, bool, bool]] = {}
 
-    def weight(self, word: bytes) -> tuple[float, bool]:
-        """Highest log-odds of the word's terms (0: none), and whether it was hidden."""
+    def weight(self, word: bytes) -> tuple[float, bool, bool]:
+        """Highest log-odds of the word's terms (0: none), whether it was hidden, and
+        whether it is a second-person word."""
         got = self.memo.get(word)
         if got is None:
             get = self.lexicon.get
@@ -154,7 +187,8 @@ class Reader:
                 best2 = get(undisguised(word.strip(b".,;:?\"'()")), 0.0)
                 hidden = best2 >= self.strong
                 best = max(best, best2)
-            got = (best, hidden)
+            you = word in SECOND_PERSON or plain in SECOND_PERSON
+            got = (best, hidden, you) if best or you else _PLAIN
             if len(self.memo) > 150_000:
                 self.memo.clear()
             if len(word) <= 64:
@@ -166,20 +200,19 @@ class Reader:
         words = raw.lower().split()
         memo = self.memo.get
         got = [memo(w) or self.weight(w) for w in words]
-        hits = [i for i, g in enumerate(got) if g[0]]
+        told = [i for i, g in enumerate(got) if g is not _PLAIN]
+        hits = [i for i in told if got[i][0]]
         strong = [i for i in hits if got[i][0] >= self.strong]
         hidden = sum(got[i][1] for i in hits)
-        you = np.array([i for i, w in enumerate(words) if w in SECOND_PERSON or w.strip(MARKS) in SECOND_PERSON] if strong else [], "i8")
-        near = sum(bool((np.abs(you - i) <= NEAR).any()) for i in strong) if len(you) else 0
+        you, at = np.array([i for i in told if got[i][2]], "i8"), np.array(hits, "i8")
+        near = int((np.searchsorted(you, at - NEAR) < np.searchsorted(you, at + NEAR, side="right")).sum())
         n, size = max(len(words), 1), max(len(raw), 1)
-        letters = sum(map(raw.count, (b"e", b"a", b"n", b"i"))) + 1
-        capitals = sum(map(raw.count, (b"E", b"A", b"N", b"I")))
-        marks = sum(map(raw.count, (b".", b",", b"!", b"?", b";")))
+        upper, lower, marks, signs = byte_classes(raw)
         return [
             len(strong) / n, np.log1p(len(strong)), np.log1p(len({words[i] for i in strong})), (len(hits) - len(strong)) / n,
             np.log1p(len(hits) - len(strong)), max([got[i][0] for i in hits], default=0.0), np.log1p(hidden), hidden / n,
-            near / n, len(you) / n, capitals / (letters + capitals), sum(w.isupper() for w in cased) / n, marks / n, raw.count(b"!") / n,
-            sum(map(raw.count, (b"*", b"@", b"$", b"#", b"0", b"1", b"3"))) / size, np.log1p(len(words)),
+            near / n, len(you) / n, upper / max(upper + lower, 1), sum(map(shouted, cased)) / n, marks / n, raw.count(b"!") / n,
+            signs / size, np.log1p(len(words)),
         ]
 
 

@@ -5,7 +5,7 @@ import pytest
 
 from quire.llm.batches import table, without_rows
 from quire.llm.site_bayes import Logistic, _strength, classify, url_site
-from quire.llm.toxicity_gbt import Reader, Trees, all_term_counts, isotonic, score_toxicity, undisguised
+from quire.llm.toxicity_gbt import FEATURES, Reader, Trees, all_term_counts, isotonic, score_toxicity, undisguised
 from tests.conftest import SF_MID
 
 
@@ -137,3 +137,16 @@ def test_term_counts_are_of_distinct_texts(spark, ids_a_pass):
     whole = {(t, y) for _, t, y in texts}
     for word in ("common", "bad", "good", "t0", "t5"):
         assert got[word.encode()] == tuple(sum(word in t.split() for t, y in whole if y == label) for label in (1, 0))
+
+
+def test_features_count_all_signs():
+    reader = Reader({b"idiot": 5.0, b"meh": 2.0}, 3.0)
+    f = lambda text: dict(zip(FEATURES, reader.features(text.encode())))
+    assert f("BRVWZ br")["capitals"] == 5 / 7 and f("ÄÖÜ ДУ ä")["capitals"] == 5 / 6
+    assert f("ДУРАК so")["shouted_words"] == 0.5
+    assert f("a (b) [c] \"d\" <e> f:g")["marks"] == 9 / 6
+    assert f("5h1t b7d8")["signs_in_words"] == 4 / 9 and f("f_u~c^k m%n&o")["signs_in_words"] == 5 / 13
+    assert f("i.d-i'o! Well. ")["signs_in_words"] == 3 / 15
+    assert f("nothing but you")["second_person"] == 1 / 3
+    weak = f("you meh a b c d e f g meh")
+    assert weak["second_person"] == weak["near_second_person"] == 0.1
