@@ -6,12 +6,12 @@ text and one end token, which also opens it and is a class of its own.
 1. *Counts.* One pass counts all training words (combined inside each task, then by a
    shuffled sum). The ``lexicon`` most frequent words are a bounded table every task
    holds; all others stay a distributed table and are joined by word when scoring.
-2. *Classes.* The ``singles`` most frequent words are exchanged one by one; any other
-   word goes with the words of its ending (``pools`` pools by a hash of the last three
-   bytes). Exchange clustering moves such a unit to the class that raises the
-   likelihood of the class bigrams most. Each round counts every unit's neighbours by
-   class from the unit bigram table (all training bigrams), rates all moves in parallel
-   against the class matrix, and moves half the units, chosen by hash, as in
+2. *Classes.* Words of the lexicon that occur at least ``least`` times are exchanged one
+   by one; only words too rare to move go with the words of their ending (``pools`` pools
+   by a hash of the last three bytes), and so do those beyond the lexicon. Exchange clustering moves such a unit to the class that raises the
+   likelihood of the class bigrams most. The unit bigram table (all training bigrams) is
+   turned into a list of neighbours per unit once; each round sums the lists by class,
+   rates all moves in parallel against the class matrix, and moves half the units, chosen by hash, as in
    distributed exchange (Uszkoreit and Brants, 2008); the best round is kept.
 3. *Probabilities.* Class transitions interpolate bigram and unigram class counts;
    emissions add one to each word and keep one share per class for unseen words, so
@@ -31,7 +31,6 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +44,8 @@ FOLDS, HELD_OUT = 7, 2
 @dataclass(frozen=True)
 class Settings:
     lexicon: int = 131_072  # words whose counts every task holds
-    singles: int = 2_048  # words exchanged one by one
+    singles: int = 131_072  # words exchanged one by one, of the lexicon
+    least: int = 4  # times such a word occurs
     pools: int = 512  # units for the endings of all other words
     classes: int = 64  # including the end token's
     rounds: int = 8
@@ -94,15 +94,16 @@ class Lexicon:
         self.number = {w: i for i, w in enumerate(words)}
         self.counts = np.array([*counts, ends], "f8")
         self.settings = settings
-        units = [i + 1 if i < settings.singles else self.pool(w) for i, w in enumerate(words)]
+        self.singles = sum(n >= settings.least for n in counts[: settings.singles])  # counts fall
+        units = [i + 1 if i < self.singles else self.pool(w) for i, w in enumerate(words)]
         self.units = np.array([*units, 0], "i4")
 
     def pool(self, word: bytes) -> int:
-        return 1 + self.settings.singles + crc32(word[-3:]) % self.settings.pools
+        return 1 + self.singles + crc32(word[-3:]) % self.settings.pools
 
     @property
     def n_units(self) -> int:
-        return 1 + self.settings.singles + self.settings.pools
+        return 1 + self.singles + self.settings.pools
 
     def read(self, raws: list[bytes]):
         """Numbers (-1: not in the table), units, text starts, and the other words, of the
@@ -123,21 +124,30 @@ class Lexicon:
         return num, units, np.array(starts, "i8"), rare
 
 
-def _unit_bigrams(train: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``u, v, n``: how often unit v follows unit u in the training texts."""
+def _unit_bigrams(train: DataFrame, lexicon: Lexicon, most: int = 4_000_000) -> DataFrame:
+    """``u, v, n``: how often unit v follows unit u in the training texts; summed in the
+    task over ``most`` words, then by a shuffle."""
     size = lexicon.n_units
 
+    def summed(keys):
+        k, n = np.unique(np.concatenate(keys), return_counts=True)
+        for i in range(0, len(k), 1 << 16):
+            at = k[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_pydict({"u": (at // size).astype("i4"), "v": (at % size).astype("i4"), "n": n[i : i + (1 << 16)]})
+
     def run(batches):
-        total = np.zeros(size * size, "i8")
+        keys, held = [], 0
         for big in batches:
             for b in pieces_of(big):
                 _, units, starts, _ = lexicon.read(raw_texts(b.column(1)))
                 before = np.concatenate(([0], units[:-1]))  # each text is closed by unit 0, which opens the next
-                total += np.bincount(before.astype("i8") * size + units, minlength=size * size)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 1 << 16):
-            k = at[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"u": (k // size).astype("i4"), "v": (k % size).astype("i4"), "n": total[k]})
+                keys.append(before.astype("i8") * size + units)
+                held += len(units)
+                if held > most:
+                    yield from summed(keys)
+                    keys, held = [], 0
+        if held:
+            yield from summed(keys)
 
     return train.mapInArrow(run, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
 
@@ -169,31 +179,63 @@ def gains(own: int, after: np.ndarray, before: np.ndarray, itself: float, matrix
     return total - total[own]
 
 
+def all_gains(own: np.ndarray, after: np.ndarray, before: np.ndarray, itself: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """``gains`` of many units, a row each; only classes beside a unit are added up."""
+    every = np.arange(len(own))
+
+    def beside(m, near, far):
+        """What adding ``near`` to each class's row of ``m`` changes, the unit taken out."""
+        u, j = np.nonzero(near)
+        add, left = near[u, j], m.T[j]
+        at = np.flatnonzero(own[u] == j)
+        left[at] -= far[u[at]]
+        left[np.arange(len(u)), own[u]] -= add
+        left[at, own[u[at]]] -= itself[u[at]]
+        out = np.zeros(near.shape)
+        if len(u):
+            starts = np.flatnonzero(np.append(True, u[1:] != u[:-1]))
+            out[u[starts]] = np.add.reduceat(_xlogx(left + add[:, None]) - _xlogx(left), starts)
+        return out
+
+    out, into = (after.sum(1) + itself)[:, None], (before.sum(1) + itself)[:, None]
+    rows, cols, d = (np.tile(x, (len(own), 1)) for x in (matrix.sum(1), matrix.sum(0), np.diagonal(matrix)))
+    rows[every, own] -= out[:, 0]
+    cols[every, own] -= into[:, 0]
+    d[every, own] -= after[every, own] + before[every, own] + itself
+    crossing = _xlogx(d + after + before + itself[:, None]) - _xlogx(d + after) - _xlogx(d + before) + _xlogx(d)
+    total = beside(matrix, after, before) + beside(matrix.T, before, after) + crossing
+    total -= _xlogx(rows + out) - _xlogx(rows) + _xlogx(cols + into) - _xlogx(cols)
+    return total - total[every, own][:, None]
+
+
 def _class_matrix(bigrams: DataFrame, classes: np.ndarray, n: int) -> np.ndarray:
-    spark = bigrams.sparkSession
-    of = spark.createDataFrame(pd.DataFrame({"unit": np.arange(len(classes), dtype="i4"), "c": classes.astype("i4")}))
-    rows = (
-        bigrams.join(F.broadcast(of.toDF("u", "cu")), "u").join(F.broadcast(of.toDF("v", "cv")), "v")
-        .groupBy("cu", "cv").agg(F.sum("n").alias("n")).collect()
-    )  # fmt: skip  n x n rows at most
-    out = np.zeros((n, n))
-    for r in rows:
-        out[r.cu, r.cv] = r.n
-    return out
-
-
-def exchange(bigrams: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    def run(batches):
+        total = np.zeros(n * n)
+        for b in batches:
+            u, v, k = (c.to_numpy() for c in b.columns)
+            total += np.bincount(classes[u].astype("i8") * n + classes[v], k, n * n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"at": at.astype("i4"), "n": total[at].astype("i8")})
+
+    out = np.zeros(n * n)
+    for r in bigrams.select("u", "v", "n").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # n x n rows at most
+        out[r.at] = r.n
+    return out.reshape(n, n)
+
+
+def exchange(bigrams: DataFrame, settings: Settings, units: int) -> tuple[np.ndarray, np.ndarray]:
     """Class of every unit (unit 0, the end token, keeps class 0 to itself) and the class
     bigram counts. Tables on the driver have a row per unit or class, both bounded."""
-    spark = bigrams.sparkSession
-    n, units = settings.classes, 1 + settings.singles + settings.pools
-    classes = 1 + np.arange(units) % (n - 1)
+    n = settings.classes
+    classes = (1 + np.arange(units) % (n - 1)).astype("i4")
     classes[0] = 0
     best, best_matrix, best_value = classes, None, -np.inf
-    both = bigrams.where("u <> v").select(F.col("u").alias("unit"), F.col("v").alias("other"), F.lit(0).alias("side"), "n").unionAll(
-        bigrams.where("u <> v").select(F.col("v").alias("unit"), F.col("u").alias("other"), F.lit(1).alias("side"), "n")
+    # Neighbour 2 x other + side: 0 it follows the unit, 1 it precedes it. A unit that
+    # follows itself stands once, as its own neighbour.
+    both = bigrams.select(F.col("u").alias("unit"), (F.col("v") * 2).alias("beside"), "n").unionAll(
+        bigrams.where("u <> v").select(F.col("v").alias("unit"), (F.col("u") * 2 + 1).alias("beside"), "n")
     )
-    loops = bigrams.where("u = v").select(F.col("u").alias("unit"), F.lit(-1).alias("c"), F.lit(2).alias("side"), "n")
+    lists = checkpointed(both.where("unit > 0").groupBy("unit").agg(F.collect_list(F.struct("beside", "n")).alias("around")), "unit-neighbours")
     for step in range(settings.rounds + 1):
         matrix = _class_matrix(bigrams, classes, n)
         value = likelihood(matrix)
@@ -201,26 +243,27 @@ def exchange(bigrams: DataFrame, settings: Settings) -> tuple[np.ndarray, np.nda
             best, best_matrix, best_value = classes, matrix, value
         if step == settings.rounds or not matrix.any():
             break
-        of = spark.createDataFrame(pd.DataFrame({"other": np.arange(units, dtype="i4"), "c": classes.astype("i4")}))
-        around = both.join(F.broadcast(of), "other").groupBy("unit", "c", "side").agg(F.sum("n").alias("n"))
-        lists = around.unionByName(loops).where("unit > 0").groupBy("unit").agg(F.collect_list(F.struct("side", "c", "n")).alias("around"))
         now = classes
 
-        def rate(frames, now=now, matrix=matrix):
-            for f in frames:
-                moved = []
-                for unit, around in zip(f["unit"], f["around"]):
-                    sides = np.zeros((3, n))
-                    for r in around:
-                        sides[r["side"], max(r["c"], 0)] += r["n"]
-                    g = gains(int(now[unit]), sides[0], sides[1], sides[2, 0], matrix)
-                    g[0] = -np.inf
-                    to = int(g.argmax())
-                    moved.append((int(unit), to if g[to] > 1e-9 else int(now[unit])))
-                yield pd.DataFrame(moved, columns=["unit", "c"]).astype({"unit": "int32", "c": "int32"})
+        def rate(batches, now=now, matrix=matrix):
+            for big in batches:
+                for b in pieces_of(big, 256):
+                    unit, around = b.column(0).to_numpy(), b.column(1)
+                    row = np.repeat(np.arange(len(unit)), np.diff(around.offsets.to_numpy()))
+                    flat = around.flatten()
+                    beside, k = flat.field("beside").to_numpy(), flat.field("n").to_numpy()
+                    other, side = beside >> 1, beside & 1
+                    loop = other == unit[row]
+                    sides = np.bincount((row * 2 + side) * n + now[other], k * ~loop, len(unit) * 2 * n).reshape(-1, 2, n)
+                    g = all_gains(now[unit], sides[:, 0], sides[:, 1], np.bincount(row, k * loop, len(unit)), matrix)
+                    g[:, 0] = -np.inf
+                    to = g.argmax(1).astype("i4")
+                    moved = g.max(1) > 1e-9
+                    yield pa.RecordBatch.from_pydict({"unit": unit[moved], "c": to[moved]})
 
         classes = classes.copy()
-        for r in lists.mapInPandas(rate, "unit int, c int").where(F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(2)) == 0).collect():
+        half = lists.where(F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(2)) == 0)
+        for r in half.mapInArrow(rate, "unit int, c int").collect():
             classes[r.unit] = r.c
         if (classes == now).all():
             break
@@ -240,15 +283,15 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lexicon = Lexicon([bytes(r.word) for r in top], [r.n for r in top], ends, settings)
 
     bigrams = checkpointed(_unit_bigrams(train, lexicon), "unit-bigrams")
-    classes, matrix = exchange(bigrams, settings)
+    classes, matrix = exchange(bigrams, settings, lexicon.n_units)
     n = settings.classes
     class_of_unit = classes.astype("i4")
 
-    # Words and tokens of each class; words beyond the singles go by their pool.
-    singles = {bytes(r.word): i + 1 for i, r in enumerate(top[: settings.singles])}
+    # Words and tokens of each class; words that aren't single go by their pool.
+    singles = {bytes(r.word): i + 1 for i, r in enumerate(top[: lexicon.singles])}
     spark = df.sparkSession
     single = spark.createDataFrame([(bytearray(w), int(class_of_unit[u])) for w, u in singles.items()], "word binary, single int")
-    pool_class = F.array(*[F.lit(int(c)) for c in class_of_unit[1 + settings.singles :]])
+    pool_class = F.array(*[F.lit(int(c)) for c in class_of_unit[1 + lexicon.singles :]])
     ending = F.expr("substring(word, greatest(length(word) - 2, 1), 3)")
     pool = F.element_at(pool_class, (F.crc32(ending) % settings.pools + 1).cast("int"))
     sizes = (

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm.bpe_transducer import Transducer, Utf8Stream, decode_documents, encode_documents, read_ranks
-from quire.llm.brown_classes import Settings, gains, likelihood, score_documents
+from quire.llm.brown_classes import Lexicon, Settings, all_gains, exchange, gains, likelihood, score_documents
 from quire.llm.cost_packing import pack_documents, pack_lengths
 from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings, occurrences, without_repeats
@@ -106,6 +106,31 @@ def test_exchange_gains_equal_the_change_of_the_likelihood():
             assert isclose(g[c], likelihood(matrix(moved)) - likelihood(matrix(classes)), abs_tol=1e-6)
 
 
+def test_gains_of_many_units_equal_those_of_each():
+    rng = np.random.default_rng(2)
+    units, n = 30, 5
+    big = rng.integers(0, 4, (units, units)) * (rng.random((units, units)) < 0.3).astype(float)
+    classes = np.append(0, 1 + np.arange(units - 1) % (n - 1))
+    big[7], big[:, 7] = 0, 0  # no neighbours
+    m = np.zeros((n, n))
+    np.add.at(m, (classes[:, None].repeat(units, 1), classes[None].repeat(units, 0)), big)
+    sides = [[np.bincount(np.delete(classes, u), np.delete(v, u), n) for v in (big[u], big[:, u])] for u in range(1, units)]
+    got = all_gains(classes[1:], np.array([a for a, _ in sides]), np.array([b for _, b in sides]), np.diagonal(big)[1:], m)
+    for u in range(1, units):
+        assert np.allclose(got[u - 1], gains(classes[u], *sides[u - 1], big[u, u], m), atol=1e-6)
+
+
+def test_words_beyond_the_most_frequent_are_exchanged(spark):
+    """Words of rank over 2,048 have units and get classes from their own contexts."""
+    lexicon = Lexicon([b"w%d" % i for i in range(6000)], [4] * 5000 + [3] * 1000, 9, Settings())
+    assert len(set(lexicon.units[:5000].tolist())) == 5000 and lexicon.units[:5000].max() == 5000 < lexicon.units[5000:6000].min()
+    rows = [(0, 1, 400), (0, 2, 400)] + [(1 + i % 2, 3 + i, 2) for i in range(3000)] + [(3 + i, 0, 1) for i in range(3000)]
+    bigrams = spark.createDataFrame(rows, "u int, v int, n long")
+    classes, _ = exchange(bigrams, Settings(classes=5, rounds=8), 3003)
+    even, odd = (Counter(classes[3 + k :: 2].tolist()) for k in (0, 1))
+    assert sum(min(even[c], odd[c]) for c in range(5)) < 300
+
+
 # ---------------------------------------------------------------- SimHash
 
 
