@@ -88,3 +88,18 @@ kept AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+def lines_sql(min_chars: int = 20, min_docs: int = 3) -> str:
+    blanks = " || ".join(f"chr({n})" for n in (9, 10, 11, 12, 13, 32))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT r, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d),
+k AS (SELECT *, translate(trim(line, {blanks}), '{UPPER}', '{LOWER}') AS key FROM x),
+f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {min_chars} GROUP BY key HAVING count(DISTINCT doc_id) >= {min_docs}),
+g AS (SELECT k.r, k.p, k.line, f.key IS NOT NULL AND k.doc_id <> f.keeper AS gone FROM k LEFT JOIN f ON f.key = k.key),
+s AS (
+  SELECT r, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
+  FROM g GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s USING (r)"""

@@ -13,7 +13,8 @@ from quire.llm.brown_classes import score_documents
 from quire.llm.bpe_transducer import encode_documents
 from quire.llm.cost_packing import pack_documents
 from quire.llm.license_diagonals import scan_licenses
-from quire.llm.oracles import licenses_sql, near_vectors_sql, substrings_sql, top_k_sql
+from quire.llm.line_runs import dedup_lines
+from quire.llm.oracles import licenses_sql, lines_sql, near_vectors_sql, substrings_sql, top_k_sql
 from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
 from quire.llm.simhash_pivots import near_duplicates
@@ -76,6 +77,10 @@ def op10_pq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3).drop("kept")
+
+
 QUERIES = {
     "op1_brown_classes": op1_brown_classes,
     "op2_bit_sliced": op2_bit_sliced,
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_cost_packing": op8_cost_packing,
     "op9_phrase_automata": op9_phrase_automata,
     "op10_pq_neardup": op10_pq_neardup,
+    "op11_line_runs": op11_line_runs,
 }
 
 SQL: dict[str, str] = {
@@ -94,4 +100,5 @@ SQL: dict[str, str] = {
     "op7_license_diagonals": licenses_sql(),
     "op9_phrase_automata": substrings_sql(),
     "op10_pq_neardup": near_vectors_sql(),
+    "op11_line_runs": lines_sql(),
 }
