@@ -16,6 +16,7 @@ from quire.llm.license_diagonals import scan_licenses
 from quire.llm.line_runs import dedup_lines
 from quire.llm.oracles import licenses_sql, lines_sql, near_vectors_sql, substrings_sql, top_k_sql
 from quire.llm.phrase_automata import dedup_substrings
+from quire.llm.polar_whitening import whiten
 from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
 from quire.llm.simhash_pivots import near_duplicates
 from quire.llm.site_bayes import classify
@@ -81,6 +82,10 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), min_chars=20, min_docs=3).drop("kept")
 
 
+def op12_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), scale=1024.0, offset=100_000, components=8)
+
+
 QUERIES = {
     "op1_brown_classes": op1_brown_classes,
     "op2_bit_sliced": op2_bit_sliced,
@@ -93,6 +98,7 @@ QUERIES = {
     "op9_phrase_automata": op9_phrase_automata,
     "op10_pq_neardup": op10_pq_neardup,
     "op11_line_runs": op11_line_runs,
+    "op12_polar_whitening": op12_polar_whitening,
 }
 
 SQL: dict[str, str] = {
