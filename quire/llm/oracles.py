@@ -103,3 +103,23 @@ s AS (
          coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
   FROM g GROUP BY r)
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN s USING (r)"""
+
+
+def negatives_sql(every: int = 100, keep: int = 5, least: int = 80, scale: int = 256) -> str:
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, len(embedding) AS dims,
+         list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, b.r AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND a.dims = b.dims WHERE a.vec_id % {every} = 0),
+p AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS k
+  FROM s WHERE same QUALIFY k <= {keep})
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.r, k ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.r = p.r AND NOT same AND {least} * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= {keep}"""

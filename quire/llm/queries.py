@@ -12,9 +12,10 @@ from quire.llm.bit_sliced import top_k
 from quire.llm.brown_classes import score_documents
 from quire.llm.bpe_transducer import encode_documents
 from quire.llm.cost_packing import pack_documents
+from quire.llm.l2_negatives import mine_negatives
 from quire.llm.license_diagonals import scan_licenses
 from quire.llm.line_runs import dedup_lines
-from quire.llm.oracles import licenses_sql, lines_sql, near_vectors_sql, substrings_sql, top_k_sql
+from quire.llm.oracles import licenses_sql, lines_sql, near_vectors_sql, negatives_sql, substrings_sql, top_k_sql
 from quire.llm.phrase_automata import dedup_substrings
 from quire.llm.polar_whitening import whiten
 from quire.llm.pq_neardup import near_duplicates as pq_near_duplicates
@@ -86,6 +87,12 @@ def op12_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), scale=1024.0, offset=100_000, components=8)
 
 
+def op13_l2_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(rows.withColumn("label", moved), scale=256.0, every=100, positives=5, negatives=5, least=80)
+
+
 QUERIES = {
     "op1_brown_classes": op1_brown_classes,
     "op2_bit_sliced": op2_bit_sliced,
@@ -99,6 +106,7 @@ QUERIES = {
     "op10_pq_neardup": op10_pq_neardup,
     "op11_line_runs": op11_line_runs,
     "op12_polar_whitening": op12_polar_whitening,
+    "op13_l2_negatives": op13_l2_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -107,4 +115,5 @@ SQL: dict[str, str] = {
     "op9_phrase_automata": substrings_sql(),
     "op10_pq_neardup": near_vectors_sql(),
     "op11_line_runs": lines_sql(),
+    "op13_l2_negatives": negatives_sql(),
 }
