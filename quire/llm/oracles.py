@@ -119,7 +119,7 @@ s AS (
 p AS (
   SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS k
   FROM s WHERE same QUALIFY k <= {keep})
-SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.r, k ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank,
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.r, k ORDER BY score DESC, vec_id, other) AS INTEGER) AS rank,
        vec_id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s ON s.r = p.r AND NOT same AND {least} * positive_score <= 100 * score AND score <= positive_score
 QUALIFY rank <= {keep}"""
