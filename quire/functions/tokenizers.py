@@ -7,7 +7,7 @@ packing) and an *encode* Column returning ``array<int>``.
   (``octet_length``), ids come from an Arrow UDF that works on the raw Arrow
   buffers (no per-row Python).
 * ``WhitespaceTokenizer``: pieces split on Python whitespace; count is pure Catalyst.
-* ``BPETokenizer`` (``quire.operators.vocab``): learned byte-level BPE.
+* ``BPETokenizer`` (``quire.operators.bpe_encode``): learned byte-level BPE.
 """
 
 from __future__ import annotations
@@ -180,4 +180,4 @@ def get_tokenizer(name_or_obj):
         return ByteTokenizer()
     if name_or_obj == "whitespace":
         return WhitespaceTokenizer()
-    raise ValueError(f"unknown tokenizer {name_or_obj!r}; load a BPE model with quire.operators.vocab")
+    raise ValueError(f"unknown tokenizer {name_or_obj!r}; load a BPE model with quire.operators.bpe_encode")

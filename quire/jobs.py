@@ -18,6 +18,7 @@ from quire.config import ChatConfig, DataMixConfig
 from quire.operators import chat as ch
 from quire.operators import mixture as mx
 from quire.operators import vocab as vb
+from quire.operators.bpe_train import train_bpe
 from quire.plans.materialize import checkpointed
 from quire.session import ensure_checkpoint_dir, ship_package
 from quire.sources import shards as sh
@@ -163,6 +164,6 @@ def train_vocab(
     docs = clean_corpus(scan_corpus(spark, config, id_field) if docs is None else docs)
     sample = vb.sample_documents(docs, spark, config, config.tokenizer_sample_documents, seed)
     words = checkpointed(vb.word_counts(sample, vb.pretokenize("text")), "vocab-words")
-    model = vb.train_bpe(spark, words, vocab_size, config.tokenizer_min_frequency, list(config.tokenizer_special_tokens))
+    model = train_bpe(spark, words, vocab_size, config.tokenizer_min_frequency, list(config.tokenizer_special_tokens))
     vb.save_tokenizer(model, out, asdict(config))
     return model

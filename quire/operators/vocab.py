@@ -1,26 +1,8 @@
-"""Vocabulary: document sampling, pre-tokenization, word counts, byte-level BPE.
-
-Training is a loop of Spark jobs over the *distinct-word* table (one shuffle reduces
-the corpus to it). Each round counts adjacent pairs and triples with ``groupBy`` and
-takes several merges at once — exactly the merges the one-at-a-time trainer would
-take next:
-
-1. rank pairs by (count desc, left id, right id);
-2. take the longest prefix in which no pair shares a symbol with an earlier taken
-   pair, a self-pair ``(a, a)`` only comes alone, and every count is strictly above
-   the largest triple count through any earlier taken pair (a merge can only create
-   pairs bounded by those triples, and pairs sharing no symbol keep their counts);
-3. rewrite every word with the taken merges (a Catalyst ``aggregate`` over the
-   symbol array) and checkpoint the word table.
-
-Ids: special tokens first, then the byte alphabet seen in the sample ordered by code
-point of its byte-level character, then merges. Ties between equal counts go to the
-smaller ``(left id, right id)``.
-"""
+"""Vocabulary: document sampling, pre-tokenization, word counts, the byte-level BPE model and
+its files. Training is in ``bpe_train``, encoding and decoding in ``bpe_encode``."""
 
 from __future__ import annotations
 
-import heapq
 import json
 import os
 from dataclasses import dataclass, field
@@ -28,17 +10,14 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.config import SPECIAL_TOKENS, shares
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.text import col_of
-from quire.plans.materialize import checkpointed
 from quire.plans.prefix import bucketed_rank
 
 # The GPT-2 byte-level pre-tokenization pattern.
 GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEY_SHIFT = 1 << 21  # pair key = left * 2^21 + right (ids stay below 2^21)
 
 
 @lru_cache(maxsize=1)
@@ -100,7 +79,7 @@ def word_counts(df: DataFrame, pieces: str | Column) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
-# ---------------------------------------------------------------- BPE training
+# ---------------------------------------------------------------- BPE model
 
 
 @dataclass
@@ -174,18 +153,6 @@ def save_tokenizer(model: BPEModel, folder: str, data_config: dict | None = None
             json.dump(value, f, ensure_ascii=False, indent=2)
 
 
-def load_tokenizer(folder: str) -> "BPETokenizer":
-    """A tokenizer from a folder written by ``save_tokenizer`` (or by the library)."""
-    with open(os.path.join(folder, "tokenizer.json"), encoding="utf-8") as f:
-        doc = json.load(f)
-    vocab = dict(doc["model"]["vocab"]) | {t["content"]: t["id"] for t in doc.get("added_tokens", [])}
-    merges = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in doc["model"]["merges"]]
-    specials = [t["content"] for t in doc.get("added_tokens", []) if t.get("special")]
-    model = BPEModel(sorted(vocab, key=vocab.get), merges, specials)
-    check_specials(model)
-    return BPETokenizer(model)
-
-
 def byte_words(wc: DataFrame) -> DataFrame:
     """``word, count`` → ``bytes array<int>`` (UTF-8 byte values) and ``count``."""
     from quire.functions.tokenizers import utf8_bytes
@@ -193,299 +160,8 @@ def byte_words(wc: DataFrame) -> DataFrame:
     return wc.select(utf8_bytes("word").alias("bytes"), F.col("count").cast("long").alias("count"))
 
 
-def _pairs(symbols: Column) -> Column:
-    n = F.size(symbols)
-    return F.when(n >= 2, F.arrays_zip(F.slice(symbols, 1, n - 1).alias("a"), F.slice(symbols, 2, n - 1).alias("b"))).otherwise(
-        F.array().cast("array<struct<a:int,b:int>>")
-    )
-
-
-def _triples(symbols: Column) -> Column:
-    n = F.size(symbols)
-    return F.when(
-        n >= 3,
-        F.arrays_zip(F.slice(symbols, 1, n - 2).alias("a"), F.slice(symbols, 2, n - 2).alias("b"), F.slice(symbols, 3, n - 2).alias("c")),
-    ).otherwise(F.array().cast("array<struct<a:int,b:int,c:int>>"))
-
-
-def apply_merges(symbols: Column, merge_map: dict[int, int]) -> Column:
-    """Rewrite a symbol array left to right with symbol-disjoint merges
-    ``{left * 2^21 + right: new_id}``."""
-    if not merge_map:
-        return symbols
-    m = F.create_map(*[x for k, v in merge_map.items() for x in (F.lit(k).cast("long"), F.lit(v).cast("int"))])
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(-1).alias("prev"))
-
-    def step(acc, x):
-        key = acc["prev"].cast("long") * F.lit(KEY_SHIFT) + x.cast("long")
-        hit = m[key]
-        return (
-            F.when(acc["prev"] < 0, F.struct(acc["out"].alias("out"), x.alias("prev")))
-            .when(hit.isNotNull(), F.struct(F.concat(acc["out"], F.array(hit)).alias("out"), F.lit(-1).alias("prev")))
-            .otherwise(F.struct(F.concat(acc["out"], F.array(acc["prev"])).alias("out"), x.alias("prev")))
-        )
-
-    def finish(acc):
-        return F.when(acc["prev"] >= 0, F.concat(acc["out"], F.array(acc["prev"]))).otherwise(acc["out"])
-
-    return F.aggregate(symbols, init, step, finish)
-
-
-def _select_round(cands: list, bounds: dict, room: int, min_count: int) -> list:
-    """Longest exact prefix of ranked candidates (see module docstring)."""
-    taken, used, bound = [], set(), 0
-    for a, b, c in cands:
-        if len(taken) >= room or c < min_count:
-            break
-        if a == b and taken:
-            break
-        if a in used or b in used:
-            break
-        if taken and c <= bound:
-            break
-        taken.append((a, b, c))
-        used.update((a, b))
-        bound = max(bound, bounds.get((a, b), 0))
-        if a == b:
-            break
-    return taken
-
-
-def train_bpe(
-    spark: SparkSession,
-    words: DataFrame,
-    vocab_size: int,
-    min_frequency: int = 2,
-    specials: list[str] | None = None,
-    candidates: int = 4096,
-    full_alphabet: bool = False,
-    checkpoint_every: int = 10,
-) -> BPEModel:
-    """``words(word, count)`` (byte-level pieces) → trained model.
-
-    Runs a few Spark jobs per round; the driver only sees the top ``candidates`` pairs
-    of a round (later ones simply wait for the next round) and the vocabulary, which
-    is bounded by ``vocab_size``."""
-    specials = list(SPECIAL_TOKENS if specials is None else specials)
-    b2u = byte_to_unicode()
-    bw = byte_words(words).where(F.size("bytes") > 0)
-    if full_alphabet:
-        present = list(range(256))
-    else:
-        present = sorted(r.b for r in bw.select(F.explode("bytes").alias("b")).distinct().collect())  # at most 256
-    alphabet = sorted(present, key=lambda b: ord(b2u[b]))
-    vocab = specials + [b2u[b] for b in alphabet]
-    index = {t: i for i, t in enumerate(vocab)}
-    byte_id = {b: index[b2u[b]] for b in alphabet}
-    lookup = F.create_map(*[x for b, i in byte_id.items() for x in (F.lit(b), F.lit(i))])
-    cur = checkpointed(bw.select(F.transform("bytes", lambda b: lookup[b]).alias("sym"), "count"), "bpe-words")
-    merges: list[tuple[str, str]] = []
-    rounds = 0
-    prev = None
-    min_count = max(1, min_frequency)
-    while len(vocab) < vocab_size:
-        rounds += 1
-        pairs = cur.select(F.explode(_pairs(F.col("sym"))).alias("p"), "count").groupBy(
-            F.col("p.a").alias("a"), F.col("p.b").alias("b")
-        ).agg(F.sum("count").alias("n"))
-        top = pairs.orderBy(F.desc("n"), "a", "b").limit(candidates)
-        tri = cur.select(F.explode(_triples(F.col("sym"))).alias("t"), "count").groupBy(
-            F.col("t.a").alias("a"), F.col("t.b").alias("b"), F.col("t.c").alias("c3")
-        ).agg(F.sum("count").alias("t"))
-        left = tri.groupBy("a", "b").agg(F.max("t").alias("bl"))
-        right = tri.groupBy(F.col("b").alias("a"), F.col("c3").alias("b")).agg(F.max("t").alias("br"))
-        # ``top`` is bounded by ``candidates`` rows, so the bound joins stay small.
-        with_b = top.join(left, ["a", "b"], "left").join(right, ["a", "b"], "left")
-        rows = with_b.select("a", "b", "n", F.greatest(F.coalesce("bl", F.lit(0)), F.coalesce("br", F.lit(0))).alias("bound")).collect()
-        rows.sort(key=lambda r: (-r.n, r.a, r.b))
-        if not rows or rows[0].n < min_count:
-            break
-        bounds = {(r.a, r.b): r.bound for r in rows}
-        top_rows = rows
-        taken = _select_round([(r.a, r.b, r.n) for r in top_rows], bounds, vocab_size - len(vocab), min_count)
-        if not taken:
-            break
-        mm = {}
-        for a, b, _ in taken:
-            tok = vocab[a] + vocab[b]
-            existed = tok in index
-            if not existed:
-                index[tok] = len(vocab)
-                vocab.append(tok)
-            merges.append((vocab[a], vocab[b]))
-            mm[a * KEY_SHIFT + b] = index[tok]
-            if existed:
-                # The merge feeds an existing symbol, whose pair counts then change:
-                # end the round here to stay exact.
-                break
-        # The next word table is cached (materialized by the next round's first job);
-        # every ``checkpoint_every`` rounds it is checkpointed into the shared folder so
-        # a lost executor never replays more than that many rounds.
-        if prev is not None:
-            prev.unpersist()
-        nxt = cur.select(apply_merges(F.col("sym"), mm).alias("sym"), "count")
-        nxt = nxt.checkpoint() if rounds % checkpoint_every == 0 else nxt.persist()
-        prev, cur = cur, nxt
-    for table in (prev, cur):
-        if table is not None:
-            table.unpersist()
-    model = BPEModel(vocab, merges, specials)
-    model.rounds = rounds  # type: ignore[attr-defined]
-    return model
-
-
 def model_tables(spark: SparkSession, model: BPEModel) -> tuple[DataFrame, DataFrame]:
     """``vocab(id, token)`` and ``merges(rank, left, right)`` (bounded by vocab size)."""
     vocab = spark.createDataFrame(list(enumerate(model.vocab)), "id int, token string")
     merges = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(model.merges)], "rank int, left string, right string")
     return vocab, merges
-
-
-# ---------------------------------------------------------------- BPE encode / decode
-
-
-class _Codec:
-    """Per-worker encoder (built once per model per Python worker)."""
-
-    def __init__(self, model_json: str, kept: int = 200_000):
-        import regex
-
-        m = BPEModel.from_json(model_json)
-        self.ids = m.token_to_id
-        self.ranks = {pair: i for i, pair in enumerate(m.merges)}
-        self.specials = [s for s in m.specials if s in self.ids]
-        self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in self.specials) + ")") if self.specials else None
-        self.pre = regex.compile(GPT2_PATTERN)
-        self.b2u = byte_to_unicode()
-        self.u2b = {c: b for b, c in enumerate(self.b2u)}
-        self.unk = self.ids.get("<unk>")
-        self.vocab = m.vocab
-        self.as_symbols = dict(enumerate(self.b2u))
-        self.kept = kept
-        self.cache: dict[str, list[int]] = {}
-
-    def _bpe(self, word: str) -> list[int]:
-        """Merge the pair of lowest rank until none is left, with a heap over a linked list
-        of symbols, so that a long piece costs n log n steps."""
-        hit = self.cache.get(word)
-        if hit is not None:
-            return hit
-        parts: list[str | None] = list(word)
-        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        rank = self.ranks.get
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] != a or j >= len(parts) or parts[j] != b:
-                continue  # one of the two was merged meanwhile
-            parts[i], parts[j] = a + b, None
-            after[i] = after[j]
-            if after[i] < len(parts):
-                before[after[i]] = i
-            for x in (before[i], i):
-                y = after[x] if x >= 0 else len(parts)
-                if x >= 0 and y < len(parts) and (r := rank((parts[x], parts[y]))) is not None:
-                    heapq.heappush(heap, (r, x, parts[x], parts[y]))
-        ids = [self.ids.get(p, self.unk) for p in parts if p is not None]
-        if len(word) <= 64:
-            if len(self.cache) >= self.kept:
-                self.cache.clear()
-            self.cache[word] = ids
-        return ids
-
-    def encode(self, text: str, template: bool, escape: bool = False) -> list[int]:
-        """With ``escape``, special tokens typed in the text are ordinary text."""
-        out: list[int] = []
-        segments = self.split_special.split(text) if self.split_special and not escape else [text]
-        for seg in segments:
-            if not seg:
-                continue
-            if not escape and seg in self.specials:
-                out.append(self.ids[seg])
-                continue
-            for piece in self.pre.findall(seg):
-                out.extend(self._bpe(piece.encode("utf-8").decode("latin-1").translate(self.as_symbols)))
-        if template:
-            out = [self.ids["<bos>"]] + out + [self.ids["<eos>"]]
-        return out
-
-    def decode(self, ids: list[int], skip_special: bool) -> str:
-        data = bytearray()
-        for i in ids:
-            tok = self.vocab[i] if 0 <= i < len(self.vocab) else None
-            if tok is None:
-                continue
-            if tok in self.specials:
-                if not skip_special:
-                    data.extend(tok.encode("utf-8"))
-                continue
-            data.extend(self.u2b[c] for c in tok)
-        return data.decode("utf-8", errors="replace")
-
-
-_CODECS: dict[str, _Codec] = {}
-
-
-def _codec(model_json: str) -> _Codec:
-    """The worker's encoder of a model; the last two models are kept."""
-    c = _CODECS.get(model_json)
-    if c is None:
-        while len(_CODECS) > 1:
-            _CODECS.pop(next(iter(_CODECS)))
-        c = _CODECS[model_json] = _Codec(model_json)
-    return c
-
-
-class BPETokenizer:
-    """Learned byte-level BPE as a ``quire`` tokenizer (Arrow-batched pandas UDFs)."""
-
-    name = "bpe"
-
-    def __init__(self, model: BPEModel, escape_specials: bool = False):
-        self.model, self.escape = model, escape_specials
-        self.model_json = model.to_json()
-        self.vocab_size = len(model.vocab)
-
-    def _udf(self, template: bool):
-        mj, escape = self.model_json, self.escape
-
-        @F.pandas_udf(T.ArrayType(T.IntegerType()))
-        def enc(texts):
-            c = _codec(mj)
-            return texts.map(lambda t: None if t is None else c.encode(t, template, escape))
-
-        return enc
-
-    def encode(self, text: str | Column, template: bool = True) -> Column:
-        return self._udf(template)(col_of(text))
-
-    def encode_many(self, texts: str | Column) -> Column:
-        """``array<string>`` → ``array<array<int>>`` (no template), for chat pieces."""
-        mj, escape = self.model_json, self.escape
-
-        @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-        def enc(lists):
-            c = _codec(mj)
-            return lists.map(lambda v: None if v is None else [c.encode(t, False, escape) for t in v])
-
-        return enc(col_of(texts))
-
-    def typed_specials(self, text: str | Column) -> Column:
-        """How many special tokens are typed in a text."""
-        t = col_of(text)
-        return sum((F.regexp_count(t, F.lit("\\Q" + s + "\\E")) for s in self.model.specials), F.lit(0)).cast("long")
-
-    def count(self, text: str | Column, template: bool = True) -> Column:
-        return F.size(self.encode(text, template)).cast("long")
-
-    def decode(self, ids: str | Column, skip_special: bool = True) -> Column:
-        mj = self.model_json
-
-        @F.pandas_udf(T.StringType())
-        def dec(col):
-            c = _codec(mj)
-            return col.map(lambda v: None if v is None else c.decode(list(v), skip_special))
-
-        return dec(col_of(ids))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire import jobs
 from quire.config import ChatConfig, ChatSourceConfig, DataMixConfig, SourceConfig
 from quire.functions.tokenizers import ByteTokenizer
+from quire.operators import bpe_encode as be
 from quire.operators import vocab as vb
 
 
@@ -71,7 +72,7 @@ def test_train_vocab_files_load_in_the_library(spark, tmp_path):
     jobs.train_vocab(spark, config, out, 90, id_field="id")
     meta = json.load(open(f"{out}/tokenizer_meta.json"))
     assert meta["special_tokens"]["eos_token_id"] == 2 and meta["vocab_size"] <= 90
-    lib, ours = Tokenizer.from_file(f"{out}/tokenizer.json"), vb.load_tokenizer(out)
+    lib, ours = Tokenizer.from_file(f"{out}/tokenizer.json"), be.load_tokenizer(out)
     texts = ["abcde fabc  deaf", "", "bad <eos> cafe", "é\n\nfeed " + "abc" * 400]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(ours.encode("t").alias("ids"))
     assert [r.ids for r in df.collect()] == [lib.encode(t).ids for t in texts]
@@ -86,7 +87,7 @@ def test_missing_special_tokens_are_an_error(spark, tmp_path):
 def test_typed_specials_are_counted_and_can_be_escaped(spark):
     alphabet = sorted({vb.byte_to_unicode()[b] for b in range(256)}, key=ord)
     model = vb.BPEModel(["<pad>", "<bos>", "<eos>", "<unk>", *alphabet], [])
-    plain, escaped = vb.BPETokenizer(model), vb.BPETokenizer(model, escape_specials=True)
+    plain, escaped = be.BPETokenizer(model), be.BPETokenizer(model, escape_specials=True)
     df = spark.createDataFrame([("x<eos>y<eos>",), ("none",)], "t string")
     r = df.select(plain.encode("t", False).alias("a"), escaped.encode("t", False).alias("b"), plain.typed_specials("t").alias("n")).collect()
     assert r[0].n == 2 and r[1].n == 0 and r[0].a.count(2) == 2 and 2 not in r[0].b and len(r[0].b) == 12

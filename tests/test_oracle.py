@@ -45,7 +45,7 @@ def _same(a, b):
 
 def test_every_query_has_sql_or_is_rows_only():
     rows_only = set(QS) - set(SQL)
-    assert rows_only == {"pretokenize", "train_bpe"}
+    assert rows_only == {"encode_bpe", "train_bpe"}
     assert set(SQL) <= set(QS)
 
 

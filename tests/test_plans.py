@@ -6,7 +6,7 @@ from quire.workloads import registry
 from tests.conftest import SF_SMALL
 
 QS = registry.queries()
-HEAVY = {"train_bpe"}
+HEAVY = {"train_bpe", "encode_bpe"}
 
 
 def _plan(df):

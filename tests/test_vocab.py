@@ -1,11 +1,14 @@
 """Golden tests: BPE training and encoding against the tokenizers library."""
 
 import json
+import random
 
 import pytest
 
 from quire.functions.tokenizers import ByteTokenizer
+from quire.operators import bpe_encode as be
 from quire.operators import vocab as vb
+from quire.operators.bpe_train import train_bpe
 
 TEXTS = [
     "The cat sat on the mat. The cat ate the rat!",
@@ -16,14 +19,15 @@ TEXTS = [
 ] * 3
 
 
-def _library(vocab):
+def _library(vocab, texts=None):
     tokenizers = pytest.importorskip("tokenizers")
-    from tokenizers import Tokenizer, models, pre_tokenizers, processors, trainers
+    from tokenizers import Tokenizer, decoders, models, pre_tokenizers, processors, trainers
 
     tok = Tokenizer(models.BPE(unk_token="<unk>"))
     tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.decoder = decoders.ByteLevel()
     tr = trainers.BpeTrainer(vocab_size=vocab, min_frequency=2, special_tokens=["<pad>", "<bos>", "<eos>", "<unk>"], show_progress=False)
-    tok.train_from_iterator(TEXTS, trainer=tr)
+    tok.train_from_iterator(TEXTS if texts is None else texts, trainer=tr)
     tok.post_processor = processors.TemplateProcessing(single="<bos> $A <eos>", special_tokens=[("<bos>", 1), ("<eos>", 2)])
     return tok
 
@@ -33,13 +37,13 @@ def test_bpe_training_and_encoding_match_library(spark):
     lib = _library(V)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "id int, text string")
     words = vb.word_counts(df.select(vb.pretokenize("text").alias("p")), "p")
-    model = vb.train_bpe(spark, words, V, 2)
+    model = train_bpe(spark, words, V, 2)
     m = json.loads(lib.to_str())["model"]
     lib_merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in m["merges"]]
     assert model.merges == lib_merges
     assert model.vocab == [t for t, _ in sorted(m["vocab"].items(), key=lambda kv: kv[1])]
 
-    bt = vb.BPETokenizer(model)
+    bt = be.BPETokenizer(model)
     probe = TEXTS[:5] + ["hello <eos> world", "unseen ÿ bytes \x00"]
     got = spark.createDataFrame([(t,) for t in probe], "t string").select(bt.encode("t").alias("ids"), "t").collect()
     for r in got:
@@ -48,6 +52,56 @@ def test_bpe_training_and_encoding_match_library(spark):
     assert back == TEXTS[1]
 
 
+@pytest.mark.parametrize("vocab, hot, chains", [(500, 64, 300), (2500, 1024, 10_000)])
+def test_training_on_the_documents_equals_the_library(spark, vocab, hot, chains):
+    """Many small rounds, and the production vocabulary's way with fewer ids."""
+    from quire.workloads.vocab import cleaned
+    from tests.conftest import SF_MID, SF_SMALL
+
+    docs = cleaned(spark, SF_SMALL if vocab == 500 else SF_MID)
+    lib = _library(vocab, [r.text for r in docs.select("text").collect()])
+    m = json.loads(lib.to_str())["model"]
+    model = train_bpe(spark, vb.word_counts(docs.select(vb.pretokenize("text").alias("p")), "p"), vocab, 2, hot=hot, chains=chains)
+    assert model.merges == [tuple(x) for x in m["merges"]]
+    assert model.vocab == [t for t, _ in sorted(m["vocab"].items(), key=lambda kv: kv[1])]
+    assert len(model.vocab) == vocab and model.rounds > 3
+    assert model.touched[-1] < model.touched[0] / 2  # work falls with the words touched
+    if vocab == 2500:
+        coded = be.encode_documents(docs, be.BPETokenizer(model), frequent=500)
+        for r in coded.orderBy("doc_id").collect():
+            assert list(r.ids) == lib.encode(r.text).ids
+
+
+def test_repeated_symbols_and_one_link_a_round(spark):
+    """Runs of one symbol, tokens that come about twice, rounds of one pair or chain."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aab") for _ in range(rng.randint(1, 14))) for _ in range(150)] + ["a" * 40]
+    lib = [tuple(x) for x in json.loads(_library(90, texts).to_str())["model"]["merges"]]
+    words = spark.createDataFrame([(w, 1) for t in texts for w in [t]], "word string, count long").groupBy("word").agg({"count": "sum"}).toDF("word", "count")
+    for size, hot, chains in ((9, 1, 1), (14, 3, 2), (90, 500, 10_000)):
+        model = train_bpe(spark, words, size, 2, hot=hot, chains=chains)
+        assert model.merges == (lib if size == 90 else lib[: size - 6])
+
+
+def test_encoding_through_a_dictionary(spark):
+    lib = _library(200)
+    model = train_bpe(spark, vb.word_counts(spark.createDataFrame([(t,) for t in TEXTS], "t string").select(vb.pretokenize("t").alias("p")), "p"), 200, 2)
+    texts = TEXTS[:5] + ["x  <eos>  y<eos><bos> z", "!!<eos>", " <eos> ", "<eo<eos>s>", "'s<eos>'s 9<unk>9", "", None, "the " * 3000, "a" * 3000, "\x00 new \u3000 blank\u2028s  "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, texts[3])], "doc_id long, text string").repartition(4)
+    tok = be.BPETokenizer(model)
+    for frequent in (0, 10, 10_000):
+        got = be.encode_documents(df, tok, frequent=frequent).collect()
+        assert len(got) == len(texts) + 1
+        for r in got:
+            assert r.ids is None if r.text is None else list(r.ids) == lib.encode(r.text).ids
+    back = df.select("text", tok.encode("text").alias("ids")).select("text", "ids", tok.decode("ids").alias("d"), tok.decode("ids", False).alias("all"))
+    for r in back.collect():
+        want = None if r.text is None else lib.encode(r.text).ids
+        assert r.ids == want
+        assert r.d == (None if want is None else lib.decode(want)) and r.all == (None if want is None else lib.decode(want, skip_special_tokens=False))
+    assert be.encode_documents(df.where("doc_id < 0"), tok).count() == 0
+
+
 def test_pretokenize_is_lossless_and_matches_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     from tokenizers import pre_tokenizers
