@@ -4,10 +4,11 @@
   landing first; the tokenized rows go to a parquet sink (exactly-once with the
   checkpoint). Mixing stays a batch job over the landed table, because the stream
   order depends on totals.
-* ``stream_metrics``: follow metric logs as new files appear (Spark's file source does
-  not re-read a grown file, so writers roll files).
+* ``stream_metrics``: follow metric logs, as files that grow in place
+  (``sources.growing``) or as new files that appear.
 * ``stream_run_latest``: latest step, loss and status per run, as a streaming
-  aggregation whose small per-run result is rewritten every micro-batch.
+  aggregation in update mode: a micro-batch writes only the runs it touched, as a version
+  of the table that a repeated batch replaces.
 
 Every query keeps its checkpoint in the session's shared checkpoint folder, so a
 restart resumes where it stopped without duplicates.
@@ -78,13 +79,24 @@ def run_latest(log: DataFrame) -> DataFrame:
 
 
 def stream_run_latest(log_stream: DataFrame, out_path: str, checkpoint: str, trigger_available_now: bool = True) -> StreamingQuery:
-    """Streaming ``run_latest``; each micro-batch rewrites the (small, one row per run)
-    result table at ``out_path``."""
-    agg = run_latest(log_stream)
+    """Streaming ``run_latest``. The runs' state is kept by key; a micro-batch hands on only the
+    runs it touched, which are written as the version ``batch_id`` of the table at
+    ``out_path``. A batch that runs again replaces its own version."""
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
-    w = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
+    w = run_latest(log_stream).writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+LATEST = "batch_id long, run_id string, last_step long, last_loss double, last_val_loss double, finished int, events long"
+
+
+def read_run_latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """The present row of every run: its highest version."""
+    versions = spark.read.schema(LATEST).parquet(out_path)
+    columns = [c for c in versions.columns if c not in ("run_id", "batch_id")]
+    last = versions.groupBy("run_id").agg(F.max_by(F.struct(*columns), "batch_id").alias("r"))
+    return last.select("run_id", *[F.col(f"r.{c}").alias(c) for c in columns])
