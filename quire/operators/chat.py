@@ -47,6 +47,25 @@ def normalize_messages(messages: str | Column, parts: bool = False) -> Column:
     return F.transform(kept, lambda m: _message(m["role"], py_strip(m["content"]))).cast(MESSAGE_TYPE)
 
 
+def normalize_mixed_messages(messages: str | Column) -> Column:
+    """Messages as a variant whose contents may be a string or a list of ``{text}`` parts, in one
+    column and even in one dialog. Each message is dispatched by what it holds: only objects
+    with a string role and a string or a list as content count, only objects among the parts,
+    and only strings as their texts. Null where the value isn't a list."""
+    of = col_of(messages)
+    is_a = lambda v, kind: F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
+    items = lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
+    text = lambda v: F.when(is_a(v, "STRING"), F.try_variant_get(v, "$", "string"))
+
+    def content(m):
+        c = F.try_variant_get(m, "$.content", "variant")
+        parts = F.transform(items(c), lambda p: F.struct(text(F.try_variant_get(p, "$.text", "variant")).alias("text")))
+        return F.when(is_a(c, "ARRAY"), flatten_content_parts(parts)).otherwise(text(c))
+
+    read = F.transform(items(of), lambda m: _message(text(F.try_variant_get(m, "$.role", "variant")), content(m)))
+    return F.when(is_a(of, "ARRAY"), normalize_messages(read))
+
+
 def normalize_prompt_response(prompt: str | Column, response: str | Column, system_prompt: str | None = None) -> Column:
     """Optional system prompt, then user prompt, then assistant response (all stripped)."""
     msgs = []

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.plans.asof import epoch_micros, last_before, last_before_many, time_bucket
+from quire.plans.materialize import checkpointed
 
 BUCKET_SECONDS = 6 * 3600  # as-of buckets: 6 hours of log time
 
@@ -102,6 +103,38 @@ def resume_lineage(log: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> Data
     )
 
 
+def resume_ancestry(log: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The whole ancestry of every resume: ``run_id, step, ts, root_run, depth``.
+
+    The state a run resumed was written by its parent, which may itself have resumed before
+    it wrote; ``depth`` is the number of checkpoints passed from state to state back to
+    ``root_run``, the run that began without one (0 and the run itself where nobody wrote the
+    path). A parent's resume lies before its write and so before the child's resume: the
+    edges have no cycles. Pointer jumping doubles the reach of every edge, so there are as
+    many rounds as the logarithm of the deepest chain."""
+    found = resume_lineage(log, bucket_seconds).withColumn("id", F.struct("ts", "run_id", "step", "path"))
+    writes = select_events(log, "checkpoint").select(F.col("run_id").alias("parent_run"), F.col("step").alias("parent_step"), F.col("ts").alias("written"))
+    states = found.join(writes.dropDuplicates(["parent_run", "parent_step"]), ["parent_run", "parent_step"], "left")
+    # The parent's last resume before its write.
+    asks = states.where(F.col("written").isNotNull()).select(
+        F.col("parent_run").alias("run"), F.col("written").alias("at"), F.lit(0).alias("__kind"), "id", F.lit(None).cast(found.schema["id"].dataType).alias("__e")
+    )
+    gives = found.select(F.col("run_id").alias("run"), F.col("ts").alias("at"), F.lit(1).alias("__kind"), "id", F.col("id").alias("__e"))
+    both = asks.unionByName(gives).withColumn("__b", time_bucket("at", bucket_seconds))
+    edges = last_before(both, ["run"], "__b", ["at", "__kind", "id"], "__e", "next").where(F.col("__kind") == 0).select("id", "next")
+    reach = states.join(edges, "id", "left").select(
+        "id", "next", F.coalesce("parent_run", "run_id").alias("root"), F.col("parent_run").isNotNull().cast("long").alias("depth")
+    )
+    reach = checkpointed(reach, "ancestry")
+    while not reach.where(F.col("next").isNotNull()).isEmpty():
+        far = reach.select(F.col("id").alias("next"), F.col("next").alias("__next"), F.col("root").alias("__root"), F.col("depth").alias("__depth"))
+        reach = reach.join(far, "next", "left").select(
+            "id", F.col("__next").alias("next"), F.coalesce("__root", "root").alias("root"), (F.col("depth") + F.coalesce("__depth", F.lit(0))).alias("depth")
+        )
+        reach = checkpointed(reach, "ancestry")
+    return reach.select("id.run_id", "id.step", "id.ts", "id.path", F.col("root").alias("root_run"), "depth")
+
+
 def interval_loss(log: DataFrame, interval: int) -> DataFrame:
     """Mean logged loss over each block of ``interval`` steps."""
     tr = select_events(log, "train")
@@ -138,16 +171,17 @@ def speed_regression(tput: DataFrame, log: DataFrame, threshold: float = 0.9) ->
     runs; a run is flagged when its median speed is below ``threshold`` x that."""
     from quire.plans.quantile import exact_quantile
 
-    speed = exact_quantile(tput, ["run_id"], "tok_per_sec", 0.5, "median_tok_per_sec", tiebreak="step")
+    speed = exact_quantile(tput, ["run_id"], "tok_per_sec", 0.5, "median_tok_per_sec")
     mem = select_events(log, "train").groupBy("run_id").agg(F.max("max_reserved_gb").alias("peak_reserved_gb"))
-    per_run = speed.join(mem, "run_id", "full")
-    everyone = Window.partitionBy()  # one row per run
-    ref = F.percentile("median_tok_per_sec", 0.5).over(everyone)
-    ref_mem = F.percentile("peak_reserved_gb", 0.5).over(everyone)
-    return per_run.select(
+    # One key for all runs, which no rule folds away: the medians over runs are found by ranks
+    # like any others, and come back by an equi-join with one row.
+    per_run = checkpointed(speed.join(mem, "run_id", "full"), "run-speeds").withColumn("__all", F.pmod(F.xxhash64("run_id"), F.lit(1)))
+    ref = exact_quantile(per_run, ["__all"], "median_tok_per_sec", 0.5, "__speed")
+    ref_mem = exact_quantile(per_run, ["__all"], "peak_reserved_gb", 0.5, "__memory")
+    return per_run.join(F.broadcast(ref), "__all", "left").join(F.broadcast(ref_mem), "__all", "left").select(
         "run_id", "median_tok_per_sec", "peak_reserved_gb",
-        (F.col("median_tok_per_sec") / ref).alias("speed_ratio"),
-        (F.col("peak_reserved_gb") / ref_mem).alias("memory_ratio"),
+        (F.col("median_tok_per_sec") / F.col("__speed")).alias("speed_ratio"),
+        (F.col("peak_reserved_gb") / F.col("__memory")).alias("memory_ratio"),
     ).withColumn("slow", F.col("speed_ratio") < F.lit(threshold))
 
 
@@ -183,6 +217,29 @@ def instability_flags(log: DataFrame, jump: float = 3.0, bucket_seconds: int = B
     )
 
 
+def loss_trend(log: DataFrame, steps: int = 1000, least: int = 3) -> DataFrame:
+    """Per train row with a finite loss: the regression of loss on step over the run's rows of
+    the last ``steps`` steps; ``not_falling`` when its slope isn't below zero (null with fewer
+    than ``least`` rows).
+
+    A run's rows are cut in buckets of ``steps`` steps, and each bucket gets a copy of the one
+    before as a halo, so a frame never leaves its bucket and a long run is many tasks' work.
+    Losses are taken in units of 2**-20, so sums are whole and the sign is exact."""
+    tr = select_events(log, "train").where(~_bad(F.col("loss")) & F.col("step").isNotNull())
+    y = F.round(F.col("loss") * F.lit(float(1 << 20))).cast("long")
+    bucket = F.floor(F.col("step") / F.lit(steps)).cast("long")
+    copies = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(False).alias("halo")), F.struct((bucket + 1).alias("bucket"), F.lit(True).alias("halo"))))
+    rows = tr.select("run_id", "step", y.alias("y"), copies.alias("c")).select("run_id", "step", "y", "c.bucket", "c.halo")
+    frame = Window.partitionBy("run_id", "bucket").orderBy("step").rangeBetween(-(steps - 1), 0)
+    x = F.col("step") - F.col("bucket") * F.lit(steps)
+    total = lambda v: F.sum(v.cast("decimal(20,0)")).over(frame)
+    n = F.count(F.lit(1)).over(frame)
+    sums = rows.select("run_id", "step", "halo", n.alias("rows"), total(x).alias("sx"), total(F.col("y")).alias("sy"), total(x * F.col("y")).alias("sxy"))
+    rising = F.col("rows") * F.col("sxy") >= F.col("sx") * F.col("sy")
+    kept = sums.where(~F.col("halo"))
+    return kept.select("run_id", "step", "rows", F.when(F.col("rows") >= least, rising).alias("not_falling"))
+
+
 def cosine_lr(step: Column, warmup: int, max_steps: int, max_lr: float, min_lr: float) -> Column:
     """Warmup then cosine decay (``step`` is 0-based)."""
     s = step.cast("double")

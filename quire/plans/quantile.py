@@ -23,17 +23,20 @@ def value_bucket(value: str, resolution: int = 64):
     return F.when(v > 0, F.floor(F.log2(v) * F.lit(resolution))).otherwise(F.lit(-(1 << 30))).cast("long")
 
 
-def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, p: float, out: str, tiebreak: str) -> DataFrame:
+def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, p: float, out: str, tiebreak: str | None = None) -> DataFrame:
     """Per key: the ``p`` quantile of ``value`` (nulls ignored), linear interpolation
-    between the order statistics at ``floor``/``ceil`` of ``p x (n - 1)``.
-    ``tiebreak`` makes the order total."""
+    between the order statistics at ``floor``/``ceil`` of ``p x (n - 1)``. Equal values are
+    counted first and stand as one row with their number, so ties fill no bucket.
+    (``tiebreak`` is no longer needed.)"""
     keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value, tiebreak).withColumn("__b", value_bucket(value))
-    ranked = exclusive_prefix_sums(rows, keys, "__b", [value, tiebreak], {"__r": F.lit(1).cast("long")})
-    n = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    once = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__w"))
+    rows = once.withColumn("__b", value_bucket(value))
+    ranked = exclusive_prefix_sums(rows, keys, "__b", [value], {"__r": F.col("__w")})
+    n = once.groupBy(*keys).agg(F.sum("__w").alias("__n"))
     pos = (F.col("__n") - 1).cast("double") * F.lit(p)
     j = ranked.join(n, keys).withColumn("__pos", pos)
-    lo_hi = j.where((F.col("__r") == F.floor("__pos")) | (F.col("__r") == F.ceil("__pos")))
+    holds = lambda at: (F.col("__r") <= at) & (at < F.col("__r") + F.col("__w"))
+    lo_hi = j.where(holds(F.floor("__pos")) | holds(F.ceil("__pos")))
     agg = lo_hi.groupBy(*keys).agg(
         F.min_by(value, "__r").alias("__lo"), F.max_by(value, "__r").alias("__hi"), F.first("__pos").alias("__pos")
     )

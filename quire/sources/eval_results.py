@@ -57,6 +57,8 @@ def write_eval_results(rows: DataFrame, root: str) -> None:
     doc = F.to_json(F.struct(
         F.struct(F.first("model").alias("model_name")).alias("config_general"),
         F.map_from_entries(F.collect_list(F.struct("task", F.struct("acc", "acc_stderr")))).alias("results"),
+        F.map_from_entries(F.collect_list(F.struct("task", F.struct("file")))).alias("config_tasks"),
+        F.map_from_entries(F.collect_list(F.struct("task", F.struct("version")))).alias("summary_tasks"),
         F.map_from_entries(F.collect_list(F.struct("task", F.col("version").cast("long")))).alias("versions"),
     ))
     files = rows.groupBy("file").agg(doc.alias("doc")).withColumn("abs_path", F.concat(F.lit(root.rstrip("/") + "/"), F.col("file")))

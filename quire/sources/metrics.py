@@ -106,12 +106,15 @@ EVENT_MAP = {
 SEQ_LEN, MICRO_BATCH, ACCUM = 2048, 8, 32
 TOKENS_PER_STEP = SEQ_LEN * MICRO_BATCH * ACCUM
 PARAMETERS = 75_571_584
+WARMUP_STEPS, MAX_LR = 2000, 3e-3
 
 
 def metric_log_from_events(events: DataFrame) -> DataFrame:
     """``events`` → metric log rows. ``signup`` opens a run (``run_started`` plus a
-    ``runtime_summary``); ``props.k`` picks the checkpoint slot of ``checkpoint`` and
-    ``resumed`` events and gives the gradient norm (``k = 0`` → NaN)."""
+    ``runtime_summary``, which tells of fine-tuning where ``k`` is divisible by 3); ``props.k``
+    picks the checkpoint slot of ``checkpoint`` and ``resumed`` events and gives the gradient
+    norm (``k = 0`` → NaN). Every fourth ``k`` resumes through the pointer file, from 90 on a
+    checkpoint ends its run, even ones warm up by the schedule, and 50 miscounts its tokens."""
     mapping = F.create_map(*[x for k, v in EVENT_MAP.items() for x in (F.lit(k), F.lit(v))])
     k = F.get_json_object("props", "$.k").cast("long")
     base = events.select(
@@ -122,14 +125,20 @@ def metric_log_from_events(events: DataFrame) -> DataFrame:
         k.alias("k"),
         mapping[F.col("event_type")].alias("event0"),
     ).where(F.col("event0").isNotNull())
-    events_col = F.when(F.col("event0") == "run_started", F.array(F.lit("run_started"), F.lit("runtime_summary"))).otherwise(
-        F.array(F.col("event0"))
+    events_col = (
+        F.when(F.col("event0") == "run_started", F.array(F.lit("run_started"), F.lit("runtime_summary")))
+        .when((F.col("event0") == "checkpoint") & (F.col("k") >= 90), F.array(F.lit("checkpoint"), F.lit("run_finished")))
+        .otherwise(F.array(F.col("event0")))
     )
     rows = base.withColumn("event", F.explode(events_col))
     ev = F.col("event")
     is_train, is_eval, is_ckpt = ev == "train", ev == "eval", ev == "checkpoint"
     is_start, is_summary, is_resume = ev == "run_started", ev == "runtime_summary", ev == "resumed"
     slot = F.format_string("ckpt/slot_%02d.pt", F.col("k"))
+    step = F.col("step").cast("double")
+    lr = F.when((F.col("k") % 2 == 0) & (F.col("step") <= WARMUP_STEPS), F.lit(MAX_LR) * step / F.lit(float(WARMUP_STEPS))).otherwise(F.col("value") / F.lit(10000.0))
+    tokens = F.col("step") * F.lit(TOKENS_PER_STEP)
+    tuned = F.col("k") % 3 == 0
     out = rows.select(
         "run_id",
         "ts",
@@ -137,10 +146,10 @@ def metric_log_from_events(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.when(is_train | is_eval | is_ckpt | is_resume, F.col("step")).alias("step"),
         F.when(is_train, F.col("value")).alias("loss"),
-        F.when(is_train, F.col("value") / F.lit(10000.0)).alias("lr"),
+        F.when(is_train, lr).alias("lr"),
         F.lit(None).cast("double").alias("tok_per_sec"),
         F.when(is_train, F.when(F.col("k") == 0, F.lit(float("nan"))).otherwise(F.col("k") / F.lit(10.0))).alias("grad_norm"),
-        F.when(is_train | is_ckpt, F.col("step") * F.lit(TOKENS_PER_STEP)).alias("tokens_seen"),
+        F.when(is_train, tokens + (F.col("k") == 50).cast("long")).when(is_ckpt | (ev == "run_finished"), tokens).alias("tokens_seen"),
         F.lit(None).cast("double").alias("elapsed_sec"),
         F.when(is_train | is_summary, F.lit(SEQ_LEN)).cast("long").alias("seq_len"),
         F.when(is_train | is_summary, F.lit(MICRO_BATCH)).cast("long").alias("micro_batch_size"),
@@ -154,20 +163,20 @@ def metric_log_from_events(events: DataFrame) -> DataFrame:
         F.when(is_eval, F.lit(50)).cast("long").alias("eval_batches"),
         F.when(is_ckpt, slot).alias("step_checkpoint"),
         F.when(is_ckpt, F.lit("ckpt/last.pt")).alias("last_checkpoint"),
-        F.when(is_resume, slot).alias("checkpoint"),
-        F.lit(None).cast("long").alias("final_step"),
+        F.when(is_resume, F.when(F.col("k") % 4 == 0, F.lit("ckpt/last.pt")).otherwise(slot)).alias("checkpoint"),
+        F.when(ev == "run_finished", F.col("step")).alias("final_step"),
         F.when(is_start, F.concat(F.lit("logs/"), F.col("run_id"), F.lit(".log"))).alias("log_path"),
         F.when(is_start, F.concat(F.lit("logs/"), F.col("run_id"), F.lit(".jsonl"))).alias("metrics_path"),
-        F.when(is_summary, F.lit("cuda")).alias("device"),
-        F.when(is_summary, F.lit("bf16")).alias("precision"),
+        F.when(is_summary, F.when(F.col("k") % 5 == 0, F.lit("mps")).otherwise(F.lit("cuda"))).alias("device"),
+        F.when(is_summary, F.when(F.col("k") % 2 == 0, F.lit("bf16")).otherwise(F.lit("fp32"))).alias("precision"),
         F.when(is_summary, F.lit(False)).alias("compile_model"),
         F.when(is_summary, F.lit(PARAMETERS)).cast("long").alias("parameters"),
         F.when(is_summary, F.lit(TOKENS_PER_STEP)).cast("long").alias("tokens_per_step"),
-        F.when(is_summary, F.lit(100)).cast("long").alias("num_train_shards"),
-        F.when(is_summary, F.lit("data/pretokenized/train")).alias("train_dir"),
-        F.when(is_summary, F.lit("data/pretokenized/val")).alias("val_dir"),
-        F.lit(None).cast("string").alias("dataset_path"),
-        F.lit(None).cast("long").alias("train_examples"),
+        F.when(is_summary & ~tuned, F.col("k") + 1).alias("num_train_shards"),
+        F.when(is_summary & ~tuned, F.lit("data/pretokenized/train")).alias("train_dir"),
+        F.when(is_summary & ~tuned, F.lit("data/pretokenized/val")).alias("val_dir"),
+        F.when(is_summary & tuned, F.lit("data/sft")).alias("dataset_path"),
+        F.when(is_summary & tuned, F.col("k") * 100).alias("train_examples"),
         F.lit(None).cast("long").alias("val_examples"),
         F.lit(None).cast("string").alias("model_config"),
         F.lit(None).cast("string").alias("train_config"),

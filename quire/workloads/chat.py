@@ -98,6 +98,25 @@ def q_normalize_messages(spark, sf):
     )
 
 
+def q_normalize_mixed_messages(spark, sf):
+    """Dialogs as JSON whose odd turns hold their lines as parts and whose even turns hold a
+    string, read as one variant column."""
+    t = read_table(spark, sf, "conversations")
+    parts = F.to_json(F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"))))
+    quoted = F.to_json(F.struct(F.col("text").alias("content")))
+    body = F.when(F.col("turn") % 2 == 1, F.concat(F.lit('{"content":'), parts, F.lit("}"))).otherwise(quoted)
+    role = F.concat(F.lit(',"role":'), F.regexp_extract(F.to_json(F.array("role")), r"^\[(.*)\]$", 1), F.lit("}"))
+    message = F.concat(F.regexp_replace(body, r"\}$", ""), role)
+    d = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))).alias("ms"))
+    read = ch.normalize_mixed_messages(F.parse_json(F.concat(F.lit("["), F.array_join(F.col("ms.m"), ","), F.lit("]"))))
+    d = d.withColumn("messages", read)
+    return d.select(
+        "conv_id",
+        F.size("messages").cast("long").alias("n_kept"),
+        F.md5(F.array_join(F.transform("messages", lambda m: m["content"]), "\u0001")).alias("content_md5"),
+    )
+
+
 def q_drop_empty_messages(spark, sf):
     d = dialogs(spark, sf)
     kept = F.size(ch.normalize_messages("messages"))
@@ -265,6 +284,7 @@ QUERIES = {
     "scan_chat": q_scan_chat,
     "assemble_dialogs": q_assemble_dialogs,
     "normalize_messages": q_normalize_messages,
+    "normalize_mixed_messages": q_normalize_mixed_messages,
     "drop_empty_messages": q_drop_empty_messages,
     "drop_empty_dialogs": q_drop_empty_dialogs,
     "render_chat": q_render_chat,
@@ -392,6 +412,12 @@ def _sql():
               md5(coalesce(string_agg(CASE WHEN role IS NOT NULL AND text IS NOT NULL AND {s('text')} <> '' THEN {s('text')} END,
                   chr(1) ORDER BY turn), '')) AS content_md5
             FROM conversations GROUP BY conv_id""",
+        "normalize_mixed_messages": f"""SELECT conv_id,
+              CAST(count(*) FILTER (WHERE role IS NOT NULL AND x <> '') AS BIGINT) AS n_kept,
+              md5(coalesce(string_agg(CASE WHEN role IS NOT NULL AND x <> '' THEN x END, chr(1) ORDER BY turn), '')) AS content_md5
+            FROM (SELECT conv_id, turn, role, {s('t')} AS x FROM (
+              SELECT *, CASE WHEN turn % 2 = 1 THEN array_to_string(list_filter(string_split(text, chr(10)), lambda p: p <> ''), chr(10)) ELSE text END AS t FROM conversations))
+            GROUP BY conv_id""",
         "drop_empty_messages": f"""SELECT conv_id,
               CAST(count(*) FILTER (WHERE NOT (role IS NOT NULL AND text IS NOT NULL AND {s('text')} <> '')) AS BIGINT) AS n_dropped
             FROM conversations GROUP BY conv_id""",

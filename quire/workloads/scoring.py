@@ -155,6 +155,30 @@ def q_read_eval_results(spark, sf):
                     F.col("version").cast("long").alias("version"))
 
 
+def q_merge_documents(spark, sf):
+    """Write the stand-in result files, merge them to one document a model, and lay the merged
+    documents open."""
+    from quire.session import posix_scratch
+    from quire.sources import eval_documents as ed
+    from quire.sources.eval_results import write_eval_results
+
+    root, out = posix_scratch(spark, "eval-documents"), posix_scratch(spark, "eval-merged")
+    write_eval_results(result_rows(spark, sf), root)
+    ed.write_documents(ed.merge_result_files(spark, root, group_depth=1), out)
+    back = spark.read.text(out).select("group", F.lit("merged").alias("file"), F.try_parse_json("value").alias("doc"))
+    rows = ed.entries(back).withColumn("v", F.try_parse_json("value"))
+    get = lambda path, kind: F.try_variant_get("v", path, kind)
+    text = (
+        F.when(F.col("section") == "config_tasks", get("$.file", "string"))
+        .when(F.col("section") == "summary_tasks", get("$.version", "string"))
+        .when(F.col("section") == "versions", get("$", "string"))
+        .when(F.col("section") == "config_general", get("$.model_name", "string"))
+    )
+    return rows.select(
+        F.col("group").alias("model"), "section", "key", _r9(get("$.acc", "double")).alias("acc"), _r9(get("$.acc_stderr", "double")).alias("acc_stderr"), text.alias("text")
+    )
+
+
 def q_scoring_mode(spark, sf):
     r = result_rows(spark, sf).select("task").distinct()
     return r.select("task", sc.scoring_mode("task").alias("mode"))
@@ -201,6 +225,7 @@ def q_fit_unigram(spark, sf):
 
 QUERIES = {
     "merge_results": q_merge_results,
+    "merge_documents": q_merge_documents,
     "overall_accuracy": q_overall_accuracy,
     "group_accuracy": q_group_accuracy,
     "comparison": q_comparison,
@@ -322,6 +347,12 @@ def _sql():
     return {
         "merge_results": R + """SELECT model, task, file, round(acc, 9) AS acc, round(acc_stderr, 9) AS acc_stderr,
                                    CAST(version AS BIGINT) AS version FROM merged_v""",
+        "merge_documents": R + """SELECT model, 'results' AS section, task AS key, round(acc, 9) AS acc, round(acc_stderr, 9) AS acc_stderr, CAST(NULL AS VARCHAR) AS text FROM summ
+            UNION ALL SELECT model, 'config_tasks', task, NULL, NULL, min(file) FROM res GROUP BY model, task
+            UNION ALL SELECT model, 'summary_tasks', task, NULL, NULL, CAST(arg_min(version, file) AS VARCHAR) FROM res GROUP BY model, task
+            UNION ALL SELECT model, 'versions', task, NULL, NULL, CAST(arg_max(version, file) AS VARCHAR) FROM res GROUP BY model, task
+            UNION ALL SELECT DISTINCT model, 'config_general', '', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), model FROM res
+            UNION ALL SELECT DISTINCT model, 'summary_general', '', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR) FROM res""",
         "overall_accuracy": R + "SELECT model, task, round(acc, 9) AS acc, round(acc_stderr, 9) AS acc_stderr, CAST(tasks AS BIGINT) AS tasks FROM overall",
         "group_accuracy": R + "SELECT model, task, round(acc, 9) AS acc, round(acc_stderr, 9) AS acc_stderr, CAST(tasks AS BIGINT) AS tasks FROM grp",
         "comparison": R + "SELECT model, label, metric, metric_pos, value FROM cmp",

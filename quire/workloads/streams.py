@@ -83,7 +83,7 @@ SQL = {
           max(step) FILTER (WHERE event = 'train') AS last_step,
           arg_max(value, step) FILTER (WHERE event = 'train') AS last_loss,
           arg_max(value, step) FILTER (WHERE event = 'eval') AS last_val_loss,
-          CAST(0 AS BIGINT) AS finished,
+          CAST(max(CASE WHEN event = 'run_finished' THEN 1 ELSE 0 END) AS BIGINT) AS finished,
           CAST(count(*) AS BIGINT) AS events
         FROM lg GROUP BY run_id""",
 }
