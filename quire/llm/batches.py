@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,19 @@ def pieces_of(batch, rows: int = 1024):
         yield batch.slice(i, rows)
 
 
+def blocks_of(batch, rows: int = 2048, size: int = 16 << 20, column: int = 1):
+    """Cut a record batch in blocks of at most ``rows`` rows and about ``size`` bytes of text (one
+    row at least)."""
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype("i8")
+    ends = np.cumsum(lengths)
+    i = 0
+    while i < batch.num_rows:
+        most = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right"))
+        j = min(max(i + 1, most), i + rows, batch.num_rows)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

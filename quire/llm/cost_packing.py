@@ -28,21 +28,58 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quire.llm.batches import documents, pieces_of, scratch_free_env
-from quire.llm.words_memo import WordMemo
+from quire.llm.batches import blocks_of, documents, scratch_free_env
+from quire.llm.words_memo import WordBlocks
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-_CODECS: dict[str, WordMemo] = {}
+_CODECS: dict[str, WordBlocks] = {}
 
 
 def piece_cost(n: int, linear: float, quadratic: float) -> float:
     return linear * n + quadratic * n * n
 
 
-def pack_lengths(lengths: list[int], seq_len: int, linear: float, quadratic: float, tries: int = 8):
+class Rooms:
+    """Open sequences by their free room. Each room has a heap of ``(cost, sequence)``; a
+    binary tree over the rooms holds the least of them, so the cheapest sequence with room
+    for ``n`` is found in log time."""
+
+    def __init__(self, seq_len: int):
+        self.leaves = 1 << seq_len.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(self.leaves)]
+        self.least: list[tuple[float, int, int] | None] = [None] * (2 * self.leaves)
+
+    def _settle(self, room: int) -> None:
+        top = self.heaps[room][0] if self.heaps[room] else None
+        i, least = self.leaves + room, self.least
+        least[i] = (*top, room) if top else None
+        while i > 1:
+            a, b = least[i & ~1], least[i | 1]
+            i >>= 1
+            least[i] = a if b is None or (a is not None and a < b) else b
+
+    def add(self, cost: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, sequence))
+        self._settle(room)
+
+    def cheapest(self, n: int) -> tuple[float, int, int] | None:
+        """Take out ``cost, sequence, room`` of the cheapest with room for ``n``."""
+        best, lo, hi = None, self.leaves + n, 2 * self.leaves
+        while lo < hi:
+            for at in ([lo] if lo & 1 else []) + ([hi - 1] if hi & 1 else []):
+                x = self.least[at]
+                if x is not None and (best is None or x < best):
+                    best = x
+            lo, hi = (lo + 1) >> 1, hi >> 1
+        if best is not None:
+            heapq.heappop(self.heaps[best[2]])
+            self._settle(best[2])
+        return best
+
+
+def pack_lengths(lengths: list[int], seq_len: int, linear: float, quadratic: float):
     """Pieces ``(document, start, length, sequence, offset)`` of documents of the given
-    lengths; sequences are numbered from 0. ``tries``: how many of the cheapest
-    sequences are asked for room before a document is cut."""
+    lengths; sequences are numbered from 0."""
     out: list[tuple[int, int, int, int, int]] = []
     rests: list[tuple[int, int, int]] = []  # (-length, document, start)
     seq = 0
@@ -56,33 +93,24 @@ def pack_lengths(lengths: list[int], seq_len: int, linear: float, quadratic: flo
             rests.append((at - n, d, at))
     total = -sum(r[0] for r in rests)
     full, tail = divmod(total, seq_len)
-    heap = [(0.0, seq + i) for i in range(full)]
-    filled = dict.fromkeys((s for _, s in heap), 0)
+    rooms = Rooms(seq_len)
+    for i in range(full):
+        rooms.add(0.0, seq + i, seq_len)
     seq += full
     heapq.heapify(rests)
     left: list[tuple[int, int, int]] = []
     while rests:
         neg, d, at = heapq.heappop(rests)
-        n, passed, chosen = -neg, [], None
-        while heap and len(passed) < tries:
-            cost, s = heapq.heappop(heap)
-            if filled[s] + n <= seq_len:
-                chosen = (cost, s)
-                break
-            passed.append((cost, s))
-        if chosen is None and passed:
-            chosen = passed.pop(0)
-        for x in passed:
-            heapq.heappush(heap, x)
+        n = -neg
+        chosen = rooms.cheapest(n) or rooms.cheapest(1)
         if chosen is None:
             left.append((d, at, n))
             continue
-        cost, s = chosen
-        take = min(n, seq_len - filled[s])
-        out.append((d, at, take, s, filled[s]))
-        filled[s] += take
-        if filled[s] < seq_len:
-            heapq.heappush(heap, (cost + piece_cost(take, linear, quadratic), s))
+        cost, s, room = chosen
+        take = min(n, room)
+        out.append((d, at, take, s, seq_len - room))
+        if take < room:
+            rooms.add(cost + piece_cost(take, linear, quadratic), s, room - take)
         if take < n:
             heapq.heappush(rests, (take - n, d, at + take))
     sizes = [1 << b for b in range(seq_len.bit_length(), -1, -1) if tail >> b & 1]
@@ -98,7 +126,7 @@ def pack_lengths(lengths: list[int], seq_len: int, linear: float, quadratic: flo
     return out
 
 
-def _codec(path: str) -> WordMemo:
+def _codec(path: str) -> WordBlocks:
     if path not in _CODECS:
         scratch_free_env()
         from tokenizers import Tokenizer
@@ -106,10 +134,10 @@ def _codec(path: str) -> WordMemo:
         tok = Tokenizer.from_file(path)
         specials = tuple(t.content for t in tok.get_added_tokens_decoder().values())
 
-        def encode_many(texts: list[str]) -> list[bytes]:
-            return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        def encode_text(text: str) -> list[int]:
+            return tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-        _CODECS[path] = WordMemo(encode_many, specials, limit=600_000)
+        _CODECS[path] = WordBlocks(encode_text, specials)
     return _CODECS[path]
 
 
@@ -156,9 +184,8 @@ def pack_documents(
         held: list[bytes] = []
         tokens = 0
         for big in batches:
-            for b in pieces_of(big):
-                texts = ["" if t is None else t for t in b.column(1).to_pylist()]
-                encoded = [x + end for x in codec.encode(texts)]
+            for b in blocks_of(big):
+                encoded = [x + end for x in codec.encode(b.column(1))]
                 for i, x in zip(b.column(0).to_pylist(), encoded):
                     held_ids.append(i)
                     held.append(x)
