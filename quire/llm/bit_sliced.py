@@ -17,10 +17,12 @@ Every query block meets every index block by an equi-join on the block numbers,
 pair of blocks returns at most ``k`` rows a query, so partial answers, not scores, are
 shuffled.
 
-Defined results: vectors that are null, empty, of another length than most, or hold null
-or non-finite components take no part, neither do null ids; rows that repeat an id are
-separate candidates, and a query's own id is never its candidate; equal scores order by
-id; an empty table gives no rows.
+Defined results: vectors that are null, empty, or hold null or non-finite components take
+no part, neither do null ids; vectors of each length have an index of their own, since a
+product needs two of one length; rows that repeat an id are separate queries and separate
+candidates, and a query's own row is never its candidate; equal scores order by id; an
+empty table gives no rows. Limits, which raise: components after scaling stay below 2**62,
+and a score that is returned fits a long.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from quire.plans.materialize import checkpointed
 
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+LIMIT = 2**62
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -40,7 +43,8 @@ def quantised(df: DataFrame, id_col: str, vector_col: str, scale: float) -> Data
     v = F.col(vector_col).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where((F.size(v) > 0) & ~F.coalesce(bad, F.lit(False)))
-    return usable.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(F.lit(scale) * x)).alias("q"))
+    q = F.transform(v, lambda x: F.floor(F.lit(scale) * x))
+    return usable.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"), F.size(v).alias("dims"), q.alias("q"))
 
 
 def slice_block(u: np.ndarray, bits: int) -> np.ndarray:
@@ -115,19 +119,22 @@ def row_numbers(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view("u1"), bitorder="little"))
 
 
-def build_index(vectors: DataFrame, blocks: int, low: int, bits: int) -> DataFrame:
-    """One row per block: ids (ascending) and the slices of every component."""
+def build_index(vectors: DataFrame, shape: dict[int, tuple[int, int, int]]) -> DataFrame:
+    """One row per block: ids (ascending), the rows they stand for, and the slices of every
+    component. ``shape``: by length the number of blocks, the least value and its bits."""
+    blocks = F.create_map(*[F.lit(x) for d, (n, _, _) in shape.items() for x in (d, n)])[F.col("dims")]
 
-    def build(key, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("vec_id")
+    def build(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["vec_id", "row"])
+        _, low, bits = shape[int(key[0])]
         u = np.stack(f["q"].to_numpy()).astype("i8") - low
         return pd.DataFrame({
-            "block": [int(key[0])], "rows": [len(f)], "ids": [f["vec_id"].to_numpy().astype("i8").tobytes()],
-            "slices": [slice_block(u, bits).tobytes()],
+            "dims": [int(key[0])], "block": [int(key[1])], "ids": [f["vec_id"].to_numpy().astype("i8").tobytes()],
+            "rows": [f["row"].to_numpy().astype("i8").tobytes()], "slices": [slice_block(u, bits).tobytes()],
         })
 
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    return dealt.groupBy("block").applyInPandas(build, "block long, rows long, ids binary, slices binary")
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("row"), blocks))
+    return dealt.groupBy("dims", "block").applyInPandas(build, "dims int, block long, ids binary, rows binary, slices binary")
 
 
 def top_k(
@@ -143,55 +150,59 @@ def top_k(
     """``query_id, rank, vec_id, score`` of the ``k`` highest integer inner products of
     every row whose id is divisible by ``every``, against all other rows."""
     vectors = checkpointed(quantised(df, id_col, vector_col, scale), "quantised")
-    shape = vectors.select(F.size("q").alias("dims"), F.array_min("q").alias("low"), F.array_max("q").alias("high"))
-    by_length = shape.groupBy("dims").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    usual = by_length.orderBy(F.desc("n"), "dims").first()
-    spark = df.sparkSession
-    if usual is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dims, n, low = usual.dims, usual.n, usual.low
-    bits = max(1, (usual.high - low).bit_length())
-    vectors = vectors.where(F.size("q") == dims)
-    blocks = -(-n // block)
-    index = checkpointed(build_index(vectors, blocks, low, bits), "slices")
-    asked = vectors.where(F.col("vec_id") % every == 0)
-    groups = -(-n // (every * queries_per_block)) or 1
-    asked = asked.withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)))
-    left = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).select("block", F.col("group").cast("long"), "rows", "ids", "slices")
-    right = asked.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(
-        F.col("at").cast("long"), F.col("group").alias("of"), F.col("vec_id").alias("query_id"), "q"
-    )
-
-    def search(key, index_rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int]] = []
-        for row in index_rows.itertuples():
-            ids = np.frombuffer(row.ids, "i8")
-            words = -(-row.rows // 64)
-            slices = np.frombuffer(row.slices, "u8").reshape(dims, bits, words)
+    ends = vectors.select("dims", F.array_min("q").alias("low"), F.array_max("q").alias("high"))
+    by_length = ends.groupBy("dims").agg(F.count(F.lit(1)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).collect()
+    if not by_length:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    top = {r.dims: max(abs(r.low), abs(r.high)) for r in by_length}
+    if max(top.values()) >= LIMIT:
+        raise ValueError(f"components of up to {max(top.values())} after scaling; they must stay below 2**62")
+    shape = {r.dims: (-(-r.n // block), r.low, max(1, (r.high - r.low).bit_length())) for r in by_length}
+    wide = {d for d, x in top.items() if 4 * d * x * x >= LIMIT}  # sums that may leave 64 bits on the way
+    groups = {r.dims: -(-r.n // (every * queries_per_block)) or 1 for r in by_length}
+    of_length = lambda values: F.create_map(*[F.lit(x) for d, v in values.items() for x in (d, v)])[F.col("dims")]
+    upto = lambda values: F.sequence(F.lit(0).cast("long"), of_length(values).cast("long") - 1)
+    index = checkpointed(build_index(vectors, shape), "slices")
+    asked = vectors.where(F.col("vec_id") % every == 0).withColumn("of", F.pmod(F.xxhash64("row", F.lit(1)), of_length(groups)).cast("long"))
+    left = index.select("dims", "block", F.explode(upto(groups)).alias("group"), "ids", "rows", "slices")
+    right = asked.select("dims", F.explode(upto({d: n for d, (n, _, _) in shape.items()})).alias("at"), "of", "row", "vec_id", "q")
+
+    def search(key: tuple, index_rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int, int, int]] = []
+        for entry in index_rows.itertuples():
+            dims = int(entry.dims)
+            _, low, bits = shape[dims]
+            ids, numbers = np.frombuffer(entry.ids, "i8"), np.frombuffer(entry.rows, "i8")
+            words = -(-len(ids) // 64)
+            slices = np.frombuffer(entry.slices, "u8").reshape(dims, bits, words)
             everyone = np.zeros(8 * words, "u1")
-            filled = np.packbits(np.ones(row.rows, "u1"), bitorder="little")
+            filled = np.packbits(np.ones(len(ids), "u1"), bitorder="little")
             everyone[: len(filled)] = filled
             everyone = everyone.view("u8")
-            place = {int(i): [] for i in ids if i % every == 0}
-            for at in np.flatnonzero(ids % every == 0):
-                place[int(ids[at])].append(int(at))
-            for query_id, q in zip(queries["query_id"], queries["q"]):
+            place = {int(numbers[at]): int(at) for at in np.flatnonzero(ids % every == 0)}
+            for row, query_id, q in zip(queries["row"], queries["vec_id"], queries["q"]):
                 q = np.asarray(q, "i8")
                 valid = everyone.copy()
-                for at in place.get(int(query_id), ()):
+                at = place.get(int(row))
+                if at is not None:
                     valid[at // 64] &= ~(np.uint64(1) << np.uint64(at % 64))
                 total = score_slices(slices, q)
                 sure, tied = top_rows(total, valid, k)
-                rows = row_numbers(sure)
-                rows = np.concatenate((rows, row_numbers(tied)[: k - len(rows)]))
+                found = row_numbers(sure)
+                found = np.concatenate((found, row_numbers(tied)[: k - len(found)]))
                 # The rows' scores from their bits; what the offsets added comes off.
-                value = np.zeros(len(rows), "i8")
+                whole = q.astype(object) if dims in wide else q
+                value = np.zeros(len(found), whole.dtype)
                 for w, s in enumerate(total):
-                    value += ((s[rows // 64] >> (rows % 64).astype("u8")) & np.uint64(1)).astype("i8") << w
-                value += low * int(q.sum()) - int(-q[q < 0].sum()) * ((1 << bits) - 1)
-                out += [(int(query_id), int(ids[r]), int(v)) for r, v in zip(rows, value)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    found = left.groupBy("block", "group").cogroup(right.groupBy("at", "of")).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+                    value += ((s[found // 64] >> (found % 64).astype("u8")) & np.uint64(1)).astype("i8").astype(whole.dtype) << w
+                value += low * int(whole.sum()) - int(-whole[q < 0].sum()) * ((1 << bits) - 1)
+                if dims in wide and any(abs(v) >= 2**63 for v in value):
+                    raise OverflowError("a score does not fit a long")
+                out += [(int(row), int(query_id), int(ids[r]), int(v)) for r, v in zip(found, value)]
+        return pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"]).astype("int64")
+
+    pairs = left.groupBy("dims", "block", "group").cogroup(right.groupBy("dims", "at", "of"))
+    found = pairs.applyInPandas(search, "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -11,13 +11,14 @@ LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 def top_k_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
     return f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS q FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, len(embedding) AS dims, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % {every} = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND a.dims = b.dims WHERE a.vec_id % {every} = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= {k}"""
 
 
@@ -29,7 +30,7 @@ WITH RECURSIVE v AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS (
-  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.x, b.x) >= {threshold}),
 reach AS (SELECT u, w FROM l UNION SELECT r.u, l.w FROM reach r JOIN l ON r.w = l.u),
 c AS (SELECT u, least(u, min(w)) AS component FROM reach GROUP BY u),
