@@ -16,9 +16,11 @@ Recall is therefore that of brute force. Lists are cut into tiles of bounded siz
 ways, so a hot list is many units of work; a unit returns a count for each probe and the
 edges of a spanning forest, never its pairs.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null
-or non-finite components, and rows with a null label, link with nothing; a repeated
-``vec_id`` counts once (its smallest vector), a null one not at all; ties of centroids
+Vectors of each length have a codebook of their own and meet only each other.
+
+Defined results: vectors that are null, zero, or hold null or non-finite components, and
+rows with a null label, link with nothing; a repeated ``vec_id`` counts once (the smallest
+label and vector of its usable rows), a null one not at all; ties of centroids
 go to the lower number; an empty table gives no rows; other columns are ignored.
 """
 
@@ -28,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.batches import sampled
@@ -110,7 +112,9 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str)
     rows = df.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(fit, v).alias("v")
     )
-    return rows.groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("row")).select("vec_id", "row.label", "row.v")
+    idle = (F.col("label").isNull() | F.col("v").isNull()).alias("idle")
+    first = rows.groupBy("vec_id").agg(F.min(F.struct(idle, "label", "v")).alias("row"))
+    return first.select("vec_id", "row.label", "row.v")
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -142,23 +146,28 @@ def near_duplicates(
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
     spark = df.sparkSession
     rows = checkpointed(usable_vectors(df, id_col, vector_col, label_col), "vectors")
-    usual = rows.where("v is not null").groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    if usual is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    good = rows.where((F.size("v") == usual.dims) & F.col("label").isNotNull() & F.col("v").isNotNull())
-    order = F.xxhash64("vec_id")
-    few = good.select("vec_id", "v").where(sampled(order, settings.sample, usual["count"]))
-    sample = few.orderBy(order, "vec_id").limit(settings.sample).toPandas()  # bounded by the setting
-    if sample.empty:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    book = spark.sparkContext.broadcast(Codebook(_unit(sample["v"]), usual["count"], settings))  # bounded by the settings
+    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    # The length stands before the label, so it is part of every key from here on.
+    dims = F.size("v")
+    good = rows.where(F.col("label").isNotNull() & F.col("v").isNotNull()).withColumn("label", F.concat(dims.cast("string"), F.lit(":"), "label"))
+    counts = {r.dims: r.n for r in good.groupBy(dims.alias("dims")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a length
+    if not counts:
+        return alone
+    order, share = F.xxhash64("vec_id"), -(-settings.sample // len(counts))
+    few = F.coalesce(*[F.when(dims == d, sampled(order, share, n)) for d, n in counts.items()])
+    rank = F.row_number().over(Window.partitionBy("dims").orderBy("order", "vec_id"))
+    sample = good.where(few).select(dims.alias("dims"), order.alias("order"), "vec_id", "v").withColumn("rank", rank)
+    sample = sample.where(F.col("rank") <= share).orderBy("dims", "rank").select("dims", "v").toPandas()  # bounded by the setting
+    books = {int(d): Codebook(_unit(f["v"]), counts[d], settings) for d, f in sample.groupby("dims")}
+    book = spark.sparkContext.broadcast(books)  # bounded by the settings
     radius = float(np.sqrt(max(0.0, 2 - 2 * settings.threshold))) + 1e-9
 
     def index(frames):
-        for f in frames:
+        for f in (f for frame in frames for _, f in frame.groupby(frame["v"].map(len))):
             x = _unit(f["v"])
-            of, codes, miss = book.value.encode(x)
-            lists = book.value.probes(x, of, radius)
+            mine = book.value[x.shape[1]]
+            of, codes, miss = mine.encode(x)
+            lists = mine.probes(x, of, radius)
             yield pd.DataFrame({
                 "vec_id": f["vec_id"], "label": f["label"], "x": list(x), "home": of.astype("i4"), "probes": lists,
                 "codes": [c.tobytes() for c in codes], "miss": miss,
@@ -186,10 +195,12 @@ def near_duplicates(
             return pd.DataFrame({"u": [], "v": [], "n": []}).astype("int64")
         y, x = np.stack(inside["y"].to_numpy()), np.stack(probe["x"].to_numpy())
         codes = np.frombuffer(b"".join(inside["codes"]), "u1").reshape(len(inside), -1)
-        centre = book.value.coarse[int(key[1])]
-        bound = book.value.distances(x - centre, codes) - inside["miss"].to_numpy()[None]
+        mine = book.value[x.shape[1]]
+        bound = mine.distances(x - mine.coarse[int(key[1])], codes) - inside["miss"].to_numpy()[None]
         a, b = np.nonzero(bound <= radius)
-        links = np.einsum("ij,ij->i", x[a], y[b]) >= settings.threshold if len(a) < 1 << 16 else (x @ y.T)[a, b] >= settings.threshold
+        cuts = range(0, len(a), 1 << 16)  # one routine for all pairs, a bounded number at a time
+        links = [np.einsum("ij,ij->i", x[a[i : i + (1 << 16)]], y[b[i : i + (1 << 16)]]) >= settings.threshold for i in cuts]
+        links = np.concatenate(links) if links else np.zeros(0, bool)
         ids, others = probe["vec_id"].to_numpy(), inside["id"].to_numpy()
         a, b = a[links], b[links]
         differ = ids[a] != others[b]

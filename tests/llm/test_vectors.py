@@ -40,19 +40,35 @@ def fit(v, dims=6):
 
 
 def test_top_k_matches_brute_force(spark):
-    rows = vectors() + odd_rows() + [(50, vectors()[50][1], 0, 0, 0, "")]
+    rows = vectors() + odd_rows() + [(50, vectors()[50][1], 0, 0, 0, ""), (50, vectors()[7][1], 0, 0, 0, "")]
     rows += [(1000 + i, vectors()[3][1], 0, 0, 0, "") for i in range(9)]  # ties
-    got = [tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA), every=10, block=16, queries_per_block=3).collect()]
-    usable = [(r[0], [math.floor(256 * float(np.float32(x))) for x in r[1]]) for r in rows if r[0] is not None and fit(r[1])]
+    rows += [(2000 + i, r[1][:3], 0, 0, 0, "") for i, r in enumerate(vectors(40, 6, 4))]  # another length
+    got = [tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA).repartition(4), every=10, block=16, queries_per_block=3).collect()]
+    good = lambda v: v and all(x is not None and math.isfinite(x) for x in v)
+    usable = [(at, r[0], [math.floor(256 * float(np.float32(x))) for x in r[1]]) for at, r in enumerate(rows) if r[0] is not None and good(r[1])]
     want = []
-    for q, v in usable:
+    for at, q, v in usable:
         if q % 10 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in usable if i != q)
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for other, i, w in usable if other != at and len(w) == len(v))
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
-    # A repeated query id asks twice; each rank is then answered from both rows' candidates.
-    once = {q for q, _ in usable if [i for i, _ in usable].count(q) == 1}
-    assert sorted(g for g in got if g[0] in once) == sorted(w for w in want if w[0] in once)
-    assert {g[0] for g in got} == {w[0] for w in want}
+    assert sorted(got) == sorted(want)
+    assert sum(g[0] == 50 for g in got) == 15
+
+
+def test_top_k_of_large_components(spark):
+    for factor, one in ((1e6, None), (1.0, 1e12), (1.0, 1e13)):
+        rows = [(i, [x * factor for x in v], *rest) for i, v, *rest in vectors(60, 4, 9)]
+        if one:
+            rows[13][1][2] = one
+        got = [tuple(r) for r in top_k(spark.createDataFrame(rows, SCHEMA), every=10, block=16).collect()]
+        q = {r[0]: [math.floor(256 * float(np.float32(x))) for x in r[1]] for r in rows}
+        want = []
+        for a in range(0, 60, 10):
+            scored = sorted((-sum(x * y for x, y in zip(q[a], q[b])), b) for b in q if b != a)
+            want += [(a, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+        assert sorted(got) == sorted(want)
+    with pytest.raises(ValueError, match="2\\*\\*62"):
+        top_k(spark.createDataFrame([(0, [1e17, 1.0], 0, 0, 0, ""), (1, [1.0, 1.0], 0, 0, 0, "")], SCHEMA))
 
 
 def test_top_k_small_and_empty(spark):
@@ -101,6 +117,17 @@ def test_links_of_repeated_ids_and_nothing(spark):
     assert sorted(tuple(r) for r in none) == [(900, 0, 900, True), (901, 0, 901, True)]
 
 
+def test_links_of_other_lengths_and_of_the_usable_row(spark):
+    """Lengths link among themselves; an id's row with a null label or vector gives way."""
+    rows = [(i, [float(i % 3), 1.0, 0.5][: 2 + i % 2], 5, 0, 0, "") for i in range(24)]
+    rows += [(100, [1.0, 0.0], None, 0, 0, ""), (100, None, 5, 0, 0, ""), (100, [0.0, 1.0], 5, 0, 0, "")]
+    out = {r.vec_id: r for r in near_duplicates(spark.createDataFrame(rows, SCHEMA), settings=Settings(list_rows=4, tile=3)).collect()}
+    of = {i: tuple(v) for i, v, *_ in rows[:24]} | {100: (0.0, 1.0)}
+    for i, v in of.items():
+        same = [j for j, w in of.items() if w == v]
+        assert out[i].n_links == len(same) - 1 and out[i].component_id == min(same)
+
+
 def test_components_of_chains_stars_and_rings(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)]
