@@ -10,7 +10,8 @@
    prior by the method of moments. A host's posterior is shrunk toward the global
    mean, a path's toward its host's, so sparse sites say little.
 3. *Decision.* Likelihood ratio times the odds of the path's posterior, from which the
-   document's own evidence is left out. Below ``threshold`` a document is rejected.
+   document's own evidence is left out, on the path and on its host alike: a document
+   alone on its host has the global mean as its site. Below ``threshold`` it is rejected.
 
 Group sums are combined before the shuffle, so one site may hold most rows.
 
@@ -119,7 +120,7 @@ def with_features(df: DataFrame, id_col: str, text_col: str, host: Column, path:
 def fitted(rows: DataFrame, labels: DataFrame, sample: int) -> Logistic | None:
     """Fit on at most ``sample`` labelled rows of the training folds, chosen by hash."""
     known = rows.where(fold("doc_id", FOLDS) != HELD_OUT).join(labels, "doc_id").select("label", "x", F.xxhash64("doc_id", "text_key").alias("h"), "doc_id", "text_key")
-    few = known.where(sampled(F.col("h"), sample, labels.count()))
+    few = known.where(sampled(F.col("h"), sample, known.count()))
     got = few.orderBy("h", "doc_id", "text_key").limit(sample).select("label", "x").toPandas()  # bounded by ``sample``
     if got["label"].nunique() < 2:
         return None
@@ -185,10 +186,12 @@ def classify(
         c = F.greatest(F.least(c, F.lit(1 - 1e-9)), F.lit(1e-9))
         return F.log(c / (1 - c))
 
+    others = (F.col("host_k") - F.col("p") + F.lit(host_strength * mean)) / (F.col("host_n") - 1 + F.lit(host_strength))
     site = (F.col("k") - F.col("p") + path_strength * F.col("host_mean")) / (F.col("n") - 1 + path_strength)
     odds = logit(F.col("p")) - F.lit(float(np.log(prior / (1 - prior)))) + logit(F.col("site_mean"))
     return (
-        judged.join(sites.select("host", "path", "n", "k", "host_mean"), ["host", "path"])
+        judged.join(sites.select("host", "path", "n", "k", "host_n", "host_k"), ["host", "path"])
+        .withColumn("host_mean", others)
         .withColumn("site_mean", site)
         .withColumn("score", 1 / (1 + F.exp(-odds)))
         .select(

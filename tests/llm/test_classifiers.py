@@ -1,5 +1,7 @@
 """Classifiers: held-out accuracy on the given tables, pieces against plain statements."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -150,3 +152,26 @@ def test_features_count_all_signs():
     assert f("nothing but you")["second_person"] == 1 / 3
     weak = f("you meh a b c d e f g meh")
     assert weak["second_person"] == weak["near_second_person"] == 0.1
+
+
+def test_own_evidence_is_left_out_of_host_and_path(spark):
+    """Posteriors against a plain statement; a document alone on its host has the global mean."""
+    from quire.llm.site_bayes import classify
+
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["fine words", "here. And", "#|#|#", "MORE 123"]) for _ in range(rng.randint(1, 40))), f"p{i % 3}", f"h{i % 7}" if i < 80 else f"only{i}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    marks = spark.createDataFrame([(i, int(t.count("#") < 4)) for i, t, *_ in rows], "doc_id long, quality int")
+    got = {r.doc_id: r for r in classify(docs, marks).collect()}
+    p = {i: r.evidence for i, r in got.items()}
+    mean = sum(p.values()) / len(p)
+    host = {i: h for i, _, _, h in rows}
+    on = lambda i: [j for j in p if host[j] == host[i] and j != i]
+    for i in range(80, 90):
+        assert abs(got[i].host_mean - mean) < 1e-9
+    # One strength explains every host's posterior: solve it from one document, use it on all.
+    k = sum(p[j] for j in on(0))
+    strength = (k - got[0].host_mean * len(on(0))) / (got[0].host_mean - mean)
+    for i in p:
+        want = (sum(p[j] for j in on(i)) + strength * mean) / (len(on(i)) + strength)
+        assert abs(got[i].host_mean - want) < 1e-6
