@@ -322,9 +322,11 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``df`` with the repeated words cut out of its texts; all columns and rows stay."""
-    cut = dedup_substrings(df, id_col, text_col, **settings).where("n_removed > 0").select(F.col("key").alias("__key"), F.col("kept").alias("__kept"))
-    joined = df.join(cut.dropDuplicates(["__key"]), row_key(id_col, text_col) == F.col("__key"), "left")
-    return joined.withColumn(text_col, F.coalesce("__kept", text_col)).drop("__key", "__kept")
+    cut = dedup_substrings(df, id_col, text_col, **settings).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.col("kept").alias("__kept")).dropDuplicates(["__id", "__key"])
+    # The id beside the key: texts that share a 64-bit hash by chance stay apart.
+    same = (row_key(id_col, text_col) == F.col("__key")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    return df.join(cut, same, "left").withColumn(text_col, F.coalesce("__kept", text_col)).drop("__id", "__key", "__kept")
 
 
 def dedup_substrings(
