@@ -137,7 +137,7 @@ def _codec(path: str) -> WordBlocks:
         def encode_text(text: str) -> list[int]:
             return tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-        _CODECS[path] = WordBlocks(encode_text, specials)
+        _CODECS[path] = WordBlocks(encode_text, specials, limit=300_000)
     return _CODECS[path]
 
 
@@ -197,5 +197,6 @@ def pack_documents(
                         yield out
         if held:
             yield packed(held_ids, held, base)[1]
+        pa.default_memory_pool().release_unused()
 
     return documents(df, id_col, text_col).mapInArrow(run, SCHEMA)
