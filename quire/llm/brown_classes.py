@@ -12,7 +12,8 @@ text and one end token, which also opens it and is a class of its own.
    likelihood of the class bigrams most. The unit bigram table (all training bigrams) is
    turned into a list of neighbours per unit once; each round sums the lists by class,
    rates all moves in parallel against the class matrix, and moves half the units, chosen by hash, as in
-   distributed exchange (Uszkoreit and Brants, 2008); the best round is kept.
+   distributed exchange (Uszkoreit and Brants, 2008); the best round is kept. Neighbours
+   travel and rest packed, a bucket of units a row, so a round reads arrays, not rows.
 3. *Probabilities.* Class transitions interpolate bigram and unigram class counts;
    emissions add one to each word and keep one share per class for unseen words, so
    unknown words get their pool's class and a share of it.
@@ -124,32 +125,129 @@ class Lexicon:
         return num, units, np.array(starts, "i8"), rare
 
 
-def _unit_bigrams(train: DataFrame, lexicon: Lexicon, most: int = 4_000_000) -> DataFrame:
-    """``u, v, n``: how often unit v follows unit u in the training texts; summed in the
-    task over ``most`` words, then by a shuffle."""
-    size = lexicon.n_units
+PACKED = "bucket int, pairs int, places binary, beside binary, n binary"
 
-    def summed(keys):
+
+@dataclass(frozen=True)
+class Places:
+    """How units are dealt over buckets: unit ``u`` is number ``u // buckets`` of bucket
+    ``u % buckets``, so units of like frequency go to different buckets. A neighbour is
+    ``2 x other + side``: 0 it follows the unit, 1 it precedes it. A unit that follows
+    itself stands once. At most ``2 x units`` neighbours a unit bound every bucket."""
+
+    units: int
+    buckets: int
+
+    @staticmethod
+    def for_tokens(units: int, tokens: int) -> Places:
+        return Places(units, int(min(8192, max(64, tokens >> 21))))
+
+    @property
+    def each(self) -> int:
+        return -(-self.units // self.buckets)
+
+    def keys(self, u: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys (place and neighbour) and counts of bigrams, seen from both units."""
+        u, v = u.astype("i8"), v.astype("i8")
+        two = u != v
+        unit = np.concatenate((u, v[two]))
+        beside = np.concatenate((2 * v, 2 * u[two] + 1))
+        keys = (unit % self.buckets * self.each + unit // self.buckets) * (2 * self.units) + beside
+        return summed(keys, np.concatenate((n, n[two])))
+
+    def packed(self, keys: np.ndarray, n: np.ndarray, most: int = 1 << 20):
+        """Rows of ``PACKED``, a bucket each; buckets of more than ``most`` pairs in several
+        rows, cut between units."""
+        for bucket, at, to in self._cuts(keys, most):
+            place, beside = np.divmod(keys[at:to], 2 * self.units)
+            parts = np.diff(place, prepend=0).astype("<i4"), beside.astype("<i4"), n[at:to].astype("<i8")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket], pa.int32()), pa.array([to - at], pa.int32()), *(pa.array([pa.compress(x.tobytes(), "zstd", asbytes=True)], pa.binary()) for x in parts)],
+                names=["bucket", "pairs", "places", "beside", "n"],
+            )
+
+    def _cuts(self, keys: np.ndarray, most: int):
+        place = keys // (2 * self.units)
+        first = np.append(np.flatnonzero(np.diff(place, prepend=-1)), len(keys))  # of every unit
+        bucket = place[first[:-1]] // self.each
+        i = 0
+        while i < len(bucket):
+            j = int(min(np.searchsorted(bucket, bucket[i], "right"), max(i + 1, np.searchsorted(first, first[i] + most, "right") - 1)))
+            yield int(bucket[i]), int(first[i]), int(first[j])
+            i = j
+
+    def read(self, batch):
+        """``bucket, place, beside, n`` of every row of a batch of ``PACKED``."""
+        for r in batch.to_pylist():
+            size = r["pairs"]
+            place, beside, n = (np.frombuffer(pa.decompress(r[c], size * w, "zstd"), t) for c, w, t in (("places", 4, "<i4"), ("beside", 4, "<i4"), ("n", 8, "<i8")))
+            yield r["bucket"], np.cumsum(place, dtype="i8"), beside, n
+
+    def unit(self, place: np.ndarray) -> np.ndarray:
+        return place % self.each * self.buckets + place // self.each
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def _neighbours(parts: DataFrame, places: Places, most: int = 4_000_000) -> DataFrame:
+    """Neighbours of all units: rows of ``PACKED`` of many tasks, dealt by bucket and added
+    up, every unit's in one row. A task holds one bucket's sums and ``most`` pairs more."""
+
+    def run(batches):
+        now, held, size = None, [], 0
+
+        def total():
+            return summed(*(np.concatenate(x) for x in zip(*held)))
+
+        for b in batches:
+            for bucket, place, beside, n in places.read(b):
+                if bucket != now and held:
+                    yield from places.packed(*total())
+                    held, size = [], 0
+                now = bucket
+                held.append((place * (2 * places.units) + beside, n))
+                size += len(n)
+                if size > most and len(held) > 1:
+                    held, size = [total()], 0
+        if held:
+            yield from places.packed(*total())
+
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
+    return checkpointed(dealt.mapInArrow(run, PACKED), "unit-neighbours")
+
+
+def _text_neighbours(train: DataFrame, lexicon: Lexicon, places: Places, most: int = 4_000_000) -> DataFrame:
+    """Neighbours in the training texts, summed in the task over ``most`` words and packed
+    in a few rows a bucket, so that no row of the shuffle is a single bigram."""
+
+    def flushed(keys):
         k, n = np.unique(np.concatenate(keys), return_counts=True)
-        for i in range(0, len(k), 1 << 16):
-            at = k[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"u": (at // size).astype("i4"), "v": (at % size).astype("i4"), "n": n[i : i + (1 << 16)]})
+        keys.clear()
+        return places.packed(*places.keys(k // places.units, k % places.units, n))
 
     def run(batches):
         keys, held = [], 0
         for big in batches:
             for b in pieces_of(big):
-                _, units, starts, _ = lexicon.read(raw_texts(b.column(1)))
+                _, units, _, _ = lexicon.read(raw_texts(b.column(1)))
                 before = np.concatenate(([0], units[:-1]))  # each text is closed by unit 0, which opens the next
-                keys.append(before.astype("i8") * size + units)
+                keys.append(before.astype("i8") * places.units + units)
                 held += len(units)
                 if held > most:
-                    yield from summed(keys)
-                    keys, held = [], 0
+                    yield from flushed(keys)
+                    held = 0
         if held:
-            yield from summed(keys)
+            yield from flushed(keys)
 
-    return train.mapInArrow(run, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
+    return _neighbours(train.mapInArrow(run, PACKED), places)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -208,36 +306,49 @@ def all_gains(own: np.ndarray, after: np.ndarray, before: np.ndarray, itself: np
     return total - total[every, own][:, None]
 
 
-def _class_matrix(bigrams: DataFrame, classes: np.ndarray, n: int) -> np.ndarray:
+def _class_matrix(lists: DataFrame, places: Places, classes: np.ndarray, n: int) -> np.ndarray:
     def run(batches):
         total = np.zeros(n * n)
         for b in batches:
-            u, v, k = (c.to_numpy() for c in b.columns)
-            total += np.bincount(classes[u].astype("i8") * n + classes[v], k, n * n)
+            for _, place, beside, k in places.read(b):
+                after = beside & 1 == 0  # each bigram once
+                total += np.bincount(classes[places.unit(place[after])].astype("i8") * n + classes[beside[after] >> 1], k[after], n * n)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"at": at.astype("i4"), "n": total[at].astype("i8")})
 
     out = np.zeros(n * n)
-    for r in bigrams.select("u", "v", "n").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # n x n rows at most
+    for r in lists.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # n x n rows at most
         out[r.at] = r.n
     return out.reshape(n, n)
 
 
+def _half(unit: np.ndarray, step: int) -> np.ndarray:
+    """Whether a unit may move in a round: a bit of a multiplicative hash."""
+    h = (unit.astype("u8") + np.uint64(step << 32)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(40)) & np.uint64(1) == 0
+
+
 def exchange(bigrams: DataFrame, settings: Settings, units: int) -> tuple[np.ndarray, np.ndarray]:
+    """``exchange_lists`` of a table ``u, v, n``: how often unit v follows unit u."""
+    places = Places.for_tokens(units, 0)
+
+    def run(batches):
+        for b in batches:
+            yield from places.packed(*places.keys(*(c.to_numpy() for c in b.columns)))
+
+    return exchange_lists(_neighbours(bigrams.select("u", "v", "n").mapInArrow(run, PACKED), places), settings, places)
+
+
+def exchange_lists(lists: DataFrame, settings: Settings, places: Places) -> tuple[np.ndarray, np.ndarray]:
     """Class of every unit (unit 0, the end token, keeps class 0 to itself) and the class
     bigram counts. Tables on the driver have a row per unit or class, both bounded."""
     n = settings.classes
-    classes = (1 + np.arange(units) % (n - 1)).astype("i4")
+    classes = (1 + np.arange(places.units) % (n - 1)).astype("i4")
     classes[0] = 0
     best, best_matrix, best_value = classes, None, -np.inf
-    # Neighbour 2 x other + side: 0 it follows the unit, 1 it precedes it. A unit that
-    # follows itself stands once, as its own neighbour.
-    both = bigrams.select(F.col("u").alias("unit"), (F.col("v") * 2).alias("beside"), "n").unionAll(
-        bigrams.where("u <> v").select(F.col("v").alias("unit"), (F.col("u") * 2 + 1).alias("beside"), "n")
-    )
-    lists = checkpointed(both.where("unit > 0").groupBy("unit").agg(F.collect_list(F.struct("beside", "n")).alias("around")), "unit-neighbours")
     for step in range(settings.rounds + 1):
-        matrix = _class_matrix(bigrams, classes, n)
+        matrix = _class_matrix(lists, places, classes, n)
         value = likelihood(matrix)
         if value > best_value:
             best, best_matrix, best_value = classes, matrix, value
@@ -245,25 +356,28 @@ def exchange(bigrams: DataFrame, settings: Settings, units: int) -> tuple[np.nda
             break
         now = classes
 
-        def rate(batches, now=now, matrix=matrix):
+        def rate(batches, now=now, matrix=matrix, step=step):
             for big in batches:
-                for b in pieces_of(big, 256):
-                    unit, around = b.column(0).to_numpy(), b.column(1)
-                    row = np.repeat(np.arange(len(unit)), np.diff(around.offsets.to_numpy()))
-                    flat = around.flatten()
-                    beside, k = flat.field("beside").to_numpy(), flat.field("n").to_numpy()
-                    other, side = beside >> 1, beside & 1
-                    loop = other == unit[row]
-                    sides = np.bincount((row * 2 + side) * n + now[other], k * ~loop, len(unit) * 2 * n).reshape(-1, 2, n)
-                    g = all_gains(now[unit], sides[:, 0], sides[:, 1], np.bincount(row, k * loop, len(unit)), matrix)
-                    g[:, 0] = -np.inf
-                    to = g.argmax(1).astype("i4")
-                    moved = g.max(1) > 1e-9
-                    yield pa.RecordBatch.from_pydict({"unit": unit[moved], "c": to[moved]})
+                for _, place, beside, k in places.read(big):
+                    whose = places.unit(place)
+                    mine = (whose > 0) & _half(whose, step)
+                    whose, beside, k = whose[mine], beside[mine], k[mine]
+                    starts = np.append(np.flatnonzero(np.diff(whose, prepend=-1)), len(whose))
+                    for i in range(0, len(starts) - 1, 256):
+                        edge = starts[i : i + 257]
+                        at = slice(edge[0], edge[-1])
+                        unit, row = whose[edge[:-1]], np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+                        other, side = beside[at] >> 1, beside[at] & 1
+                        loop = other == unit[row]
+                        sides = np.bincount((row * 2 + side) * n + now[other], k[at] * ~loop, len(unit) * 2 * n).reshape(-1, 2, n)
+                        g = all_gains(now[unit], sides[:, 0], sides[:, 1], np.bincount(row, k[at] * loop, len(unit)), matrix)
+                        g[:, 0] = -np.inf
+                        to = g.argmax(1).astype("i4")
+                        moved = g.max(1) > 1e-9
+                        yield pa.RecordBatch.from_pydict({"unit": unit[moved].astype("i4"), "c": to[moved]})
 
         classes = classes.copy()
-        half = lists.where(F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(2)) == 0)
-        for r in half.mapInArrow(rate, "unit int, c int").collect():
+        for r in lists.mapInArrow(rate, "unit int, c int").collect():
             classes[r.unit] = r.c
         if (classes == now).all():
             break
@@ -282,8 +396,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     top = most_frequent(words, settings.lexicon).collect()  # bounded by the setting
     lexicon = Lexicon([bytes(r.word) for r in top], [r.n for r in top], ends, settings)
 
-    bigrams = checkpointed(_unit_bigrams(train, lexicon), "unit-bigrams")
-    classes, matrix = exchange(bigrams, settings, lexicon.n_units)
+    places = Places.for_tokens(lexicon.n_units, total)
+    classes, matrix = exchange_lists(_text_neighbours(train, lexicon, places), settings, places)
     n = settings.classes
     class_of_unit = classes.astype("i4")
 

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm.bpe_transducer import Transducer, Utf8Stream, decode_documents, encode_documents, read_ranks
-from quire.llm.brown_classes import Lexicon, Settings, all_gains, exchange, gains, likelihood, score_documents
+from quire.llm.brown_classes import PACKED, Lexicon, Places, Settings, _neighbours, all_gains, exchange, gains, likelihood, score_documents
 from quire.llm.cost_packing import pack_documents, pack_lengths
 from quire.llm.license_diagonals import scan_licenses
 from quire.llm.phrase_automata import dedup_substrings, occurrences, without_repeats
@@ -131,6 +131,31 @@ def test_words_beyond_the_most_frequent_are_exchanged(spark):
     assert sum(min(even[c], odd[c]) for c in range(5)) < 300
 
 
+def test_packed_neighbours_are_the_sums_of_all_bigrams(spark):
+    """Repeated bigrams of many tasks add up; a unit with most pairs stays in one row."""
+    rng = random.Random(8)
+    rows = [(0 if rng.random() < 0.4 else rng.randrange(500), rng.randrange(500), rng.choice([1, 7, 1 << 40])) for _ in range(6000)] + [(3, 3, 5)] * 2
+    places = Places(500, 7)
+
+    def run(batches):
+        for b in batches:
+            yield from places.packed(*places.keys(*(c.to_numpy() for c in b.columns)), most=50)
+
+    lists = _neighbours(spark.createDataFrame(rows, "u int, v int, n long").repartition(5).mapInArrow(run, PACKED), places, most=100)
+    want = Counter()
+    for u, v, n in rows:
+        want[u, 2 * v] += n
+        if u != v:
+            want[v, 2 * u + 1] += n
+    got, homes = {}, {}
+    for i, r in enumerate(lists.toArrow().to_batches()):
+        for j, (_, place, beside, n) in enumerate(places.read(r)):
+            for u, b, k in zip(places.unit(place).tolist(), beside.tolist(), n.tolist()):
+                assert (u, b) not in got and homes.setdefault(u, (i, j)) == (i, j)
+                got[u, b] = k
+    assert got == dict(want)
+
+
 # ---------------------------------------------------------------- SimHash
 
 
