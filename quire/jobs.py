@@ -55,7 +55,7 @@ def build_corpus(
     targets = mx.source_table(spark, config)
     targets = mx.allocate_targets(targets, config.train_tokens, "train_target")
     targets = checkpointed(mx.allocate_targets(targets, config.val_tokens, "val_target"), "corpus-targets")
-    plan = checkpointed(mx.plan_mixture(light, targets, seed=seed, materialize=True), "corpus-plan")
+    plan = checkpointed(mx.plan_mixture(light, targets, seed=seed), "corpus-plan")
     report = checkpointed(mx.mix_report(plan, targets), "corpus-report")
     mx.enforce_shortage_policy(report, shortage)
     pieces = mx.assign_shards(plan, mx.shard_sizes(config))

@@ -13,6 +13,7 @@ Columns of the *plan* (one row per emitted document):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from quire.config import DataMixConfig, shares, val_shard_size
 from quire.functions.hashing import hex_bucket, order_key
+from quire.plans.materialize import checkpointed
 from quire.plans.prefix import exclusive_prefix_sums
 
 SPLITS = ("val", "train")
@@ -105,40 +107,83 @@ def source_order(docs: DataFrame, seed: int, digits: int = 3) -> DataFrame:
     return docs.withColumn("skey", key).withColumn("sbucket", hex_bucket(F.col("skey"), digits))
 
 
-def take_budget(docs: DataFrame, targets: DataFrame, seed: int, digits: int = 3) -> DataFrame:
-    """Per source, in seeded order: exclusive running token sum ``cum``; val takes
-    documents while ``cum < val_target``; train restarts the sum after the last val
-    document and takes documents while the restarted sum is below ``train_target``.
-    The last document of each split is cut to the remaining budget (its tail is
-    dropped, so splits stay document-disjoint). Adds ``split, cum, n_written`` and
-    keeps only selected documents."""
-    ordered = source_order(docs, seed, digits)
-    ranked = exclusive_prefix_sums(ordered, ["source"], "sbucket", ["skey", "doc_id"], {"src_cum": "n_tokens"})
-    small = targets.select("source", "train_target", "val_target")
-    with_t = ranked.join(F.broadcast(small), "source", "inner")  # bounded: one row per configured source
+def budget_buckets(docs: DataFrame, targets: DataFrame, seed: int, digits: int = 3, most_rows: int = 1 << 22) -> tuple[int, DataFrame]:
+    """The order buckets that can hold a document of a source's budget, found from bucket
+    totals and written once: ``source, sbucket``, ``__first`` and ``__after`` (tokens of the
+    source before and up to the end of the bucket), both targets and ``__val_end`` (the end
+    of the bucket in which val fills, so the last val document ends by there). Buckets get
+    more digits until none has over ``most_rows`` documents. Returns the digits, too."""
+    while True:
+        keyed = source_order(docs, seed, digits)
+        sums = keyed.groupBy("source", "sbucket").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("__tokens"), F.count(F.lit(1)).alias("__rows"))
+        totals = checkpointed(sums, "budget-totals")
+        fullest = totals.agg(F.max("__rows")).first()[0] or 0
+        if fullest <= most_rows or digits >= 7:
+            break
+        digits = min(7, digits + 1 + int(math.log(fullest / most_rows, 16)))
+    source = Window.partitionBy("source")
+    before = F.sum("__tokens").over(source.orderBy("sbucket").rowsBetween(Window.unboundedPreceding, -1))
+    # bounded: one row per configured source
+    small = F.broadcast(targets.select("source", "train_target", "val_target"))
+    spans = totals.withColumn("__first", F.coalesce(before, F.lit(0))).withColumn("__after", F.col("__first") + F.col("__tokens")).join(small, "source")
+    val_end = F.max(F.when(F.col("__first") < F.col("val_target"), F.col("__after"))).over(source)
+    spans = spans.withColumn("__val_end", F.coalesce(val_end, F.lit(0)))
+    train = (F.col("train_target") > 0) & (F.col("__first") < F.col("__val_end") + F.col("train_target"))
+    return digits, checkpointed(spans.where((F.col("__first") < F.col("val_target")) | train).drop("__tokens", "__rows"), "budget-buckets")
+
+
+def _running(rows: DataFrame) -> DataFrame:
+    """``src_cum``: tokens of earlier documents of the source, summed inside a bucket."""
+    within = Window.partitionBy("source", "sbucket").orderBy("skey", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("src_cum", F.col("__first") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).drop("__first", "__after", "__val_end")
+
+
+def _split(ranked: DataFrame) -> DataFrame:
+    """Rows with ``src_cum`` and targets → those selected, with ``split, cum, target, n_written``."""
     is_val = (F.col("val_target") > 0) & (F.col("src_cum") < F.col("val_target"))
-    with_t = with_t.withColumn("__is_val", is_val)
-    consumed = with_t.where("__is_val").groupBy("source").agg(
-        F.max(F.col("src_cum") + F.col("n_tokens")).alias("val_consumed")
-    )
-    joined = with_t.join(F.broadcast(consumed), "source", "left").fillna(0, ["val_consumed"])
+    consumed = ranked.where(is_val).groupBy("source").agg(F.max(F.col("src_cum") + F.col("n_tokens")).alias("val_consumed"))
+    joined = ranked.join(F.broadcast(consumed), "source", "left").fillna(0, ["val_consumed"])
     train_cum = F.col("src_cum") - F.col("val_consumed")
-    split = (
-        F.when(F.col("__is_val"), F.lit("val"))
-        .when((F.col("train_target") > 0) & (train_cum >= 0) & (train_cum < F.col("train_target")), F.lit("train"))
-    )
-    cum = F.when(F.col("__is_val"), F.col("src_cum")).otherwise(train_cum)
-    target = F.when(F.col("__is_val"), F.col("val_target")).otherwise(F.col("train_target"))
+    is_train = (F.col("train_target") > 0) & (train_cum >= 0) & (train_cum < F.col("train_target"))
     return (
-        joined.withColumn("split", split)
+        joined.withColumn("split", F.when(is_val, F.lit("val")).when(is_train, F.lit("train")))
         .where(F.col("split").isNotNull())
-        .withColumn("cum", cum)
-        .withColumn("target", target)
+        .withColumn("cum", F.when(is_val, F.col("src_cum")).otherwise(train_cum))
+        .withColumn("target", F.when(is_val, F.col("val_target")).otherwise(F.col("train_target")))
         .withColumn("n_written", F.least(F.col("n_tokens"), F.col("target") - F.col("cum")))
-        .drop("__is_val", "val_consumed")
+        .drop("val_consumed")
     )
 
 
+def take_budget(docs: DataFrame, targets: DataFrame, seed: int, digits: int = 3, most_rows: int = 1 << 22) -> DataFrame:
+    """Per source, in seeded order: exclusive running token sum ``cum``; val takes
+    documents while ``cum < val_target``; train restarts the sum after the last val
+    document and takes documents while the restarted sum is below ``train_target``.
+    The last document of each split is cut to the remaining budget (its tail is
+    dropped, so splits stay document-disjoint). Adds ``split, cum, n_written`` and
+    keeps only selected documents.
+
+    Reads ``docs`` twice: for bucket totals, and for the documents of the buckets the budget
+    reaches; only these are shuffled and sorted, bucket by bucket, and written once."""
+    digits, buckets = budget_buckets(docs, targets, seed, digits, most_rows)
+    rows = source_order(docs, seed, digits).join(buckets, ["source", "sbucket"])
+    return _split(checkpointed(_running(rows), "budget-rows"))
+
+
+def select_budget(docs: DataFrame, targets: DataFrame, seed: int, digits: int = 3, most_rows: int = 1 << 22) -> DataFrame:
+    """The documents of ``take_budget`` with ``split, n_written`` but without running sums:
+    buckets that lie wholly inside a split are taken unsorted by a join with the bucket
+    table, and only those in which a split can end (a few per source) are sorted."""
+    digits, buckets = budget_buckets(docs, targets, seed, digits, most_rows)
+    in_val = F.col("__after") < F.col("val_target")
+    in_train = (F.col("__first") >= F.col("__val_end")) & (F.col("__after") < F.col("val_target") + F.col("train_target"))
+    rows = source_order(docs, seed, digits).join(buckets.withColumn("split", F.when(in_val, F.lit("val")).when(in_train, F.lit("train"))), ["source", "sbucket"])
+    columns = [*docs.columns, "split", "n_written"]
+    edge = checkpointed(_running(rows.where(F.col("split").isNull()).drop("split")), "budget-edge")
+    whole = rows.where(F.col("split").isNotNull()).withColumn("n_written", F.col("n_tokens"))
+    return whole.select(columns).unionByName(_split(edge).select(columns))
+
+
 def interleave(selected: DataFrame, seed: int, buckets: int = 4096) -> DataFrame:
     """Global stream order per split: ``progress = cum / target``, ties by a seeded
     hash. Adds ``progress, tiebreak, seq`` (1-based position) and ``stream_offset`` (first
@@ -154,19 +199,10 @@ def interleave(selected: DataFrame, seed: int, buckets: int = 4096) -> DataFrame
     return out.withColumn("seq", F.col("seq") + 1).drop("pbucket")
 
 
-def plan_mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, digits: int = 3, buckets: int = 4096,
-                 materialize: bool = False) -> DataFrame:
-    """``docs(source, doc_id, n_tokens, …)`` → the emitted-document plan.
-
-    With ``materialize=True`` the selected documents are checkpointed before the
-    global ordering pass, so the per-source pass is not recomputed by the second
-    prefix sum (pass ``docs`` already checkpointed, see ``quire.plans.materialize``)."""
-    selected = take_budget(docs, targets, seed, digits)
-    if materialize:
-        from quire.plans.materialize import checkpointed
-
-        selected = checkpointed(selected)
-    return interleave(selected, seed, buckets)
+def plan_mixture(docs: DataFrame, targets: DataFrame, seed: int = 42, digits: int = 3, buckets: int = 4096) -> DataFrame:
+    """``docs(source, doc_id, n_tokens, …)`` → the emitted-document plan. ``docs`` is read
+    twice: pass it checkpointed (``quire.plans.materialize``) where it is costly."""
+    return interleave(take_budget(docs, targets, seed, digits), seed, buckets)
 
 
 def shard_sizes(mix: DataMixConfig) -> dict[str, int]:
@@ -300,8 +336,6 @@ def plan_with_prefilter(light: DataFrame, targets: DataFrame, tokenize, seed: in
     is checked on a one-row-per-source table. The margin doubles until it holds; after
     ``widenings`` the whole source is tokenized, which is always right. The tokenized
     prefix is written once to the checkpoint folder."""
-    from quire.plans.materialize import checkpointed
-
     n_all = light.groupBy("source").agg(F.count(F.lit(1)).alias("__n_all"))
     for k in range(widenings + 1):
         kept = budget_prefilter(light, targets, seed, est_col, margin * 2.0**k, digits) if k < widenings else light

@@ -46,7 +46,7 @@ def targets(spark: SparkSession, sf: str, docs: DataFrame | None = None) -> Data
 
 def plan(spark: SparkSession, sf: str) -> DataFrame:
     docs = byte_docs(spark, sf)
-    return mx.plan_mixture(docs, targets(spark, sf, docs), seed=SEED, materialize=True)
+    return mx.plan_mixture(docs, targets(spark, sf, docs), seed=SEED)
 
 
 def q_scan_corpus(spark, sf):
@@ -87,13 +87,13 @@ def q_take_budget(spark, sf):
 
 def q_truncate_last(spark, sf):
     docs = byte_docs(spark, sf)
-    sel = mx.take_budget(docs, targets(spark, sf, docs), SEED)
+    sel = mx.select_budget(docs, targets(spark, sf, docs), SEED)
     return sel.where(F.col("n_written") < F.col("n_tokens")).select("split", "source", "doc_id", "n_tokens", "n_written")
 
 
 def q_split_val_train(spark, sf):
     docs = byte_docs(spark, sf)
-    sel = mx.take_budget(docs, targets(spark, sf, docs), SEED)
+    sel = mx.select_budget(docs, targets(spark, sf, docs), SEED)
     return sel.groupBy("split", "source").agg(
         F.count(F.lit(1)).alias("documents"),
         F.sum("n_written").alias("tokens"),
@@ -122,26 +122,27 @@ def q_shard_manifest(spark, sf):
 def q_mix_report(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    return mx.mix_report(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t)
+    return mx.mix_report(mx.select_budget(docs, t, SEED), t)
 
 
 def q_shortage_check(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    rep = mx.shortage_check(mx.mix_report(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t))
+    rep = mx.shortage_check(mx.mix_report(mx.select_budget(docs, t, SEED), t))
     return rep.select("source", "train_short", "val_short")
 
 
 def q_mix_drift(spark, sf):
     docs = byte_docs(spark, sf)
     t = targets(spark, sf, docs)
-    d = mx.mix_drift(mx.plan_mixture(docs, t, seed=SEED, materialize=True), t)
+    d = mx.mix_drift(mx.select_budget(docs, t, SEED), t)
     return d.select("split", "source", "tokens", F.round(F.col("actual_share") * 1e6).cast("long").alias("actual_ppm"),
                     F.round(F.col("share") * 1e6).cast("long").alias("weight_ppm"))
 
 
 def q_token_stats(spark, sf):
-    return mx.token_stats(plan(spark, sf))
+    docs = byte_docs(spark, sf)
+    return mx.token_stats(mx.select_budget(docs, targets(spark, sf, docs), SEED))
 
 
 def q_chain_sources(spark, sf):
