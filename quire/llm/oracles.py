@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quire.llm.license_diagonals import COVERAGE, LOWER, MIN_VOTES, NEAR, UPPER, templates
+from quire.llm.license_diagonals import COVERAGE, LOWER, UPPER, band_width, templates
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 LETTERS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -42,27 +42,21 @@ FROM embeddings e LEFT JOIN n ON n.u = e.vec_id LEFT JOIN c ON c.u = e.vec_id"""
 
 def licenses_sql() -> str:
     rows = ", ".join(
-        f"({i}, '{label}', {str(phrase).lower()}, {len(w) - 1}, {at}, '{a}', '{b}')"
+        f"({i}, '{label}', {str(phrase).lower()}, {len(w) - 1}, CAST({band_width(phrase, len(w))} AS DOUBLE), {at}, '{a}', '{b}')"
         for i, label, phrase, w in templates()
         for at, (a, b) in enumerate(zip(w, w[1:]))
     )
     return f"""
-WITH tp AS (SELECT * FROM (VALUES {rows}) AS t(template, label, phrase, pairs, t, a, b)),
+WITH tp AS (SELECT * FROM (VALUES {rows}) AS t(template, label, phrase, pairs, width, t, a, b)),
 d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {LETTERS}) AS w
   FROM documents),
 p AS (SELECT r, i - 1 AS place, w[i] AS a, w[i + 1] AS b FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM d)),
-h AS (
-  SELECT r, template, label, phrase, pairs, place - t AS diagonal, count(*) AS votes
-  FROM p JOIN tp USING (a, b) GROUP BY ALL),
-k AS (
-  SELECT *, CASE WHEN phrase OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {NEAR}, true) THEN 1 ELSE 0 END AS opens
-  FROM h WHERE CASE WHEN phrase THEN votes = pairs ELSE votes >= {MIN_VOTES} END),
-s AS (SELECT *, sum(opens) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM k),
-f AS (
-  SELECT r, label, phrase, min(diagonal) AS place, least(1.0, CAST(sum(votes) AS DOUBLE) / first(pairs)) AS coverage
-  FROM s GROUP BY r, template, label, phrase, span),
-g AS (SELECT * FROM f WHERE phrase OR coverage >= {COVERAGE})
+h AS (SELECT r, template, label, phrase, pairs, width, t, place - t AS diagonal FROM p JOIN tp USING (a, b)),
+c AS (
+  SELECT *, CAST(count(DISTINCT t) OVER (PARTITION BY r, template ORDER BY diagonal / width RANGE BETWEEN CURRENT ROW AND 1.0 FOLLOWING) AS DOUBLE) / pairs AS coverage
+  FROM h),
+g AS (SELECT DISTINCT r, template, label, phrase, diagonal AS place, coverage FROM c WHERE coverage >= CASE WHEN phrase THEN 1.0 ELSE {COVERAGE} END)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        CAST(count(g.place) FILTER (WHERE g.phrase) AS BIGINT) AS n_base,
        CAST(min(g.place) FILTER (WHERE g.phrase) AS BIGINT) AS first_word,

@@ -1,6 +1,7 @@
 """Operators on texts against plain-Python statements of their contracts."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,10 +14,10 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quire.llm.bpe_transducer import Transducer, Utf8Stream, decode_documents, encode_documents, read_ranks
+from quire.llm.bpe_transducer import Lockstep, Transducer, Utf8Stream, decode_documents, encode_documents, read_ranks
 from quire.llm.brown_classes import PACKED, Lexicon, Places, Settings, _neighbours, all_gains, exchange, gains, likelihood, score_documents
 from quire.llm.cost_packing import pack_documents, pack_lengths
-from quire.llm.license_diagonals import scan_licenses
+from quire.llm.license_diagonals import scan_licenses, templates
 from quire.llm.phrase_automata import dedup_substrings, occurrences, without_repeats
 from quire.llm.simhash_pivots import block_masks, keep_one_per_group, near_duplicates
 
@@ -217,6 +218,29 @@ def test_transducer_equals_the_library(spark):
         assert np.frombuffer(machine.encode(piece), "<u4").tolist() == lib._encode_single_piece(piece)
 
 
+def test_states_that_share_a_hash_stay_apart(monkeypatch):
+    import tiktoken
+
+    weak = Lockstep._name
+    monkeypatch.setattr(Lockstep, "_name", staticmethod(lambda *a: weak(*a) & 15))
+    ranks, rng = read_ranks(MULTI), random.Random(9)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pieces = [bytes(rng.choice(b"aeinrst ") for _ in range(rng.randint(1, 30))) for _ in range(120)]
+    found = Lockstep(Transducer(ranks)).encode(pieces)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [lib._encode_single_piece(p) for p in pieces]
+
+
+def test_one_very_long_piece_in_bounded_memory():
+    import tiktoken
+
+    ranks, rng = read_ranks(MULTI), random.Random(10)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    machine = Transducer(ranks, limit=2000)
+    piece = bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(60_000))
+    assert np.frombuffer(machine.encode(piece), "<u4").tolist() == lib._encode_single_piece(piece)
+    assert len(machine.moves) <= 2000 and len(machine.final) <= 2002
+
+
 def test_encode_and_decode_round_trip(edge_docs, edge_rows, no_docs):
     import tiktoken
 
@@ -270,6 +294,41 @@ def test_edited_notice_is_found_over_neighbouring_diagonals(spark):
     assert out[2].labels == "" and out[2].score == 0 and out[2].first_word is None
 
 
+def test_a_notice_split_by_words_put_in_is_found_and_repeated_pieces_are_not(spark):
+    split = "Permission is hereby granted, free of charge, by the holders named below here, to any person obtaining a copy of this software and files"
+    pieces = "free of charge " * 4 + "of this software " * 3 + "to any person " * 2 + "hereby granted"
+    docs = spark.createDataFrame([(1, split), (2, pieces)], "doc_id long, text string")
+    out = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    assert out[1].labels == "mit"
+    assert out[2].labels == "" and out[2].score == 0
+
+
+def test_bands_equal_brute_force(spark):
+    rng, ts = random.Random(6), templates()
+    texts = []
+    for _ in range(60):
+        w = []
+        for _ in range(rng.randint(0, 4)):
+            _, _, _, t = rng.choice(ts)
+            a = rng.randrange(len(t))
+            w += [x for x in t[a : a + rng.randint(2, len(t))] if rng.random() < 0.93] + [rng.choice(["of", "this", "copy", "zz"]) for _ in range(rng.randint(0, 9))]
+        texts.append(" ".join(w))
+    want = []
+    for i, text in enumerate(texts):
+        w, labels, score = text.split(), set(), 0.0
+        for _, label, phrase, t in ts:
+            hits = [(p - k, k) for p in range(len(w) - 1) for k in range(len(t) - 1) if w[p : p + 2] == t[k : k + 2]]
+            wide = 0 if phrase else max(4, 2 ** int(math.log2(max(1, (len(t) - 1) // 2))))
+            best = max([len({k for e, k in hits if d <= e <= d + wide}) / (len(t) - 1) for d, _ in hits], default=0)
+            if best >= (1 if phrase else 0.6):
+                labels.add(label)
+                score = max(score, best)
+        want.append((i, ",".join(sorted(labels)), score))
+    out = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.labels, r.score) for r in out) == want
+    assert sum(bool(x) for _, x, _ in want) > 10
+
+
 # ---------------------------------------------------------------- packing
 
 
