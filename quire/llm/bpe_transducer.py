@@ -66,13 +66,20 @@ class Transducer:
         self._fits: dict[int, bool] = {}
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, state: int = 0) -> int:
+        """Forget all states but the first and ``state``, which gets the number returned."""
+        kept = (self._configurations[state], self.final[state]) if state else None
         self._configurations = [((0, -1, ()),)]
         self._number = {0: 0}
         self.final: list[bytes] = [b""]
         self.moves: dict[int, tuple[int, bytes]] = {}
         if len(self._fits) > self.limit:
             self._fits.clear()
+        if kept is None:
+            return 0
+        self._configurations.append(kept[0])
+        self.final.append(kept[1])
+        return 1
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The pair whose merge makes the token; None for a byte. A token that merging
@@ -163,14 +170,19 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token stands for itself
             return self.packed[whole]
-        if len(self.moves) > self.limit:
-            self._forget()
-        state, out, moves = 0, b"", self.moves.get
+        state, out, moves = 0, [], self.moves.get
         for b in piece:
-            state, sure = moves(state << 8 | b) or self._move(state, b)
+            move = moves(state << 8 | b)
+            if move is None:
+                if len(self.moves) >= self.limit:  # inside a piece, too: memory stays bounded
+                    state = self._forget(state)
+                    moves = self.moves.get
+                move = self._move(state, b)
+            state, sure = move
             if sure:
-                out += sure
-        return out + self.final[state]
+                out.append(sure)
+        out.append(self.final[state])
+        return b"".join(out)
 
 
 class Lockstep:
@@ -254,9 +266,20 @@ class Lockstep:
         self.count = np.concatenate((self.count, count[took]))
         self.node, self.before = np.concatenate((self.node, node[rows])), np.concatenate((self.before, before[rows]))
         self.state_key, self.state = np.insert(self.state_key, at[new], keys[new]), np.insert(self.state, at[new], number[new])
+        number = number[of]
+        # Equal hashes are no proof: the configurations are compared, and a state that only
+        # shares another's hash gets a number of its own.
+        other = self.first[number][owner] + np.arange(len(node)) - first[owner]
+        other = np.minimum(other, len(self.node) - 1)
+        same = np.logical_and.reduceat((self.node[other] == node) & (self.before[other] == before), first) & (self.count[number] == count)
+        for k in np.flatnonzero(~same).tolist():
+            number[k] = len(self.first)
+            rows = slice(first[k], first[k] + count[k])
+            self.first, self.count = np.append(self.first, len(self.node)), np.append(self.count, count[k])
+            self.node, self.before = np.append(self.node, node[rows]), np.append(self.before, before[rows])
         at = np.searchsorted(self.move_key, moves)
         self.move_key = np.insert(self.move_key, at, moves)
-        self.move_to, self.move_token = np.insert(self.move_to, at, number[of]), np.insert(self.move_token, at, opened)
+        self.move_to, self.move_token = np.insert(self.move_to, at, number), np.insert(self.move_token, at, opened)
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece (not empty, at most ``LONGEST`` bytes), packed as ``<u4``."""
