@@ -62,15 +62,16 @@ def simhash(words: list[bytes], shingle: int) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long)."""
+    """``doc_id, text_key, fp`` (a hash of the text; the fingerprint's 64 bits as a signed long)."""
 
     def run(batches):
         for big in batches:
             for b in pieces_of(big):
                 fps = np.array([simhash(lower_words(t), shingle) for t in raw_texts(b.column(1))], "u8")
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view("i8"))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view("i8"))], names=["doc_id", "text_key", "fp"])
 
-    return documents(df, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    keyed = documents(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return keyed.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def block_masks(max_bits: int, agree: int = 3) -> list[int]:
@@ -187,26 +188,40 @@ def links(fps: DataFrame, max_bits: int = 3, tile: int = TILE) -> DataFrame:
     return units.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3
-) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint`` (16 hex digits) and
-    ``component_id``, the smallest ``doc_id`` reachable over links."""
-    docs = checkpointed(fingerprints(df, id_col, text_col, shingle), "fp")
+def _components(docs: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, component`` (a fingerprint that names the component), ``component_id``."""
     distinct = docs.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     components = connected_components(links(docs.select("fp").distinct(), max_bits))
     whole = distinct.join(components, distinct.fp == components.node, "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
     smallest = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = checkpointed(whole.join(smallest, "component").select("fp", "component_id"), "fp-components")
+    return checkpointed(whole.join(smallest, "component").select("fp", "component", "component_id"), "fp-components")
+
+
+def near_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3
+) -> DataFrame:
+    """One row per document: ``doc_id, fingerprint`` (16 hex digits) and
+    ``component_id``, the smallest ``doc_id`` reachable over links."""
+    docs = checkpointed(fingerprints(df, id_col, text_col, shingle), "fp")
+    named = _components(docs, max_bits)
     return docs.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of its component (all columns kept).
-    Rows that repeat that id all stay; a null id stays only where its component has no
-    other."""
-    found = near_duplicates(df, id_col, text_col, shingle, max_bits)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return df.join(kept, df[id_col].cast("long").eqNullSafe(kept["__kept"]), "left_semi")
+    """One row of each component (all columns kept): that of the smallest id, of rows that
+    repeat this id the one with the smallest text hash, of rows that repeat the text as well
+    any one. Rows that repeat an id with a text of another component are judged apart. A null
+    id stays only where its component has no other."""
+    docs = checkpointed(fingerprints(df, id_col, text_col, shingle), "fp")
+    copies = docs.join(_components(docs, max_bits), "fp").groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n")).alias("first")
+    kept = copies.groupBy("component").agg(first).select(F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"), F.col("first.n").alias("__n"))
+    kept = checkpointed(kept, "simhash-kept")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key"))
+    once = df.join(kept.where("__n = 1"), same, "left_semi")
+    again = kept.where("__n > 1")
+    if again.isEmpty():
+        return once
+    return once.unionByName(df.join(again, same).dropDuplicates(["__id", "__key"]).select(df.columns))

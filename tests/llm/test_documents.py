@@ -204,6 +204,14 @@ def test_simhash_empty_and_kept_columns(no_docs, edge_docs):
     assert 0 in ids and 1 not in ids and 19 not in ids and 7 in ids
 
 
+def test_one_row_of_a_group_stays_when_ids_repeat(spark):
+    a, b, c = ("alpha beta gamma delta " * 30, "one two three four five " * 30, "sun moon star sky cloud rain " * 30)
+    rows = [(3, a, "x"), (9, a, "x"), (9, b, "x"), (9, b, "y"), (None, c, "x"), (None, c, "x"), (None, a, "x"), (12, b, "z")]
+    kept = keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string, fp string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, a), (9, b), (None, c)], key=str)
+    assert kept.columns == ["doc_id", "text", "fp"]
+
+
 # ---------------------------------------------------------------- BPE
 
 
