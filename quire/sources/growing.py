@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from quire.sources.metrics import METRIC_SCHEMA, normalize_log, run_key_from_path
+from quire.sources.metrics import LINE_SCHEMA, METRIC_SCHEMA, normalize_log, run_key
 
 SCHEMA = "path string, position long, value string"
 HEAD, BLOCK, ROWS = 64, 1 << 16, 4096
@@ -179,8 +179,10 @@ class GrowingLines(DataSource):
 def parsed_metrics(lines: DataFrame) -> DataFrame:
     """``growing_lines`` rows → metric log rows; a line that isn't JSON gives nulls, as in
     ``read_metrics``."""
-    row = F.from_json("value", METRIC_SCHEMA, {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
-    return normalize_log(lines.select(row.alias("r"), "path").select("r.*", run_key_from_path(F.col("path")).alias("run_id")))
+    row = F.from_json("value", LINE_SCHEMA, {"allowNonNumericNumbers": "true", "mode": "PERMISSIVE"})
+    fields = [F.col("r").getField(f.name).alias(f.name) for f in METRIC_SCHEMA.fields]
+    run = run_key(F.col("r").getField("run_id"), F.col("path")).alias("run_id")
+    return normalize_log(lines.select(row.alias("r"), "path").select(*fields, run))
 
 
 def read_growing_metrics_stream(spark: SparkSession, path: str, split_bytes: int = 16 << 20) -> DataFrame:

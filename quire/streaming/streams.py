@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.sources.corpus import clean_corpus
-from quire.sources.metrics import METRIC_SCHEMA, normalize_log, run_key_from_path
+from quire.sources.metrics import LINE_SCHEMA, normalize_log, run_key
 
 
 def read_corpus_stream(spark: SparkSession, path: str, schema, source_col: str = "source", id_col: str = "doc_id",
@@ -44,7 +44,7 @@ def stream_corpus(docs: DataFrame, tokenizer, out_path: str, checkpoint: str, tr
 
 def read_metrics_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = (
-        spark.readStream.schema(METRIC_SCHEMA)
+        spark.readStream.schema(LINE_SCHEMA)
         .option("allowNonNumericNumbers", "true")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json*")
@@ -52,7 +52,7 @@ def read_metrics_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.json(path)
-    return normalize_log(df.withColumn("run_id", run_key_from_path(F.col("_metadata.file_path"))))
+    return normalize_log(df.withColumn("run_id", run_key("run_id", F.col("_metadata.file_path"))))
 
 
 def stream_metrics(log_stream: DataFrame, out_path: str, checkpoint: str, trigger_available_now: bool = True) -> StreamingQuery:

@@ -6,11 +6,13 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.operators import scoring as sc
 from quire.sources import shards as sh
 from quire.sources.eval_results import read_eval_results, write_eval_results
-from quire.sources.metrics import read_metrics
+from quire.sources.growing import read_growing_metrics
+from quire.sources.metrics import METRIC_SCHEMA, read_metrics, write_metrics
 from quire.streaming import streams as st
 
 
@@ -203,3 +205,19 @@ def test_a_shorter_write_leaves_no_stale_shards_and_append_is_refused(spark, tmp
     with pytest.raises(Exception, match="overwrite"):
         pieces(1).write.format("token_shards").option("prefix", "train").mode("append").save(str(tmp_path))
     assert len(json.load(open(tmp_path / "train_manifest.json"))) == 2
+
+
+def test_metric_logs_take_a_file_per_task_not_per_run(spark):
+    names = [f"run_{i}" for i in range(40)] + ["a/b:c", None]
+    rows = [(r, "train", "2025-01-01T00:00:00", i, float(i)) for i, r in enumerate(names) for _ in range(2)]
+    log = spark.createDataFrame(rows, "run_id string, event string, timestamp string, step long, loss double").repartition(3)
+    log = log.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in METRIC_SCHEMA.fields if f.name not in log.columns])
+    d = os.path.join(_tmp(), "logs")
+    write_metrics(log, d, mode="overwrite")
+    assert len([f for _, _, fs in os.walk(d) for f in fs if f.endswith(".json")]) <= 3
+    os.makedirs(os.path.join(d, "run_id=old"))  # a folder per run, as written before, is still read
+    with open(os.path.join(d, "run_id=old", "part-0.json"), "w") as fh:
+        fh.write(json.dumps({"event": "train", "timestamp": "2025-01-01T00:00:00", "step": 7, "loss": 7.0}) + "\n")
+    want = sorted([(r or "__HIVE_DEFAULT_PARTITION__", i) for i, r in enumerate(names)] * 2 + [("old", 7)])
+    for back in (read_metrics(spark, d), read_growing_metrics(spark, d)):
+        assert sorted((r.run_id, r.step) for r in back.select("run_id", "step").collect()) == want
