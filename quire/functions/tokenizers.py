@@ -12,8 +12,11 @@ packing) and an *encode* Column returning ``array<int>``.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,7 @@ from quire.config import BOS_ID, EOS_ID
 from quire.functions.text import PY_WHITESPACE, PY_WHITESPACE_CLASS, col_of
 
 BYTE_OFFSET = 4  # ids 0..3 are the special tokens
+BLOCK = 1 << 20  # bytes of text, or ids, that are turned at once
 
 
 def _as_plain_binary(texts: pa.Array) -> pa.Array:
@@ -31,14 +35,32 @@ def _as_plain_binary(texts: pa.Array) -> pa.Array:
     return arr
 
 
+def blocks_of(array: pa.Array, size: int = 0) -> Iterator[pa.Array]:
+    """Slices of a string, binary or list array with at most about ``size`` bytes of text or
+    list values each (one row at least)."""
+    size = size or BLOCK
+    if isinstance(array, pa.ChunkedArray):
+        array = array.combine_chunks()
+    listed = pa.types.is_list(array.type) or pa.types.is_large_list(array.type)
+    lengths = pc.list_value_length(array) if listed else pc.binary_length(array)
+    ends = np.cumsum(np.asarray(pc.fill_null(lengths, 0)), dtype="i8")
+    i = 0
+    while i < len(array):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right")))
+        yield array.slice(i, j - i)
+        i = j
+
+
 def byte_encode_arrow(texts: pa.Array, template: bool, offset: int = BYTE_OFFSET) -> pa.Array:
     """UTF-8 bytes + ``offset``, optionally wrapped as ``[bos] ... [eos]``, as ``list<int32>``."""
     arr = _as_plain_binary(texts)
     n = len(arr)
     offsets = np.frombuffer(arr.buffers()[1], dtype=np.int64, count=n + 1)
-    data = arr.buffers()[2]
-    values = (np.frombuffer(data, dtype=np.uint8, count=int(offsets[-1])) if data is not None and offsets[-1] > 0
-              else np.zeros(0, dtype=np.uint8)).astype(np.int32) + offset
+    data, first = arr.buffers()[2], int(offsets[0])  # a slice may share its array's bytes
+    values = (np.frombuffer(data, dtype=np.uint8, count=int(offsets[-1]) - first, offset=first) if data is not None and offsets[-1] > first
+              else np.zeros(0, dtype=np.uint8)).astype(np.int32)
+    values += offset
+    offsets = offsets - first
     valid = np.asarray(arr.is_valid())
     if template:
         extra = np.where(valid, 2, 0).astype(np.int64)
@@ -58,14 +80,24 @@ def byte_encode_arrow(texts: pa.Array, template: bool, offset: int = BYTE_OFFSET
         pa.list_(pa.int32()))
 
 
+def by_block(batches: Iterator[pa.Array], turn: Callable[[pa.Array], pa.Array]) -> Iterator[pa.Array]:
+    """``turn`` over the blocks of all batches, each handed on before the next is turned: ids
+    take four times the room of their text, and a task holds those of one block instead of
+    those of a batch. What Arrow's allocator keeps for later goes back after every block."""
+    for batch in batches:
+        for block in blocks_of(batch):
+            yield turn(block)
+            pa.default_memory_pool().release_unused()
+
+
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _byte_encode_template(texts: pa.Array) -> pa.Array:
-    return byte_encode_arrow(texts, True)
+def _byte_encode_template(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return by_block(batches, lambda texts: byte_encode_arrow(texts, True))
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _byte_encode_plain(texts: pa.Array) -> pa.Array:
-    return byte_encode_arrow(texts, False)
+def _byte_encode_plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return by_block(batches, lambda texts: byte_encode_arrow(texts, False))
 
 
 def byte_decode_list(ids: list[int] | None, skip_special: bool) -> str | None:
@@ -116,7 +148,8 @@ def byte_decode_arrow(lists: pa.Array) -> pa.Array:
     lists = pa.concat_arrays([lists]) if lists.offset != 0 else lists
     n = len(lists)
     offsets = np.asarray(lists.offsets)
-    values = np.asarray(lists.values.fill_null(0), dtype=np.int64)
+    values = np.asarray(lists.values[int(offsets[0]) : int(offsets[-1])].fill_null(0), dtype=np.int64)  # a slice has all its array's
+    offsets = offsets - offsets[0]
     keep = values >= BYTE_OFFSET
     kept_before = np.concatenate([[0], np.cumsum(keep)])
     new_offsets = kept_before[offsets].astype(np.int64)
@@ -133,8 +166,8 @@ def byte_decode_arrow(lists: pa.Array) -> pa.Array:
 
 
 @F.arrow_udf(T.StringType())
-def _byte_decode_skip(ids: pa.Array) -> pa.Array:
-    return byte_decode_arrow(ids)
+def _byte_decode_skip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return by_block(batches, byte_decode_arrow)
 
 
 @F.pandas_udf(T.StringType())
