@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 MAX_UINT16 = 65535
+TASK_TOKENS = 1 << 20  # of small shards that share a task
 
 
 # ---------------------------------------------------------------- manifests
@@ -78,13 +79,20 @@ class TokenRange(InputPartition):
     first_window: int = 0
 
 
+@dataclass
+class TokenRanges(InputPartition):
+    """What one task reads: a range of a large shard or several small shards."""
+
+    ranges: list
+
+
 class TokenShardSource(DataSource):
     """``spark.read.format("token_shards").option("split", "train").load(dir)``
 
     Options: ``split``; ``mode`` = ``chunks`` (default; ``chunk_tokens`` tokens per row)
     or ``windows`` (sequential windows of ``seq_len + 1`` tokens: starts 0, L, 2L, …
     below ``num_tokens - L - 1``, numbered across shards, ``max_windows``);
-    ``partition_tokens`` (tokens per input partition)."""
+    ``partition_tokens`` (tokens per input partition; small shards share one)."""
 
     @classmethod
     def name(cls):
@@ -131,9 +139,24 @@ class TokenShardReader(DataSourceReader):
                 step = max(self.chunk, (self.part_tokens // self.chunk) * self.chunk)
                 for s in range(0, n, step):
                     parts.append(TokenRange(self.split, i, item["absolute_path"], s, min(n, s + step)))
-        return parts
+        return self._packed(parts)
+
+    def _packed(self, parts: list[TokenRange]) -> list[TokenRanges]:
+        """Small ranges share a task, up to ``TASK_TOKENS`` tokens."""
+        out, have = [], 0
+        for p in parts:
+            if not out or have + p.stop - p.start > min(TASK_TOKENS, self.part_tokens):
+                out.append(TokenRanges([]))
+                have = 0
+            out[-1].ranges.append(p)
+            have += p.stop - p.start
+        return out
+
+    def read(self, partition: TokenRanges):
+        for part in partition.ranges:
+            yield from self._read(part)
 
-    def read(self, partition: TokenRange):
+    def _read(self, partition: TokenRange):
         arr = np.memmap(partition.path, dtype="<u2", mode="r")
         L = self.seq_len
         if self.mode == "windows":
@@ -289,18 +312,22 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SFTShardSource)
 
 
-def write_token_shards(pieces: DataFrame, out_dir: str, prefix: str, tokens_col: str = "tokens", shards: int | None = None) -> None:
+def write_token_shards(pieces: DataFrame, out_dir: str, prefix: str, tokens_col: str = "tokens", shards: int | None = None, tokens: int | None = None) -> None:
     """``pieces(shard, shard_pos, tokens)`` → shard files + manifest, replacing what is
     there. One shuffle, one task per shard (``shards``: how many; counted when not
-    given), rows sorted by position inside each task; no row collected anywhere."""
+    given), or, where ``tokens`` tells how many tokens there are, per neighbouring shards of
+    about ``TASK_TOKENS`` tokens; rows sorted by position inside each task; no row collected
+    anywhere."""
     spark = pieces.sparkSession
     register(spark)
     if shards is None:
         shards = pieces.agg(F.max("shard")).first()[0]
         shards = 0 if shards is None else shards + 1
+    shards = int(shards)
+    each = max(1, TASK_TOKENS * shards // tokens) if tokens else 1
     (
         pieces.select(F.col("shard").cast("long"), F.col("shard_pos").cast("long"), F.col(tokens_col).alias("tokens"))
-        .repartitionById(max(1, int(shards)), F.col("shard").cast("int"))
+        .repartitionById(max(1, -(-shards // each)), F.floor(F.col("shard") / F.lit(each)).cast("int"))
         .sortWithinPartitions("shard", "shard_pos")
         .write.format("token_shards")
         .option("prefix", prefix)

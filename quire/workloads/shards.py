@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import chat as ch
+from quire.plans.materialize import checkpointed
 from quire.session import posix_scratch
 from quire.sources import shards as sh
 from quire.workloads import chat as wc
@@ -19,9 +20,12 @@ CHUNK = 4096
 
 def _write_tokens(spark: SparkSession, sf: str) -> str:
     root = posix_scratch(spark, "token-shards")
-    pieces = ww.pieces_with_ids(spark, sf)
+    pcs = ww.pieces(spark, sf)
+    sizes = {r.split: (r.shards, r.tokens) for r in pcs.groupBy("split").agg((F.max("shard") + 1).alias("shards"), F.sum("length").alias("tokens")).collect()}
+    pieces = checkpointed(ww.pieces_with_ids(spark, sf, pcs), "token-pieces")  # joined and encoded once for both splits
     for split in ("val", "train"):
-        sh.write_token_shards(pieces.where(F.col("split") == split), f"{root}/{split}", split)
+        shards, tokens = sizes.get(split, (0, 0))
+        sh.write_token_shards(pieces.where(F.col("split") == split), f"{root}/{split}", split, shards=shards, tokens=tokens)
     return root
 
 

@@ -221,3 +221,17 @@ def test_metric_logs_take_a_file_per_task_not_per_run(spark):
     want = sorted([(r or "__HIVE_DEFAULT_PARTITION__", i) for i, r in enumerate(names)] * 2 + [("old", 7)])
     for back in (read_metrics(spark, d), read_growing_metrics(spark, d)):
         assert sorted((r.run_id, r.step) for r in back.select("run_id", "step").collect()) == want
+
+
+def test_small_token_shards_share_tasks(spark):
+    out = _tmp()
+    toks = list(range(5000))
+    pieces = [(i // 100, i % 100, toks[i:i + 50]) for i in range(0, 5000, 50)]
+    df = spark.createDataFrame(pieces, "shard long, shard_pos long, tokens array<int>")
+    sh.write_token_shards(df, out, "train", shards=50, tokens=5000)
+    assert [(m["path"], m["num_tokens"]) for m in json.load(open(os.path.join(out, "train_manifest.json")))] == [(f"train_{i:05d}.bin", 100) for i in range(50)]
+    back = sh.read_token_shards(spark, out, "train", chunk_tokens=64)
+    rows = back.orderBy("shard", "start").collect()
+    assert [t for r in rows for t in r.tokens] == toks and len(rows) == 100
+    assert back.rdd.getNumPartitions() == 1
+    assert sh.read_token_shards(spark, out, "train", chunk_tokens=64, partition_tokens=300).rdd.getNumPartitions() == 17
