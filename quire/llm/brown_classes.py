@@ -36,10 +36,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.batches import documents, fold, lower_words, pieces_of, raw_texts
+from quire.llm.batches import blocks_of, documents, fold, lower_words, raw_texts
 from quire.plans.materialize import checkpointed
 
 FOLDS, HELD_OUT = 7, 2
+BLOCK = 2 << 20  # bytes of text whose words a task holds as objects
 
 
 @dataclass(frozen=True)
@@ -60,7 +61,7 @@ def _count_words(train: DataFrame, most: int = 250_000) -> DataFrame:
     def run(batches):
         counts: Counter = Counter()
         for big in batches:
-            for b in pieces_of(big):
+            for b in blocks_of(big, size=BLOCK):
                 for raw in raw_texts(b.column(1)):
                     counts.update(lower_words(raw))
                 if len(counts) > most:
@@ -224,28 +225,25 @@ def _neighbours(parts: DataFrame, places: Places, most: int = 4_000_000) -> Data
     return checkpointed(dealt.mapInArrow(run, PACKED), "unit-neighbours")
 
 
-def _text_neighbours(train: DataFrame, lexicon: Lexicon, places: Places, most: int = 4_000_000) -> DataFrame:
-    """Neighbours in the training texts, summed in the task over ``most`` words and packed
-    in a few rows a bucket, so that no row of the shuffle is a single bigram."""
-
-    def flushed(keys):
-        k, n = np.unique(np.concatenate(keys), return_counts=True)
-        keys.clear()
-        return places.packed(*places.keys(k // places.units, k % places.units, n))
+def _text_neighbours(train: DataFrame, lexicon: Lexicon, places: Places, most: int = 1_000_000) -> DataFrame:
+    """Neighbours in the training texts, summed in the task up to ``most`` distinct bigrams and
+    packed in a few rows a bucket, so that no row of the shuffle is a single bigram. Words
+    are read block by block; a block's keys are summed before the next is read."""
 
     def run(batches):
-        keys, held = [], 0
+        keys, counts = np.empty(0, "i8"), np.empty(0, "i8")
         for big in batches:
-            for b in pieces_of(big):
+            for b in blocks_of(big, size=BLOCK):
                 _, units, _, _ = lexicon.read(raw_texts(b.column(1)))
                 before = np.concatenate(([0], units[:-1]))  # each text is closed by unit 0, which opens the next
-                keys.append(before.astype("i8") * places.units + units)
-                held += len(units)
-                if held > most:
-                    yield from flushed(keys)
-                    held = 0
-        if held:
-            yield from flushed(keys)
+                k, n = np.unique(before.astype("i8") * places.units + units, return_counts=True)
+                keys, counts = summed(np.concatenate((keys, k)), np.concatenate((counts, n)))
+                if len(keys) > most:
+                    yield from places.packed(*places.keys(keys // places.units, keys % places.units, counts))
+                    keys, counts = keys[:0].copy(), counts[:0].copy()
+            pa.default_memory_pool().release_unused()
+        if len(keys):
+            yield from places.packed(*places.keys(keys // places.units, keys % places.units, counts))
 
     return _neighbours(train.mapInArrow(run, PACKED), places)
 
@@ -425,7 +423,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches):
         for big in batches:
-            for b in pieces_of(big):
+            for b in blocks_of(big, size=BLOCK, column=2):
                 num, units, starts, rare = lexicon.read(raw_texts(b.column(2)))
                 c = class_of_unit[units]
                 before = np.concatenate(([0], c[:-1]))

@@ -441,3 +441,28 @@ def test_texts_without_repeats_keep_rows_and_columns(edge_docs, edge_rows, no_do
     assert without_repeats(no_docs).count() == 0
     same = {r.doc_id: r.text for r in cut.collect()}
     assert same[7] == edge_rows[7][1] and same[19] == ""
+
+
+def test_text_neighbours_flush_by_distinct_bigrams(spark):
+    from collections import Counter
+
+    from quire.llm import brown_classes as bc
+
+    rows = [(i, "a b " * 300 + f"c{i % 3} d") for i in range(8)] + [(8, None), (9, "")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    lexicon = bc.Lexicon([b"a", b"b"], [2400, 2400], 10, bc.Settings())
+    places = bc.Places.for_tokens(lexicon.n_units, 5000)
+    want = Counter()
+    for _, text in rows:
+        words = (text or "").split()
+        units = [0, *[{"a": 1, "b": 2}.get(w) or lexicon.pool(w.encode()) for w in words], 0]
+        for u, v in zip(units, units[1:]):
+            want[u, 2 * v] += 1
+            if u != v:
+                want[v, 2 * u + 1] += 1
+    for most in (2, 1_000_000):
+        got = Counter()
+        for b in bc._text_neighbours(texts, lexicon, places, most).toArrow().to_batches():
+            for _, place, beside, n in places.read(b):
+                got.update({(int(u), int(x)): int(k) for u, x, k in zip(places.unit(place), beside, n)})
+        assert got == want
