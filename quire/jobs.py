@@ -162,7 +162,7 @@ def train_vocab(
     ``out/tokenizer_meta.json``; the model is returned."""
     _ready(spark, out)
     docs = clean_corpus(scan_corpus(spark, config, id_field) if docs is None else docs)
-    sample = vb.sample_documents(docs, spark, config, config.tokenizer_sample_documents, seed)
+    sample = vb.sample_documents(docs, spark, config, config.tokenizer_sample_documents, seed, ranked=False)
     words = checkpointed(vb.word_counts(sample, vb.pretokenize("text")), "vocab-words")
     model = train_bpe(spark, words, vocab_size, config.tokenizer_min_frequency, list(config.tokenizer_special_tokens))
     vb.save_tokenizer(model, out, asdict(config))

@@ -1,11 +1,10 @@
 """Byte-level BPE encoding and decoding.
 
 ``encode_documents`` encodes a corpus through a dictionary made by Spark: texts are cut into
-pieces by a Spark expression, the distinct pieces are counted, the merges are applied once a
-distinct piece, and the pieces' places are joined back to the dictionary and regrouped.
-Pieces follow a Zipf law, so the most frequent ones (a bounded table, broadcast) are
-joined where they stand and combined to one list a document before anything is
-shuffled; only the others move.
+pieces by a Spark expression, the distinct pieces are counted, and the merges are applied once
+to each of the most frequent ones. Pieces follow a Zipf law, so this bounded dictionary, which
+goes to every task, has most places; the other pieces are encoded where they stand, once a
+block of documents. No text, piece or id is shuffled but the pieces that are counted.
 
 ``BPETokenizer`` offers the same ids as Column expressions: pieces are cut by Spark, and an
 Arrow block encodes the distinct pieces of a batch once and gathers. Decoding takes the
@@ -30,9 +29,8 @@ from pyspark.sql import types as T
 from quire.functions.text import col_of
 from quire.operators.bpe_train import SHIFT, merge_symbols
 from quire.operators.vocab import GPT2_PATTERN, BPEModel, byte_to_unicode, check_specials
-from quire.plans.materialize import checkpointed
 
-MEMO, LONG = 200_000, 64
+MEMO, LONG, BLOCK = 200_000, 64, 1_000_000
 
 
 def load_tokenizer(folder: str) -> "BPETokenizer":
@@ -119,10 +117,16 @@ def _whole(lists: pa.Array) -> pa.Array:
 
 
 def encode_pieces(lists: pa.Array, coder, around: tuple[int, int] | None) -> pa.Array:
-    """``list<string>`` pieces → ``list<int32>`` ids."""
+    """``list<string>`` pieces → ``list<int32>`` ids, by blocks of about ``BLOCK`` pieces."""
     lists = _whole(lists)
-    values, ends = gathered(lists.values, coder)
-    return wrapped(ends[np.asarray(lists.offsets)], values, np.asarray(lists.is_valid()), around)
+    starts = np.asarray(lists.offsets).astype("i8")
+    cuts = np.flatnonzero(np.diff(starts[:-1] // BLOCK)) + 1 if len(lists) else []
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, len(lists)]):
+        part = lists.values.slice(starts[a], starts[b] - starts[a])
+        values, ends = gathered(part, coder)
+        out.append(wrapped(ends[starts[a : b + 1] - starts[a]], values, np.asarray(lists.slice(a, b - a).is_valid()), around))
+    return pa.concat_arrays(out)
 
 
 def decode_ids(lists: pa.Array, table: pa.Array, shown: np.ndarray) -> pa.Array:
@@ -215,10 +219,14 @@ class BPETokenizer:
         return dec(col_of(ids))
 
 
-def dictionary(pieces: DataFrame, tokenizer: BPETokenizer) -> DataFrame:
+def dictionary(pieces: DataFrame, tokenizer: BPETokenizer, frequent: int | None = None) -> DataFrame:
     """``pieces(pieces array<string>)`` → ``piece, n, ids``: every distinct piece, how often it
-    occurs, and its ids."""
-    counted = pieces.select(F.explode("pieces").alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    occurs, and its ids; with ``frequent`` the most frequent ones of up to ``LONG`` characters."""
+    # explode_outer: see vocab.word_counts
+    each = pieces.select(F.explode_outer("pieces").alias("piece")).where(F.col("piece").isNotNull())
+    counted = each.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    if frequent is not None:
+        counted = counted.where(F.length("piece") <= LONG).orderBy(F.desc("n"), "piece").limit(frequent)
     model, escape = tokenizer.model_json, tokenizer.escape
 
     def run(batches):
@@ -231,21 +239,21 @@ def dictionary(pieces: DataFrame, tokenizer: BPETokenizer) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, tokenizer: BPETokenizer, text_col: str = "text", template: bool = True, frequent: int = 32_768) -> DataFrame:
-    """``docs`` with ``ids``. ``frequent``: pieces of up to 64 characters that are joined from
-    a broadcast table; all others meet the dictionary in a shuffled join."""
-    base = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__pieces", tokenizer.pieces(text_col))
-    base = checkpointed(base, "bpe-pieces")
-    words = checkpointed(dictionary(base.select(F.col("__pieces").alias("pieces")), tokenizer), "bpe-dictionary")
-    often = words.where(F.length("piece") <= LONG).orderBy(F.desc("n"), "piece").limit(frequent).select("piece", "ids")
-    often = F.broadcast(checkpointed(often, "bpe-frequent"))
-    places = base.select("__row", F.posexplode("__pieces").alias("pos", "piece"))
-    here = places.join(often, "piece")
-    moved = places.join(often, "piece", "left_anti").join(words.select("piece", "ids"), "piece")
-    one = F.struct("pos", "ids").alias("at")
-    found = here.select("__row", one).unionAll(moved.select("__row", one)).groupBy("__row").agg(F.sort_array(F.collect_list("at")).alias("at"))
-    ids = F.flatten(F.col("at.ids"))
-    rows = base.drop("__pieces").join(found.select("__row", ids.alias("ids")), "__row", "left")
-    ids = F.coalesce("ids", F.array().cast("array<int>"))
-    if template and tokenizer.around:
-        ids = F.concat(F.array(F.lit(tokenizer.around[0])), ids, F.array(F.lit(tokenizer.around[1])))
-    return rows.withColumn("ids", F.when(F.col(text_col).isNotNull(), ids)).drop("__row")
+    """``docs`` with ``ids``. ``frequent``: pieces of up to 64 characters whose ids come from
+    the dictionary; all others are encoded where they stand."""
+    model, escape, around = tokenizer.model_json, tokenizer.escape, tokenizer.around if template else None
+    often = dictionary(docs.select(tokenizer.pieces(text_col).alias("pieces")), tokenizer, frequent) if frequent else None
+    known = {r.piece: r.ids for r in often.collect()} if often is not None else {}  # at most ``frequent`` short pieces
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def enc(lists: pa.Array) -> pa.Array:
+        coder = _coder(model, escape)
+
+        def ids_of(piece: str) -> list[int]:
+            ids = known.get(piece)
+            return coder(piece) if ids is None else ids
+
+        return encode_pieces(lists, ids_of, around)
+
+    # A deterministic call would be made again in every expression on the ids.
+    return docs.withColumn("ids", enc.asNondeterministic()(tokenizer.pieces(text_col)))

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from quire.config import SPECIAL_TOKENS, shares
 from quire.functions.hashing import hex_bucket, order_key
 from quire.functions.text import col_of
-from quire.plans.prefix import bucketed_rank
+from quire.plans.materialize import checkpointed
+from quire.plans.prefix import bucketed_rank, exclusive_prefix_sums
 
 # The GPT-2 byte-level pre-tokenization pattern.
 GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,15 +46,38 @@ def _ranked_sample(docs: DataFrame, src_q: DataFrame, seed: int) -> DataFrame:
     return ranked.join(F.broadcast(src_q), "source").where(F.col("sample_rank") <= F.col("quota"))
 
 
-def sample_documents(docs: DataFrame, spark: SparkSession, mix, total_docs: int, seed: int) -> DataFrame:
+def _in_sample(docs: DataFrame, src_q: DataFrame, seed: int) -> DataFrame:
+    """The documents of ``_ranked_sample`` without their ranks. Only keys are shuffled: they
+    tell the last key of every source, and the texts before it are kept where they stand."""
+    key = order_key(seed, "source", "doc_id")
+    keys = docs.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n")).withColumn("__k", key).withColumn("__b", hex_bucket(F.col("__k"), 3))
+    placed = exclusive_prefix_sums(keys, ["source"], "__b", ["__k", "doc_id"], {"before": "n"}).join(F.broadcast(src_q), "source")
+    last = placed.where(F.col("before") < F.col("quota")).groupBy("source").agg(
+        F.max(F.struct("__k", "doc_id", "n", (F.col("quota") - F.col("before")).alias("room"))).alias("last")
+    )
+    last = checkpointed(last, "sample-last")  # one row per configured source
+    at, end = F.struct(key.alias("__k"), "doc_id"), F.struct("last.__k", "last.doc_id")
+    near = docs.join(F.broadcast(last), "source")
+    uneven = F.col("last.n") > F.col("last.room")
+    inside = near.where((at < end) | ((at == end) & ~uneven)).select(*docs.columns)
+    if last.where(uneven).isEmpty():
+        return inside
+    # Documents that share the last id don't all have room.
+    some = near.where((at == end) & uneven)
+    nth = F.row_number().over(Window.partitionBy("source").orderBy(*[F.col(c) for c in docs.columns if c != "source"]))
+    return inside.unionAll(some.withColumn("__nth", nth).where(F.col("__nth") <= F.col("last.room")).select(*docs.columns))
+
+
+def sample_documents(docs: DataFrame, spark: SparkSession, mix, total_docs: int, seed: int, ranked: bool = True) -> DataFrame:
     """Per source: the first ``sample_documents`` (when set) or ``max(1, int(total x
-    share))`` valid documents in seeded order. ``docs`` are cleaned (source, doc_id, …)."""
+    share))`` valid documents in seeded order. ``docs`` are cleaned (source, doc_id, …).
+    Without ``ranked`` they come without ``sample_rank`` and ``quota``, their texts unshuffled."""
     part = shares(mix)
     rows = [(s.name, s.sample_documents or max(1, int(total_docs * part[s.name]))) for s in mix.sources]
-    return _ranked_sample(docs, spark.createDataFrame(rows, "source string, quota long"), seed)
+    return (_ranked_sample if ranked else _in_sample)(docs, spark.createDataFrame(rows, "source string, quota long"), seed)
 
 
-def sample_documents_scaled(docs: DataFrame, spark: SparkSession, mix, fraction: float, seed: int) -> DataFrame:
+def sample_documents_scaled(docs: DataFrame, spark: SparkSession, mix, fraction: float, seed: int, ranked: bool = True) -> DataFrame:
     """``sample_documents`` with ``total = floor(fraction x valid documents)``, computed
     in Spark (a per-source count and a window over the small source table)."""
     part = shares(mix)
@@ -63,7 +87,7 @@ def sample_documents_scaled(docs: DataFrame, spark: SparkSession, mix, fraction:
     src = src.join(counts, "source", "left").fillna(0, ["n"])
     tot = F.floor(F.sum("n").over(Window.partitionBy()).cast("double") * F.lit(fraction)).cast("double")
     quota = F.when(F.col("fixed") > 0, F.col("fixed")).otherwise(F.greatest(F.floor(tot * F.col("share")).cast("long"), F.lit(1)))
-    return _ranked_sample(docs, src.select("source", quota.cast("long").alias("quota")), seed)
+    return (_ranked_sample if ranked else _in_sample)(docs, src.select("source", quota.cast("long").alias("quota")), seed)
 
 
 def pretokenize(text: str | Column) -> Column:

@@ -24,8 +24,8 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return clean_corpus(corpus_from_table(read_table(spark, sf, "documents")))
 
 
-def sample(spark, sf) -> DataFrame:
-    return vb.sample_documents_scaled(cleaned(spark, sf), spark, table_mixture(spark, sf), SAMPLE_FRACTION, SEED)
+def sample(spark, sf, ranked: bool = True) -> DataFrame:
+    return vb.sample_documents_scaled(cleaned(spark, sf), spark, table_mixture(spark, sf), SAMPLE_FRACTION, SEED, ranked)
 
 
 def q_sample_documents(spark, sf):
@@ -57,14 +57,14 @@ def trained(docs: DataFrame, vocab_size: int) -> vb.BPEModel:
 
 
 def q_train_bpe(spark, sf):
-    _, merges = vb.model_tables(spark, trained(sample(spark, sf), BPE_VOCAB))
+    _, merges = vb.model_tables(spark, trained(sample(spark, sf, ranked=False), BPE_VOCAB))
     return merges
 
 
 def q_encode_bpe(spark, sf):
     """A vocabulary learned from the sample, and all documents encoded with it through a
     dictionary of their pieces, then decoded."""
-    tokenizer = BPETokenizer(trained(sample(spark, sf), ENCODE_VOCAB))
+    tokenizer = BPETokenizer(trained(sample(spark, sf, ranked=False), ENCODE_VOCAB))
     coded = encode_documents(cleaned(spark, sf), tokenizer)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("ids_md5"),
